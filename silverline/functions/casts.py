@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,9 +13,12 @@ from silverline.functions.dates import ISO_DATE_FORMAT
 TRUE_VALUES = ("1", "true", "yes", "t", "y", "si", "s")
 FALSE_VALUES = ("0", "false", "no", "f", "n")
 
-_NUMERIC = {"int": "int", "long": "bigint", "double": "double"}
-
-TYPE_NAMES = ("int", "long", "double", "date", "bool")
+# Every text the double cast accepts looks like this. Other texts make the cast raise
+# and catch inside, which costs far more than the test.
+_DOUBLE_SHAPE = (
+    r"(?i)^[\x00-\x20]*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?[df]?"
+    r"|nan|inf|infinity|0x[0-9a-f.]+p[+-]?\d+[df]?)[\x00-\x20]*$"
+)
 
 
 def to_int(col: Column, null_replacement: int | None = None) -> Column:
@@ -26,7 +31,7 @@ def to_long(col: Column) -> Column:
 
 
 def to_double(col: Column) -> Column:
-    return col.try_cast("double")
+    return F.when(col.cast("string").rlike(_DOUBLE_SHAPE), col.try_cast("double"))
 
 
 def to_date(col: Column, date_format: str = ISO_DATE_FORMAT) -> Column:
@@ -43,15 +48,20 @@ def to_bool(col: Column, default: bool = False) -> Column:
     )
 
 
+CASTS: dict[str, Callable[[Column], Column]] = {
+    "int": to_int,
+    "long": to_long,
+    "double": to_double,
+    "date": to_date,
+    "bool": to_bool,
+}
+
+
 def cast_value(col: Column, type_name: str) -> Column:
     """Cast by the short type names of a type map; unknown names raise ValueError."""
-    if type_name in _NUMERIC:
-        return col.try_cast(_NUMERIC[type_name])
-    if type_name == "date":
-        return to_date(col)
-    if type_name == "bool":
-        return to_bool(col)
-    raise ValueError(f"unknown type {type_name!r}; use one of {', '.join(TYPE_NAMES)}")
+    if type_name not in CASTS:
+        raise ValueError(f"unknown type {type_name!r}; use one of {', '.join(CASTS)}")
+    return CASTS[type_name](col)
 
 
 def cast_failed(col: Column, type_name: str) -> Column:

@@ -64,6 +64,11 @@ _TOKEN = re.compile(r"'([^']*)'|([A-Za-z])\2*|[^A-Za-z']")
 _SEPARATORS = ("/", "-", ".", ",", " ")
 
 
+def _either_case(literal: str) -> str:
+    """Literal letters are read in either case."""
+    return "".join(f"[{c.upper()}{c.lower()}]" if c.isalpha() else re.escape(c) for c in literal)
+
+
 def format_shape(fmt: str) -> tuple[str | None, str]:
     """Shape regex of a format and its separator (empty when it has none).
 
@@ -76,30 +81,54 @@ def format_shape(fmt: str) -> tuple[str | None, str]:
             return None, ""
         literal = "" if letter else (text if quoted is None else quoted)
         literals += literal
-        pattern += _FIELD_SHAPES[text] if letter else re.escape(literal)
+        pattern += _FIELD_SHAPES[text] if letter else _either_case(literal)
     separator = next((s for s in _SEPARATORS if s in literals), "")
-    return f"(?i)^{pattern}$", separator
+    return f"^{pattern}$", separator
 
 
-def _cascade(col: Column, formats: Sequence[str], parse: Callable[[Column, str], Column]) -> Column:
-    """First format that parses wins, trying a format only on values of its shape.
+def _families(formats: Sequence[str]) -> dict[str, list[tuple[str | None, str]]]:
+    """(shape, format) pairs by separator, in order of priority.
 
-    Formats are grouped by separator. Fields hold letters and digits only, so two
-    formats that can read the same value have the same separators, and the grouping
-    keeps the priority between them.
+    Fields hold letters and digits only, so two formats that can read the same value
+    have the same separators, and the grouping keeps the priority between them. With a
+    format whose shape is not known there is one group and no shape test.
     """
     shapes = [format_shape(fmt) for fmt in formats]
     if any(shape is None for shape, _ in shapes):
-        return F.coalesce(*[parse(col, fmt) for fmt in formats])
-    families: dict[str, list[Column]] = {}
+        return {"": [(None, fmt) for fmt in formats]}
+    families: dict[str, list[tuple[str | None, str]]] = {}
     for fmt, (shape, separator) in zip(formats, shapes, strict=True):
-        families.setdefault(separator, []).append(F.when(col.rlike(shape), parse(col, fmt)))
-    return F.coalesce(
-        *[
-            F.when(col.contains(separator), F.coalesce(*steps)) if separator else F.coalesce(*steps)
-            for separator, steps in families.items()
-        ]
-    )
+        families.setdefault(separator, []).append((shape, fmt))
+    return families
+
+
+def _cascade(col: Column, formats: Sequence[str], parse: Callable[[Column, str], Column]) -> Column:
+    """First format that parses wins, trying a format only on values of its shape."""
+    families = []
+    for separator, members in _families(formats).items():
+        steps = [F.when(col.rlike(shape), parse(col, fmt)) if shape else parse(col, fmt) for shape, fmt in members]
+        tried = F.coalesce(*steps)
+        families.append(F.when(col.contains(separator), tried) if separator else tried)
+    return F.coalesce(*families)
+
+
+def _cascade_sql(name: str, formats: Sequence[str], function: str) -> str:
+    """The same expression as SQL text over a named column.
+
+    Built call by call the tree takes hundreds of round trips from Python to the JVM per
+    column; as text it takes one.
+    """
+    column = "`" + name.replace("`", "``") + "`"
+    families = []
+    for separator, members in _families(formats).items():
+        steps = []
+        for shape, fmt in members:
+            quoted = fmt.replace("\\", "\\\\").replace("'", "\\'")
+            parsed = f"{function}({column}, '{quoted}')"
+            steps.append(f"CASE WHEN {column} RLIKE r'{shape}' THEN {parsed} END" if shape else parsed)
+        tried = f"coalesce({', '.join(steps)})"
+        families.append(f"CASE WHEN contains({column}, '{separator}') THEN {tried} END" if separator else tried)
+    return f"coalesce({', '.join(families)})"
 
 
 def _ordered(formats: Sequence[str], precedence: str) -> list[str]:
@@ -109,12 +138,12 @@ def _ordered(formats: Sequence[str], precedence: str) -> list[str]:
 
 
 def parse_date(
-    col: Column,
+    col: Column | str,
     input_format: str | None = None,
     formats: Sequence[str] = KNOWN_DATE_FORMATS,
     precedence: str = "first",
 ) -> Column:
-    """Text to DATE; NULL when no format fits.
+    """Text to DATE; NULL when no format fits. Takes a column or the name of one.
 
     With ``input_format`` only that format counts. Otherwise the first listed format
     that fits wins, or the last listed one with ``precedence="last"``, which matters
@@ -122,20 +151,22 @@ def parse_date(
     """
     if input_format:
         return F.try_to_date(col, input_format)
-    return _cascade(col, _ordered(formats, precedence), F.try_to_date)
+    ordered = _ordered(formats, precedence)
+    if isinstance(col, str):
+        return F.expr(_cascade_sql(col, ordered, "try_to_date"))
+    return _cascade(col, ordered, F.try_to_date)
 
 
 def parse_timestamp(
-    col: Column, formats: Sequence[str] = KNOWN_DATE_FORMATS, precedence: str = "first"
+    col: Column | str, formats: Sequence[str] = KNOWN_DATE_FORMATS, precedence: str = "first"
 ) -> Column:
     """Like :func:`parse_date`, keeping the time of day where the text has one."""
-    return _cascade(
-        col,
-        _ordered(formats, precedence),
-        lambda c, fmt: F.try_to_timestamp(c, F.lit(fmt)),
-    )
+    ordered = _ordered(formats, precedence)
+    if isinstance(col, str):
+        return F.expr(_cascade_sql(col, ordered, "try_to_timestamp"))
+    return _cascade(col, ordered, lambda c, fmt: F.try_to_timestamp(c, F.lit(fmt)))
 
 
-def format_date_to_iso(col: Column, input_format: str | None = None) -> Column:
+def format_date_to_iso(col: Column | str, input_format: str | None = None) -> Column:
     """Text in any known format to ``yyyy-MM-dd`` text; NULL when unreadable."""
     return F.date_format(parse_date(col, input_format), ISO_DATE_FORMAT)

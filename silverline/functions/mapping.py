@@ -83,6 +83,10 @@ SHIPPING_STATUS = {
 }
 
 
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_values(col: Column, mapping: Mapping[str, str], default: str = UNKNOWN) -> Column:
     """Canonical category of a value; ``default`` for unknown, blank and NULL.
 
@@ -90,5 +94,5 @@ def map_values(col: Column, mapping: Mapping[str, str], default: str = UNKNOWN)
     """
     if not mapping:
         return F.lit(default)
-    entries = [F.lit(part) for pair in mapping.items() for part in pair]
-    return F.coalesce(F.element_at(F.create_map(*entries), match_key(col)), F.lit(default))
+    entries = ", ".join(_literal(part) for pair in mapping.items() for part in pair)
+    return F.coalesce(F.element_at(F.expr(f"map({entries})"), match_key(col)), F.lit(default))

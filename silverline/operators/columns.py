@@ -77,7 +77,7 @@ def clean_date_columns(
     """Add a DATE ``{column}_clean`` per column, keeping the raw text beside it."""
     return df.withColumns(
         {
-            clean_name(c): dates.parse_date(F.col(c), formats=formats, precedence=precedence)
+            clean_name(c): dates.parse_date(c, formats=formats, precedence=precedence)
             for c in present(df, date_columns, "date columns")
         }
     )

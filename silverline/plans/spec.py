@@ -38,9 +38,9 @@ class TextRule:
     def source(self, col: Column) -> Column:
         return text.strip_html_tags(col) if self.strip_html else col
 
-    def apply(self, col: Column) -> Column:
+    def apply(self, column: str) -> Column:
         return text.clean_text(
-            self.source(col), self.keep_chars, self.replacement, self.case_mode, self.keep_digits
+            self.source(F.col(column)), self.keep_chars, self.replacement, self.case_mode, self.keep_digits
         )
 
 
@@ -50,8 +50,8 @@ class CodeRule:
 
     keep_chars: str = "-"
 
-    def apply(self, col: Column) -> Column:
-        return text.clean_code(col, self.keep_chars)
+    def apply(self, column: str) -> Column:
+        return text.clean_code(F.col(column), self.keep_chars)
 
 
 @dataclass(frozen=True)
@@ -61,20 +61,20 @@ class MapRule:
     mapping: Mapping[str, str]
     default: str = text.UNKNOWN
 
-    def apply(self, col: Column) -> Column:
-        return map_values(col, self.mapping, self.default)
+    def apply(self, column: str) -> Column:
+        return map_values(F.col(column), self.mapping, self.default)
 
 
 @dataclass(frozen=True)
 class EmailRule:
-    def apply(self, col: Column) -> Column:
-        return validation.clean_email(col)
+    def apply(self, column: str) -> Column:
+        return validation.clean_email(F.col(column))
 
 
 @dataclass(frozen=True)
 class PhoneRule:
-    def apply(self, col: Column) -> Column:
-        return validation.clean_phone(col)
+    def apply(self, column: str) -> Column:
+        return validation.clean_phone(F.col(column))
 
 
 @dataclass(frozen=True)
@@ -84,8 +84,8 @@ class DateRule:
     formats: tuple[str, ...] = tuple(dates.KNOWN_DATE_FORMATS)
     precedence: str = "first"
 
-    def apply(self, col: Column) -> Column:
-        return dates.parse_date(col, formats=self.formats, precedence=self.precedence)
+    def apply(self, column: str) -> Column:
+        return dates.parse_date(column, formats=self.formats, precedence=self.precedence)
 
 
 @dataclass(frozen=True)
@@ -156,7 +156,7 @@ class EntitySpec:
                 df = join_lookup(df, column, (lookups or {})[rule.lookup]).withColumnRenamed("lookup_standard", standard)
                 clean[clean_name(column)] = normalized(F.col(column), F.col(standard))
             else:
-                clean[clean_name(column)] = rule.apply(F.col(column))
+                clean[clean_name(column)] = rule.apply(column)
 
         return df.select(
             *[self._in_place(c, rules.get(c), types.get(c)).alias(c) for c in columns],

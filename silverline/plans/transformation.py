@@ -6,7 +6,6 @@ from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from silverline.functions.dates import parse_timestamp
 from silverline.operators.integrity import apply_rules
@@ -66,4 +65,4 @@ def normalize_country(df: DataFrame, spark: SparkSession | None = None, column:
 
 def with_paid_time(df: DataFrame, column: str = "paid_at") -> DataFrame:
     """Add ``{column}_ts``: the payment time with its time of day, where it has one."""
-    return df.withColumn(f"{column}_ts", parse_timestamp(F.col(column)))
+    return df.withColumn(f"{column}_ts", parse_timestamp(column))

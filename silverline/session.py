@@ -18,10 +18,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Re-runs replace only the partitions they write.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # The JVM never compiles a method above 8000 bytes of bytecode. Wide cleaning
-    # projections exceed that as one fused method; with this limit Spark falls back to
-    # projections split into small methods, which do get compiled.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -47,7 +47,7 @@ def changed_since(
     """
     if since is None:
         return df
-    at = F.col(column) if dict(df.dtypes)[column].startswith("timestamp") else parse_timestamp(F.col(column))
+    at = F.col(column) if dict(df.dtypes)[column].startswith("timestamp") else parse_timestamp(column)
     recent = at >= F.lit(since).cast("timestamp")
     return df.filter(recent | at.isNull() if keep_undated else recent)
 

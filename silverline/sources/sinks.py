@@ -77,13 +77,17 @@ class JdbcTarget:
 
 @dataclass(frozen=True)
 class CatalogTarget:
-    """Tables of the session catalog, in one database."""
+    """Tables of the session catalog, in one database, stored under ``location`` if given."""
 
     database: str = "default"
     source: str = "parquet"
+    location: str | None = None
 
     def write(self, df: DataFrame, table: str, mode: str, batch_size: int) -> None:
-        df.write.format(self.source).mode(mode).saveAsTable(f"{self.database}.{table}")
+        writer = df.write.format(self.source).mode(mode)
+        if self.location:
+            writer = writer.option("path", f"{self.location.rstrip('/')}/{table}")
+        writer.saveAsTable(f"{self.database}.{table}")
 
 
 def publish_statements(staging: str, table: str, columns: Sequence[str], key: str = "id") -> list[str]:

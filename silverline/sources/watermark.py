@@ -6,7 +6,6 @@ saved last. A job that dies half-way leaves the former mark in force.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +18,13 @@ def _table(control_root: str) -> str:
 
 
 def read_watermarks(spark: SparkSession, control_root: str) -> DataFrame:
-    """The mark in force for each entity: (entity, last_successful_run)."""
-    try:
-        saved = spark.read.schema(_SCHEMA).parquet(_table(control_root))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        saved = spark.createDataFrame([], _SCHEMA)
+    """The mark in force for each entity: (entity, last_successful_run).
+
+    Creates the control table when there is none yet.
+    """
+    empty = spark.createDataFrame([], _SCHEMA)
+    empty.write.mode("ignore").partitionBy("entity").parquet(_table(control_root))
+    saved = spark.read.schema(_SCHEMA).parquet(_table(control_root))
     latest = F.max(F.struct("saved_at", "last_successful_run"))["last_successful_run"]
     return saved.groupBy("entity").agg(latest.alias("last_successful_run"))
 

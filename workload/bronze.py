@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverline.plans.entities import ENTITY_SPECS
 from silverline.plans.spec import EntitySpec
+from silverline.session import scratch_path
 from workload.registry import table
 
 SPARK, DUCK = "spark", "duck"
@@ -262,7 +263,7 @@ def bronze_columns(entity: str, engine: str) -> tuple[str, dict[str, str]]:
         return "orders", {
             "id": k,
             "order_id": number("o_orderkey", part_of(k, 2)),
-            "amount": number("(o_totalprice + 0.125)", k),
+            "amount": number("(o_totalprice + 0.0012)", k),
             "method": pick(k, methods),
             "status": pick(k, states),
             "transaction_id": pick(k, ids, raw_sql=True),
@@ -332,12 +333,30 @@ def bronze_columns(entity: str, engine: str) -> tuple[str, dict[str, str]]:
     raise KeyError(entity)
 
 
-def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The raw table of an entity as a DataFrame."""
+def derive(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The raw table of an entity, computed from its given table."""
     source, columns = bronze_columns(entity, SPARK)
     return table(spark, sf_dir, source).selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The raw table of an entity, landed once per session as parquet in the shared folder.
+
+    Cleaning then starts from stored raw columns, as it does in use. Computed in the same
+    plan, the expressions that make a column dirty would be copied into every place that
+    reads it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, entity)
+    if key not in _landed:
+        path = scratch_path(spark, f"bronze-{entity}")
+        derive(spark, sf_dir, entity).write.parquet(path)
+        _landed[key] = path
+    return spark.read.parquet(_landed[key])
+
+
 def bronze_sql(entity: str) -> str:
     """The same raw table as a SELECT for the checking engine."""
     source, columns = bronze_columns(entity, DUCK)
