@@ -46,7 +46,7 @@ ISO_DATE_FORMAT = "yyyy-MM-dd"
 # What each pattern letter run can match at most. Years may be longer than four
 # digits when signed; one-letter fields may carry leading zeros.
 _FIELD_SHAPES = {
-    "yyyy": r"\+?\d{4,}",
+    "yyyy": r"[+-]?\d{4,}",
     "MMMM": r"[^\d\s]+",
     "MMM": r"[^\d\s]+",
     "MM": r"(?:0[1-9]|1[0-2])",

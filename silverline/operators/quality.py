@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -183,22 +183,35 @@ def entity_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
-def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """One row per column: position, name and type."""
-    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "position int, column string, type string")
+def schema_report(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type and the number of values it holds."""
+    return _columns_with_values(df, [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)], ("position", "column", "type"))
 
 
-def schema_differences(spark: SparkSession, df: DataFrame, expected: StructType) -> DataFrame:
-    """Columns whose type is not the expected one; a missing side is NULL."""
+def schema_differences(df: DataFrame, expected: StructType) -> DataFrame:
+    """Columns whose type is not the expected one, with the values they hold.
+
+    A column that only one side has is NULL on the other.
+    """
     actual = dict(df.dtypes)
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
-    rows = [
-        (name, wanted.get(name), actual.get(name))
-        for name in list(wanted) + [c for c in actual if c not in wanted]
-        if wanted.get(name) != actual.get(name)
+    names = list(wanted) + [c for c in actual if c not in wanted]
+    rows = [(c, wanted.get(c), actual.get(c)) for c in names if wanted.get(c) != actual.get(c)]
+    return _columns_with_values(df, rows, ("column", "expected", "actual"))
+
+
+def _columns_with_values(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """Descriptions of columns as rows, each with its count of values, in one pass."""
+    columns = [row[names.index("column")] for row in rows]
+    counted = df.agg(*[(F.count(c) if c in df.columns else F.lit(0)).cast("bigint").alias(f"n{i}") for i, c in enumerate(columns)])
+    lines = [
+        F.struct(
+            *[F.lit(value).cast("int" if name == "position" else "string").alias(name) for name, value in zip(names, row, strict=True)],
+            F.col(f"n{i}").alias("n_values"),
+        )
+        for i, row in enumerate(rows)
     ]
-    return spark.createDataFrame(rows, "column string, expected string, actual string")
+    return counted.select(F.inline(F.array(*lines)))
 
 
 def keep_for_reports(df: DataFrame) -> DataFrame:

@@ -16,8 +16,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Re-runs replace only the partitions they write.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

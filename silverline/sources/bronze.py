@@ -35,10 +35,11 @@ def read_bronze(
     split over tasks; ``multi_line`` reads files that hold one JSON array each, one task
     per file. Filter on ``ingestion_date`` or ``run_id`` to read only those folders.
     """
-    reader = spark.read.schema(batch_schema(schema, corrupt_column)).option("multiLine", multi_line)
+    declared = batch_schema(schema, corrupt_column)
+    reader = spark.read.schema(declared).option("multiLine", multi_line)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.json(bronze_path(root, entity))
+    return reader.json(bronze_path(root, entity)).select(*declared.fieldNames())
 
 
 def read_all_bronze(

@@ -72,7 +72,10 @@ class JdbcTarget:
         }
 
     def write(self, df: DataFrame, table: str, mode: str, batch_size: int) -> None:
-        df.write.format("jdbc").options(**self.options(table, batch_size)).mode(mode).save()
+        # Left to itself the writer narrows the whole stage to this many tasks; the
+        # shuffle keeps cleaning parallel and only the inserts on few connections.
+        rows = df.repartition(self.connections)
+        rows.write.format("jdbc").options(**self.options(table, batch_size)).mode(mode).save()
 
 
 @dataclass(frozen=True)

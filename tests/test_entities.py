@@ -1,0 +1,203 @@
+import pytest
+from pyspark.sql.types import IntegerType, LongType, StringType
+
+from silverline.operators import columns, quality
+from silverline.plans.entities import ENTITY_SPECS
+from silverline.plans.spec import EntitySpec, MapRule, TextRule
+from silverline.plans.transformation import (
+    CLEANERS,
+    run_customer_cleaning,
+    run_product_cleaning,
+    run_review_cleaning,
+    run_shipping_cleaning,
+    run_supplier_cleaning,
+    run_transformation,
+)
+from workload.bronze import bronze, spec_of
+
+# Raw columns, cleaned text and category columns, date columns, in-place types.
+CONTRACTS = {
+    "customers": (
+        "id name email phone city country created_at updated_at registration_date",
+        "name city email phone country",
+        "created_at updated_at registration_date",
+        {"id": "int"},
+    ),
+    "coupons": (
+        "id code discount_type discount_value min_order max_uses used_count expires_at is_active created_at updated_at",
+        "code discount_type",
+        "expires_at created_at updated_at",
+        {"id": "int", "max_uses": "int", "used_count": "int", "discount_value": "double", "min_order": "double",
+         "is_active": "boolean"},
+    ),
+    "categories": (
+        "id name parent_id description is_active created_at updated_at",
+        "name description",
+        "created_at updated_at",
+        {"id": "int", "parent_id": "int", "is_active": "boolean"},
+    ),
+    "inventory": (
+        "id product_id warehouse quantity reorder_point last_restock status created_at updated_at",
+        "warehouse status",
+        "last_restock created_at updated_at",
+        {"id": "int", "product_id": "int", "quantity": "int", "reorder_point": "int"},
+    ),
+    "payments": (
+        "id order_id amount method status transaction_id paid_at created_at updated_at",
+        "method status transaction_id",
+        "paid_at created_at updated_at",
+        {"id": "int", "order_id": "int", "amount": "double"},
+    ),
+    "products": (
+        "id name category price stock brand description created_at updated_at",
+        "name category brand description",
+        "created_at updated_at",
+        {"id": "int", "stock": "int", "price": "double"},
+    ),
+    "reviews": (
+        "id product_id customer_id rating title comment verified_purchase created_at updated_at",
+        "title comment",
+        "created_at updated_at",
+        {"id": "int", "product_id": "int", "customer_id": "int", "rating": "int", "verified_purchase": "boolean"},
+    ),
+    "shipping": (
+        "id order_id carrier tracking_number status estimated_delivery actual_delivery cost created_at updated_at",
+        "carrier status tracking_number",
+        "estimated_delivery actual_delivery created_at updated_at",
+        {"id": "int", "order_id": "int", "cost": "double"},
+    ),
+    "suppliers": (
+        "id name contact_name email phone country rating is_active created_at updated_at",
+        "name contact_name email phone country",
+        "created_at updated_at",
+        {"id": "int", "rating": "double", "is_active": "boolean"},
+    ),
+}
+
+
+def empty(spark, entity):
+    return spark.createDataFrame([], ENTITY_SPECS[entity].schema)
+
+
+@pytest.mark.parametrize("entity", CONTRACTS)
+def test_contract(spark, entity):
+    raw, text, dates, types = (part.split() if isinstance(part, str) else part for part in CONTRACTS[entity])
+    assert ENTITY_SPECS[entity].schema.fieldNames() == raw
+    assert [f.nullable for f in ENTITY_SPECS[entity].schema.fields] == [False] + [True] * (len(raw) - 1)
+    expected = [(c, types.get(c, "string")) for c in raw]
+    expected += [(f"{c}_clean", "string") for c in text] + [(f"{c}_clean", "date") for c in dates]
+    expected += [("ingestion_timestamp", "timestamp"), ("ingestion_date", "date")]
+    assert CLEANERS[entity](empty(spark, entity), spark).dtypes == expected
+
+
+@pytest.mark.parametrize("entity", CONTRACTS)
+def test_rows_kept_sentinels_filled_raw_untouched(spark, sf_dir, entity):
+    raw = bronze(spark, sf_dir, entity)
+    cleaned = CLEANERS[entity](raw, spark, spec=spec_of(entity)).cache()
+    assert cleaned.count() == raw.count()
+    kinds = dict(cleaned.dtypes)
+    texts = [clean for _, clean in quality.clean_pairs(cleaned) if kinds[clean] == "string"]
+    bools = [c for c, kind in kinds.items() if kind == "boolean"]
+    nulls = quality.null_profile(cleaned, texts + bools).first().asDict()
+    assert set(nulls.values()) == {0}
+    replaced = set(ENTITY_SPECS[entity].types) | {"description"}
+    kept = [c for c in raw.columns if c not in replaced]
+    assert cleaned.select("id", *kept).exceptAll(raw.select("id", *kept)).isEmpty()
+    cleaned.unpersist()
+
+
+def one(spark, entity, **values):
+    schema = ENTITY_SPECS[entity].schema
+    return spark.createDataFrame([tuple({"id": 1, **values}.get(f.name) for f in schema.fields)], schema)
+
+
+def test_customer_values(spark):
+    row = run_customer_cleaning(
+        one(spark, "customers", name=" o'brian  JEAN-claude 3rd! ", city="st. LOUIS", email=" A@B.io", phone="12",
+            country="uk", created_at="5/1/2024", updated_at="bad-date"), spark).first()
+    assert row.name_clean == "O'Brian Jean-Claude Rd"
+    assert (row.city_clean, row.email_clean, row.phone_clean) == ("St. Louis", "a@b.io", "UNKNOWN")
+    assert (row.country_clean, str(row.created_at_clean), row.updated_at_clean) == ("United Kingdom", "2024-01-05", None)
+    assert row.name == " o'brian  JEAN-claude 3rd! "
+
+
+def test_product_values(spark):
+    row = run_product_cleaning(
+        one(spark, "products", name="nike air (v2.0) & co", category="men's   wear", price="19.99", stock=" Unlimited ",
+            brand="h.p.", description="<p>All  new</p><b>100% ok</b>"), spark).first()
+    assert (row.name_clean, row.category_clean, row.brand_clean) == ("Nike Air (v2.0) & Co", "Men's Wear", "H.p.")
+    assert (row.price, row.stock) == (19.99, None)
+    assert (row.description, row.description_clean) == ("All  new100% ok", "All new100 ok")
+
+
+def test_review_sentinels(spark):
+    row = run_review_cleaning(one(spark, "reviews", title=" ", rating="x", verified_purchase="maybe"), spark).first()
+    assert (row.title_clean, row.comment_clean) == ("No title", "No comment")
+    assert (row.rating, row.verified_purchase) == (None, False)
+
+
+def test_shipping_values(spark):
+    row = run_shipping_cleaning(
+        one(spark, "shipping", carrier="AMAZON", status="In Transit", tracking_number=" 1z 99-a ", cost="-4"), spark).first()
+    assert (row.carrier_clean, row.status_clean, row.tracking_number_clean, row.cost) == (
+        "Amazon Logistics", "in_transit", "1Z99-A", -4.0)
+
+
+def test_supplier_rating_rule(spark):
+    raw = one(spark, "suppliers", name="ProSupplies & Co.", rating="-1.5")
+    assert run_supplier_cleaning(raw, spark).first().rating == -1.5
+    ruled = run_supplier_cleaning(raw, spark, rules=True).first()
+    assert (ruled.rating, ruled.rating_not_negative_violated, ruled.name_clean) == (None, True, "Prosupplies & Co.")
+
+
+def test_flags(spark):
+    raw = one(spark, "products", stock="unlimited", price="1,299")
+    row = run_product_cleaning(raw, spark, flags=True).first()
+    assert (row.stock_cast_failed, row.price_cast_failed) == (False, True)
+
+
+def test_bronze_batch_date_is_kept(spark):
+    raw = one(spark, "coupons").selectExpr("*", "DATE'2020-02-02' AS ingestion_date", "'r1' AS run_id")
+    row = CLEANERS["coupons"](raw, spark).first()
+    assert str(row.bronze_ingestion_date) == "2020-02-02" and row.run_id == "r1"
+    assert str(row.ingestion_date) != "2020-02-02"
+
+
+@pytest.mark.parametrize("entity", CONTRACTS)
+def test_missing_columns_are_skipped(spark, entity):
+    with pytest.warns(columns.MissingColumnWarning):
+        out = CLEANERS[entity](empty(spark, entity).select("id"), spark)
+    assert out.columns == ["id", "ingestion_timestamp", "ingestion_date"]
+
+
+def test_transformation_of_a_dictionary(spark):
+    tables = {"coupons": empty(spark, "coupons"), "customers": empty(spark, "customers"), "orders": empty(spark, "coupons")}
+    assert list(run_transformation(tables, spark)) == ["customers", "coupons"]
+    assert list(CLEANERS) == list(CONTRACTS)
+
+
+def test_wide_keys():
+    wide = ENTITY_SPECS["payments"].wide_keys()
+    assert wide.types == {"id": "long", "order_id": "long", "amount": "double"}
+    assert wide.schema["id"].dataType == LongType() and wide.schema["order_id"].dataType == StringType()
+    assert ENTITY_SPECS["payments"].schema["id"].dataType == IntegerType()
+
+
+def test_own_specification(spark):
+    from silverline.plans.spec import raw_schema
+
+    spec = EntitySpec("tags", raw_schema("tag", "kind"), {"tag": TextRule(case_mode="lower"), "kind": MapRule({"a": "A"})},
+                      {"id": "int"})
+    df = spark.createDataFrame([(1, " X1 ", "A ")], spec.schema)
+    assert tuple(spec.clean(df, audit=False).first()) == (1, " X1 ", "A ", "x", "A")
+    with pytest.raises(ValueError, match="case mode"):
+        TextRule(case_mode="shout")
+
+
+def test_plans_are_native_and_flat(spark, sf_dir):
+    for entity in CONTRACTS:
+        plan = CLEANERS[entity](bronze(spark, sf_dir, entity), spark)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        assert plan.count("Project [") == 1
+        dated = ENTITY_SPECS[entity].date_columns
+        assert plan.count("gettimestamp") == 22 * len(dated)

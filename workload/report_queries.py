@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ _PLACES = [("New York", "United States"), ("St. Louis", "United States"), ("Pari
     WHERE country_clean NOT IN ('UNKNOWN', 'REVISAR_MANUAL') AND NOT list_contains(expected_countries, country_clean)""",
 )
 def _(spark, sf_dir):
-    places = spark.createDataFrame(_PLACES, "city string, country string")
+    places = spark.createDataFrame(pa.table({"city": [c for c, _ in _PLACES], "country": [c for _, c in _PLACES]}))
     found = lookup.geo_mismatch(silver(spark, sf_dir, "customers"), places)
     return found.select(
         "id", "city_clean", "country_clean", F.array_join("expected_countries", "|").alias("expected_countries")
@@ -375,36 +376,40 @@ def _(spark, sf_dir):
 # Schemas
 
 _PAYMENT_TYPES = {"id": "bigint", "order_id": "bigint", "amount": "double"}
+_PAYMENT_COLUMNS = [(f.name, _PAYMENT_TYPES.get(f.name, "string")) for f in spec_of("payments").schema.fields] + [
+    (f"{c}_clean", "date" if c in spec_of("payments").date_columns else "string") for c in _pairs("payments")
+]
 
 
 @query(
     "schema_report",
-    "SELECT * FROM (VALUES "
-    + ", ".join(
-        f"({i}, {text_literal(c)}, {text_literal(t)})"
-        for i, (c, t) in enumerate(
-            [(f.name, _PAYMENT_TYPES.get(f.name, "string")) for f in spec_of("payments").schema.fields]
-            + [(f"{c}_clean", "date" if c in spec_of("payments").date_columns else "string") for c in _pairs("payments")]
-            + [("ingestion_timestamp", "timestamp"), ("ingestion_date", "date")]
-        )
-    )
-    + ") AS t(position, \"column\", type)",
+    f"WITH s AS ({o.entity_sql(spec_of('payments'))}) "
+    + " UNION ALL ".join(
+        f"SELECT {i} AS position, {text_literal(c)} AS \"column\", {text_literal(t)} AS type, count({c}) AS n_values FROM s"
+        for i, (c, t) in enumerate(_PAYMENT_COLUMNS)
+    ),
 )
 def _(spark, sf_dir):
-    return quality.schema_report(spark, silver(spark, sf_dir, "payments"))
+    return quality.schema_report(silver(spark, sf_dir, "payments", audit=False))
+
+
+_CUSTOMER_COLUMNS = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+                     "c_mktsegment": "string"}
 
 
 @query(
     "schema_differences",
-    """SELECT * FROM (VALUES ('c_custkey', CAST(NULL AS VARCHAR), 'bigint'), ('c_name', NULL, 'string'),
-        ('c_nationkey', NULL, 'int'), ('c_acctbal', NULL, 'double'), ('c_mktsegment', NULL, 'string'),
-        """
-    + ", ".join(f"({text_literal(f.name)}, {text_literal(f.dataType.simpleString())}, NULL)"
-                for f in spec_of("customers").schema.fields)
-    + """) AS t("column", expected, actual)""",
+    " UNION ALL ".join(
+        [
+            f"SELECT {text_literal(f.name)} AS \"column\", {text_literal(f.dataType.simpleString())} AS expected,"
+            " CAST(NULL AS VARCHAR) AS actual, CAST(0 AS BIGINT) AS n_values"
+            for f in spec_of("customers").schema.fields
+        ]
+        + [f"SELECT '{c}', NULL, '{t}', count({c}) FROM customer" for c, t in _CUSTOMER_COLUMNS.items()]
+    ),
 )
 def _(spark, sf_dir):
-    return quality.schema_differences(spark, table(spark, sf_dir, "customer"), spec_of("customers").schema)
+    return quality.schema_differences(table(spark, sf_dir, "customer"), spec_of("customers").schema)
 
 
 @query(
