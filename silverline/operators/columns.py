@@ -83,16 +83,21 @@ def clean_date_columns(
     )
 
 
+def text_columns(df: DataFrame) -> set[str]:
+    return {name for name, kind in df.dtypes if kind == "string"}
+
+
 def safe_cast_int(df: DataFrame, col_name: str, null_replacement: int | None = None) -> DataFrame:
-    return df.withColumn(col_name, casts.to_int(F.col(col_name), null_replacement))
+    value = casts.to_int(F.col(col_name), null_replacement, from_text=col_name in text_columns(df))
+    return df.withColumn(col_name, value)
 
 
 def safe_cast_long(df: DataFrame, col_name: str) -> DataFrame:
-    return df.withColumn(col_name, casts.to_long(F.col(col_name)))
+    return cast_schema(df, {col_name: "long"})
 
 
 def safe_cast_double(df: DataFrame, col_name: str) -> DataFrame:
-    return df.withColumn(col_name, casts.to_double(F.col(col_name)))
+    return cast_schema(df, {col_name: "double"})
 
 
 def safe_cast_date(df: DataFrame, col_name: str, date_format: str = dates.ISO_DATE_FORMAT) -> DataFrame:
@@ -105,8 +110,8 @@ def safe_cast_bool(df: DataFrame, col_name: str, default: bool = False) -> DataF
 
 def cast_schema(df: DataFrame, schema_map: Mapping[str, str]) -> DataFrame:
     """Cast columns in place by a map of column to int, long, double, date or bool."""
-    columns = present(df, schema_map, "casts")
-    return df.withColumns({c: casts.cast_value(F.col(c), schema_map[c]) for c in columns})
+    columns, texts = present(df, schema_map, "casts"), text_columns(df)
+    return df.withColumns({c: casts.cast_value(F.col(c), schema_map[c], c in texts) for c in columns})
 
 
 def cast_failure_flags(df: DataFrame, schema_map: Mapping[str, str]) -> DataFrame:
@@ -114,8 +119,10 @@ def cast_failure_flags(df: DataFrame, schema_map: Mapping[str, str]) -> DataFram
 
     Apply it before :func:`cast_schema`, which replaces the raw values.
     """
-    columns = present(df, schema_map, "cast flags")
-    return df.withColumns({f"{c}_cast_failed": casts.cast_failed(F.col(c), schema_map[c]) for c in columns})
+    columns, texts = present(df, schema_map, "cast flags"), text_columns(df)
+    return df.withColumns(
+        {f"{c}_cast_failed": casts.cast_failed(F.col(c), schema_map[c], c in texts) for c in columns}
+    )
 
 
 def audit_values(timestamp_col: str = "ingestion_timestamp") -> dict[str, Column]:

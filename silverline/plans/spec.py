@@ -16,7 +16,13 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from silverline.functions import casts, dates, text, validation
 from silverline.functions.mapping import map_values
-from silverline.operators.columns import audit_values, cast_failure_flags, clean_name, present
+from silverline.operators.columns import (
+    audit_values,
+    cast_failure_flags,
+    clean_name,
+    present,
+    text_columns,
+)
 from silverline.operators.integrity import Rule
 from silverline.operators.lookup import join_lookup, normalized
 
@@ -142,7 +148,7 @@ class EntitySpec:
         types = {c: self.types[c] for c in present(df, self.types, f"{self.name} types")}
         if audit and "ingestion_date" in df.columns:
             df = df.withColumnRenamed("ingestion_date", "bronze_ingestion_date")
-        columns = list(df.columns)
+        columns, texts = list(df.columns), text_columns(df)
 
         if flags:
             raw = df.withColumns({c: casts.null_tokens(F.col(c), *t) for c, t in self.null_tokens.items() if c in columns})
@@ -159,19 +165,19 @@ class EntitySpec:
                 clean[clean_name(column)] = rule.apply(column)
 
         return df.select(
-            *[self._in_place(c, rules.get(c), types.get(c)).alias(c) for c in columns],
+            *[self._in_place(c, rules.get(c), types.get(c), c in texts).alias(c) for c in columns],
             *[value.alias(name) for name, value in clean.items()],
             *extra,
             *[value.alias(name) for name, value in (audit_values() if audit else {}).items()],
         )
 
-    def _in_place(self, column: str, rule: ColumnRule | None, type_name: str | None) -> Column:
+    def _in_place(self, column: str, rule: ColumnRule | None, type_name: str | None, is_text: bool) -> Column:
         value = F.col(column)
         if isinstance(rule, TextRule):
             value = rule.source(value)
         if column in self.null_tokens:
             value = casts.null_tokens(value, *self.null_tokens[column])
-        return casts.cast_value(value, type_name) if type_name else value
+        return casts.cast_value(value, type_name, is_text) if type_name else value
 
 
 def raw_schema(*columns: str) -> StructType:

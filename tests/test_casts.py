@@ -27,12 +27,23 @@ def test_double_of_typed_columns(evaluate):
 
 
 _numbers = st.text(alphabet="0123456789.eE+-dDfFxXpPnaNIinityb, \t_", max_size=9)
+_ODD = ["1", "1.5", " 2 ", "\t3\n", "-4.", "+.5", "1e3", "5d", "6D", "NaN", "+nan", "inf", "-INF", "+infinity", "0x1p3",
+        "0x1.8p1d", "abc", "1,299", "", "  ", ".", "e5", "--1", "1 2", "١", "1_000", None, "1e400", "\u00a01", "5L",
+        "+7", "- 7", "\x0b8\x7f", "00012", "2147483648", "-2147483648", "9223372036854775808", "1.", "٣"]
 
 
 @settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(_numbers, min_size=1, max_size=60))
-def test_double_shape_never_changes_a_cast(evaluate, values):
-    assert repr(evaluate(values, casts.to_double)) == repr(evaluate(values, lambda c: c.try_cast("double")))
+@given(values=st.lists(_numbers, min_size=30, max_size=90))
+def test_shapes_never_change_a_cast(evaluate, values):
+    for cast in (casts.to_int, casts.to_long, casts.to_double):
+        quick = evaluate(values + _ODD, lambda c, cast=cast: cast(c, from_text=True))
+        assert repr(quick) == repr(evaluate(values + _ODD, cast))
+
+
+def test_typed_columns_keep_their_own_casts(spark):
+    df = spark.createDataFrame([(19.99, 7, True)], "a double, b int, c boolean")
+    out = columns.cast_schema(df, {"a": "int", "b": "double", "c": "bool"})
+    assert tuple(out.first()) == (19, 7.0, True)
 
 
 def test_bool(evaluate):
