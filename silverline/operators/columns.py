@@ -19,19 +19,24 @@ CLEAN_SUFFIX = "_clean"
 
 
 class MissingColumnWarning(UserWarning):
-    """A rule names a column the table does not have; the rule was skipped."""
+    """Rules name columns the table does not have; they were skipped."""
+
+    def __init__(self, subject: str, columns: Sequence[str]) -> None:
+        super().__init__(f"{subject}: skipped missing {', '.join(columns)}")
+        self.subject = subject
+        self.columns = list(columns)
 
 
 def clean_name(column: str) -> str:
     return column + CLEAN_SUFFIX
 
 
-def present(df: DataFrame, columns: Iterable[str], why: str) -> list[str]:
+def present(df: DataFrame, columns: Iterable[str], subject: str) -> list[str]:
     """The columns the table has; warns once about the others."""
     wanted = list(columns)
     missing = [c for c in wanted if c not in df.columns]
     if missing:
-        warnings.warn(f"{why}: skipped missing {', '.join(missing)}", MissingColumnWarning, stacklevel=3)
+        warnings.warn(MissingColumnWarning(subject, missing), stacklevel=3)
     return [c for c in wanted if c in df.columns]
 
 

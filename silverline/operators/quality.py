@@ -185,7 +185,10 @@ def entity_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type and the number of values it holds."""
-    return _columns_with_values(df, [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)], ("position", "column", "type"))
+    rows = [
+        {"position": F.lit(i), "column": F.lit(name), "type": F.lit(kind)} for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    return _with_value_counts(df, df.columns, rows)
 
 
 def schema_differences(df: DataFrame, expected: StructType) -> DataFrame:
@@ -196,21 +199,29 @@ def schema_differences(df: DataFrame, expected: StructType) -> DataFrame:
     actual = dict(df.dtypes)
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
     names = list(wanted) + [c for c in actual if c not in wanted]
-    rows = [(c, wanted.get(c), actual.get(c)) for c in names if wanted.get(c) != actual.get(c)]
-    return _columns_with_values(df, rows, ("column", "expected", "actual"))
+    differing = [c for c in names if wanted.get(c) != actual.get(c)]
+    rows = [
+        {
+            "column": F.lit(c),
+            "expected": F.lit(wanted.get(c)).cast("string"),
+            "actual": F.lit(actual.get(c)).cast("string"),
+        }
+        for c in differing
+    ]
+    return _with_value_counts(df, differing, rows)
 
 
-def _columns_with_values(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
-    """Descriptions of columns as rows, each with its count of values, in one pass."""
-    columns = [row[names.index("column")] for row in rows]
-    counted = df.agg(*[(F.count(c) if c in df.columns else F.lit(0)).cast("bigint").alias(f"n{i}") for i, c in enumerate(columns)])
+def _with_value_counts(df: DataFrame, columns: Sequence[str], rows: Sequence[Mapping[str, Column]]) -> DataFrame:
+    """One described column per row, with ``n_values`` counted in one pass."""
+    held = [F.count(c) if c in df.columns else F.lit(0).cast("bigint") for c in columns]
+    counted = df.agg(F.count(F.lit(1)).alias("total"), *[n.alias(f"n{i}") for i, n in enumerate(held)])
     lines = [
-        F.struct(
-            *[F.lit(value).cast("int" if name == "position" else "string").alias(name) for name, value in zip(names, row, strict=True)],
-            F.col(f"n{i}").alias("n_values"),
-        )
+        F.struct(*[value.alias(name) for name, value in row.items()], F.col(f"n{i}").alias("n_values"))
         for i, row in enumerate(rows)
     ]
+    if not lines:
+        lines = [F.lit(None).cast("struct<column: string, expected: string, actual: string, n_values: bigint>")]
+        counted = counted.limit(0)
     return counted.select(F.inline(F.array(*lines)))
 
 

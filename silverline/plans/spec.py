@@ -18,7 +18,6 @@ from silverline.functions import casts, dates, text, validation
 from silverline.functions.mapping import map_values
 from silverline.operators.columns import (
     audit_values,
-    cast_failure_flags,
     clean_name,
     present,
     text_columns,
@@ -149,35 +148,28 @@ class EntitySpec:
         if audit and "ingestion_date" in df.columns:
             df = df.withColumnRenamed("ingestion_date", "bronze_ingestion_date")
         columns, texts = list(df.columns), text_columns(df)
-
-        if flags:
-            raw = df.withColumns({c: casts.null_tokens(F.col(c), *t) for c, t in self.null_tokens.items() if c in columns})
-            df = cast_failure_flags(raw, types)
-        extra = [c for c in df.columns if c not in columns]
+        lookups = lookups or {}
 
         clean: dict[str, Column] = {}
         for number, (column, rule) in enumerate(rules.items()):
             if isinstance(rule, ReferenceRule):
                 standard = f"lookup_standard_{number}"
-                df = join_lookup(df, column, (lookups or {})[rule.lookup]).withColumnRenamed("lookup_standard", standard)
+                joined = join_lookup(df, column, lookups[rule.lookup])
+                df = joined.withColumnRenamed("lookup_standard", standard)
                 clean[clean_name(column)] = normalized(F.col(column), F.col(standard))
             else:
                 clean[clean_name(column)] = rule.apply(column)
 
-        return df.select(
-            *[self._in_place(c, rules.get(c), types.get(c), c in texts).alias(c) for c in columns],
-            *[value.alias(name) for name, value in clean.items()],
-            *extra,
-            *[value.alias(name) for name, value in (audit_values() if audit else {}).items()],
-        )
+        raw = {c: self._raw_value(c, rules.get(c)) for c in columns}
+        typed = {c: casts.cast_value(raw[c], types[c], c in texts) if c in types else raw[c] for c in columns}
+        failed = {f"{c}_cast_failed": casts.cast_failed(raw[c], types[c], c in texts) for c in types if flags}
+        stamps = audit_values() if audit else {}
+        return df.select(*[v.alias(name) for name, v in (typed | clean | failed | stamps).items()])
 
-    def _in_place(self, column: str, rule: ColumnRule | None, type_name: str | None, is_text: bool) -> Column:
-        value = F.col(column)
-        if isinstance(rule, TextRule):
-            value = rule.source(value)
-        if column in self.null_tokens:
-            value = casts.null_tokens(value, *self.null_tokens[column])
-        return casts.cast_value(value, type_name, is_text) if type_name else value
+    def _raw_value(self, column: str, rule: ColumnRule | None) -> Column:
+        """The raw column without HTML tags and without words that mean "no value"."""
+        value = rule.source(F.col(column)) if isinstance(rule, TextRule) else F.col(column)
+        return casts.null_tokens(value, *self.null_tokens[column]) if column in self.null_tokens else value
 
 
 def raw_schema(*columns: str) -> StructType:

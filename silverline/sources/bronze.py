@@ -48,7 +48,9 @@ def read_all_bronze(
     return {entity: read_bronze(spark, root, entity, schema, multi_line) for entity, schema in schemas.items()}
 
 
-def read_pages(spark: SparkSession, path: str | Iterable[str], schema: StructType, multi_line: bool = False) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str | Iterable[str], schema: StructType, multi_line: bool = False
+) -> DataFrame:
     """Saved API pages: ``{"data": [records], "total": n}``, one per row."""
     envelope = StructType([StructField("data", ArrayType(schema)), StructField("total", LongType())])
     paths = path if isinstance(path, str) else list(path)

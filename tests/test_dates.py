@@ -110,8 +110,9 @@ def test_iso_text(evaluate):
 
 def test_clean_date_columns_skips_missing(spark):
     df = spark.createDataFrame([("2024-01-05",)], "a string")
-    with pytest.warns(columns.MissingColumnWarning, match="b"):
+    with pytest.warns(columns.MissingColumnWarning, match="b") as caught:
         out = columns.clean_date_columns(df, ["a", "b"])
+    assert caught[0].message.columns == ["b"]
     assert out.dtypes == [("a", "string"), ("a_clean", "date")]
 
 

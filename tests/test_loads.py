@@ -34,7 +34,10 @@ def test_array_files_are_read_with_declared_types(spark, tmp_path):
     rows = {r.id: r for r in df.collect()}
     assert (rows[1].max_uses, rows[1].is_active, rows[3].min_order) == ("5", "true", "19.5")
     assert str(rows[3].ingestion_date) == "2024-01-02" and rows[3].run_id is None
-    assert df.filter("ingestion_date = DATE'2024-01-01'").count() == 2
+    one_day = df.filter("ingestion_date = DATE'2024-01-01'")
+    assert one_day.count() == 2
+    scan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_date" in scan
     both = bronze.read_all_bronze(spark, str(tmp_path), {"coupons": COUPONS}, multi_line=True)
     assert both["coupons"].count() == 3
 
