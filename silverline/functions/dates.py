@@ -70,7 +70,7 @@ def _either_case(literal: str) -> str:
 
 
 def format_shape(fmt: str) -> tuple[str | None, str]:
-    """Shape regex of a format and its separator (empty when it has none).
+    """Shape regex of a format and its literal characters.
 
     The regex is None when the format has a field whose texts are not known here.
     """
@@ -82,34 +82,42 @@ def format_shape(fmt: str) -> tuple[str | None, str]:
         literal = "" if letter else (text if quoted is None else quoted)
         literals += literal
         pattern += _FIELD_SHAPES[text] if letter else _either_case(literal)
-    separator = next((s for s in _SEPARATORS if s in literals), "")
-    return f"^{pattern}$", separator
+    return f"^{pattern}$", literals
 
 
-def _families(formats: Sequence[str]) -> dict[str, list[tuple[str | None, str]]]:
-    """(shape, format) pairs by separator, in order of priority.
+def _grouped(formats: Sequence[str]) -> dict[bool, dict[str, list[tuple[str, str]]]] | None:
+    """(shape, format) pairs by "has a time of day", then by separator, each in order.
 
-    Fields hold letters and digits only, so two formats that can read the same value
-    have the same separators, and the grouping keeps the priority between them. With a
-    format whose shape is not known there is one group and no shape test.
+    Fields hold letters, digits and signs of years only, so two formats that can read the
+    same value have the same literals, and the grouping keeps the priority between them.
+    None when a format's shape is not known.
     """
-    shapes = [format_shape(fmt) for fmt in formats]
-    if any(shape is None for shape, _ in shapes):
-        return {"": [(None, fmt) for fmt in formats]}
-    families: dict[str, list[tuple[str | None, str]]] = {}
-    for fmt, (shape, separator) in zip(formats, shapes, strict=True):
-        families.setdefault(separator, []).append((shape, fmt))
-    return families
+    groups: dict[bool, dict[str, list[tuple[str, str]]]] = {}
+    for fmt in formats:
+        shape, literals = format_shape(fmt)
+        if shape is None:
+            return None
+        separator = next((s for s in _SEPARATORS if s in literals), "")
+        groups.setdefault(":" in literals, {}).setdefault(separator, []).append((shape, fmt))
+    return groups
 
 
 def _cascade(col: Column, formats: Sequence[str], parse: Callable[[Column, str], Column]) -> Column:
     """First format that parses wins, trying a format only on values of its shape."""
-    families = []
-    for separator, members in _families(formats).items():
-        steps = [F.when(col.rlike(shape), parse(col, fmt)) if shape else parse(col, fmt) for shape, fmt in members]
-        tried = F.coalesce(*steps)
-        families.append(F.when(col.contains(separator), tried) if separator else tried)
-    return F.coalesce(*families)
+    groups = _grouped(formats)
+    if groups is None:
+        return F.coalesce(*[parse(col, fmt) for fmt in formats])
+
+    def tried(families: dict[str, list[tuple[str, str]]]) -> Column:
+        alternatives = []
+        for separator, members in families.items():
+            steps = F.coalesce(*[F.when(col.rlike(shape), parse(col, fmt)) for shape, fmt in members])
+            alternatives.append(F.when(col.contains(separator), steps) if separator else steps)
+        return F.coalesce(*alternatives)
+
+    if len(groups) == 1:
+        return tried(next(iter(groups.values())))
+    return F.when(col.contains(":"), tried(groups[True])).otherwise(tried(groups[False]))
 
 
 def _cascade_sql(name: str, formats: Sequence[str], function: str) -> str:
@@ -119,16 +127,27 @@ def _cascade_sql(name: str, formats: Sequence[str], function: str) -> str:
     column; as text it takes one.
     """
     column = "`" + name.replace("`", "``") + "`"
-    families = []
-    for separator, members in _families(formats).items():
-        steps = []
-        for shape, fmt in members:
-            quoted = fmt.replace("\\", "\\\\").replace("'", "\\'")
-            parsed = f"{function}({column}, '{quoted}')"
-            steps.append(f"CASE WHEN {column} RLIKE r'{shape}' THEN {parsed} END" if shape else parsed)
-        tried = f"coalesce({', '.join(steps)})"
-        families.append(f"CASE WHEN contains({column}, '{separator}') THEN {tried} END" if separator else tried)
-    return f"coalesce({', '.join(families)})"
+    groups = _grouped(formats)
+
+    def parsed(fmt: str) -> str:
+        quoted = fmt.replace("\\", "\\\\").replace("'", "\\'")
+        return f"{function}({column}, '{quoted}')"
+
+    def tried(families: dict[str, list[tuple[str, str]]]) -> str:
+        alternatives = []
+        for separator, members in families.items():
+            cases = [f"CASE WHEN {column} RLIKE r'{shape}' THEN {parsed(fmt)} END" for shape, fmt in members]
+            steps = f"coalesce({', '.join(cases)})"
+            alternatives.append(
+                f"CASE WHEN contains({column}, '{separator}') THEN {steps} END" if separator else steps
+            )
+        return f"coalesce({', '.join(alternatives)})"
+
+    if groups is None:
+        return f"coalesce({', '.join(parsed(fmt) for fmt in formats)})"
+    if len(groups) == 1:
+        return tried(next(iter(groups.values())))
+    return f"CASE WHEN contains({column}, ':') THEN {tried(groups[True])} ELSE {tried(groups[False])} END"
 
 
 def _ordered(formats: Sequence[str], precedence: str) -> list[str]:
