@@ -8,7 +8,7 @@ from silverline.functions import casts, dates, mapping, text, validation
 from silverline.operators import columns
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql
-from workload.registry import dates_as_text, query, table
+from workload.registry import portable, query, table
 
 # Text
 
@@ -149,7 +149,7 @@ def _(spark, sf_dir):
 @query("parse_dates", f"SELECT id, paid_at, {o.date_string('paid_at')} AS paid_on FROM ({bronze_sql('payments')}) b")
 def _(spark, sf_dir):
     paid = dates.parse_date(F.col("paid_at")).alias("paid_on")
-    return dates_as_text(bronze(spark, sf_dir, "payments").select("id", "paid_at", paid))
+    return portable(bronze(spark, sf_dir, "payments").select("id", "paid_at", paid))
 
 
 @query(
@@ -158,7 +158,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     paid = dates.parse_date(F.col("paid_at"), precedence="last").alias("paid_on")
-    return dates_as_text(bronze(spark, sf_dir, "payments").select("id", "paid_at", paid))
+    return portable(bronze(spark, sf_dir, "payments").select("id", "paid_at", paid))
 
 
 @query(
@@ -169,7 +169,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     created = dates.parse_date(F.col("created_at"), "dd/MM/yyyy").alias("created_on")
-    return dates_as_text(bronze(spark, sf_dir, "payments").select("id", "created_at", created))
+    return portable(bronze(spark, sf_dir, "payments").select("id", "created_at", created))
 
 
 @query("iso_dates", f"SELECT id, {o.date_string('last_restock')} AS restocked FROM ({bronze_sql('inventory')}) b")
@@ -200,7 +200,7 @@ _SHIP_DATES = ["estimated_delivery", "actual_delivery", "created_at", "updated_a
 )
 def _(spark, sf_dir):
     cleaned = columns.clean_date_columns(bronze(spark, sf_dir, "shipping"), _SHIP_DATES)
-    return dates_as_text(cleaned.select("id", *[f"{c}_clean" for c in _SHIP_DATES]))
+    return portable(cleaned.select("id", *[f"{c}_clean" for c in _SHIP_DATES]))
 
 
 @query(
@@ -220,10 +220,15 @@ def _(spark, sf_dir):
 # Casts
 
 
-@query("cast_int", f"SELECT id, quantity AS raw, {o.as_int('quantity')} AS quantity FROM ({bronze_sql('inventory')}) b")
+@query(
+    "cast_int",
+    o.portable(
+        f"SELECT id, quantity AS raw, {o.as_int('quantity')} AS quantity FROM ({bronze_sql('inventory')}) b", "quantity"
+    ),
+)
 def _(spark, sf_dir):
     raw = bronze(spark, sf_dir, "inventory").withColumn("raw", F.col("quantity"))
-    return columns.safe_cast_int(raw, "quantity").select("id", "raw", "quantity")
+    return portable(columns.safe_cast_int(raw, "quantity").select("id", "raw", "quantity"), "quantity")
 
 
 @query(
@@ -235,9 +240,13 @@ def _(spark, sf_dir):
     return columns.safe_cast_int(raw, "reorder_point", null_replacement=0).select("id", "reorder_point")
 
 
-@query("cast_long", f"SELECT id, {o.as_int('order_id', 'BIGINT')} AS order_id FROM ({bronze_sql('shipping')}) b")
+@query(
+    "cast_long",
+    o.portable(f"SELECT id, {o.as_int('order_id', 'BIGINT')} AS order_id FROM ({bronze_sql('shipping')}) b", "order_id"),
+)
 def _(spark, sf_dir):
-    return columns.safe_cast_long(bronze(spark, sf_dir, "shipping"), "order_id").select("id", "order_id")
+    cast = columns.safe_cast_long(bronze(spark, sf_dir, "shipping"), "order_id")
+    return portable(cast.select("id", "order_id"), "order_id")
 
 
 @query("cast_double", f"SELECT id, amount AS raw, {o.as_double('amount')} AS amount FROM ({bronze_sql('payments')}) b")
@@ -265,7 +274,7 @@ def _(spark, sf_dir):
         FROM ({bronze_sql('coupons')}) b""",
 )
 def _(spark, sf_dir):
-    return dates_as_text(columns.safe_cast_date(bronze(spark, sf_dir, "coupons"), "expires_at").select("id", "expires_at"))
+    return portable(columns.safe_cast_date(bronze(spark, sf_dir, "coupons"), "expires_at").select("id", "expires_at"))
 
 
 _COUPON_TYPES = {"discount_value": "double", "min_order": "long", "max_uses": "int", "is_active": "bool"}
@@ -273,11 +282,16 @@ _COUPON_TYPES = {"discount_value": "double", "min_order": "long", "max_uses": "i
 
 @query(
     "cast_schema",
-    f"""SELECT id, {', '.join(f'{o.typed(c, t)} AS {c}' for c, t in _COUPON_TYPES.items())}
+    o.portable(
+        f"""SELECT id, {', '.join(f'{o.typed(c, t)} AS {c}' for c, t in _COUPON_TYPES.items())}
         FROM ({bronze_sql('coupons')}) b""",
+        "min_order",
+        "max_uses",
+    ),
 )
 def _(spark, sf_dir):
-    return columns.cast_schema(bronze(spark, sf_dir, "coupons"), _COUPON_TYPES).select("id", *_COUPON_TYPES)
+    cast = columns.cast_schema(bronze(spark, sf_dir, "coupons"), _COUPON_TYPES)
+    return portable(cast.select("id", *_COUPON_TYPES), "min_order", "max_uses")
 
 
 def _failed(x: str, kind: str) -> str:
@@ -298,13 +312,17 @@ def _(spark, sf_dir):
 
 @query(
     "stock_unlimited",
-    f"""SELECT id, stock AS raw, {o.as_int("CASE WHEN lower(trim(stock)) = 'unlimited' THEN NULL ELSE stock END")} AS stock
+    o.portable(
+        f"""SELECT id, stock AS raw,
+        {o.as_int("CASE WHEN lower(trim(stock)) = 'unlimited' THEN NULL ELSE stock END")} AS stock
         FROM ({bronze_sql('products')}) b""",
+        "stock",
+    ),
 )
 def _(spark, sf_dir):
     raw = bronze(spark, sf_dir, "products")
     known = casts.null_tokens(F.col("stock"), "unlimited")
-    return raw.select("id", F.col("stock").alias("raw"), casts.to_int(known).alias("stock"))
+    return portable(raw.select("id", F.col("stock").alias("raw"), casts.to_int(known).alias("stock")), "stock")
 
 
 # Category maps

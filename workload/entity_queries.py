@@ -6,7 +6,7 @@ from silverline.operators import quality
 from silverline.plans.transformation import run_cleaning, run_transformation
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of
-from workload.registry import dates_as_text, query
+from workload.registry import portable, query
 
 ENTITIES = [
     "customers",
@@ -28,13 +28,13 @@ def silver(spark, sf_dir, entity, **options):
 
 def _entity_query(entity):
     def run(spark, sf_dir):
-        return dates_as_text(silver(spark, sf_dir, entity, audit=False))
+        return portable(silver(spark, sf_dir, entity, audit=False), *o.integers_of(spec_of(entity)))
 
     return run
 
 
 for _entity in ENTITIES:
-    query(f"entity_{_entity}", o.entity_sql(spec_of(_entity)))(_entity_query(_entity))
+    query(f"entity_{_entity}", o.portable_entity(spec_of(_entity)))(_entity_query(_entity))
 
 
 @query(

@@ -17,7 +17,7 @@ from silverline.streaming.bronze_stream import stream_to_silver
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of
 from workload.entity_queries import ENTITIES, silver
-from workload.registry import dates_as_text, query
+from workload.registry import portable, query
 
 _DAY, _RUN = "2024-06-01", "000001"
 _SINCE = "1999-06-01 00:00:00"
@@ -36,7 +36,7 @@ def _raw_columns(entity: str) -> list[str]:
 def _(spark, sf_dir):
     root = scratch_path(spark, "landing")
     landing.write_bronze(bronze(spark, sf_dir, "payments"), root, "payments", _DAY, _RUN)
-    return dates_as_text(landing.read_bronze(spark, root, "payments", spec_of("payments").schema))
+    return portable(landing.read_bronze(spark, root, "payments", spec_of("payments").schema))
 
 
 @query(
@@ -170,21 +170,21 @@ def _(spark, sf_dir):
 
 @query(
     "latest_payments",
-    f"""SELECT order_id, id, amount, updated_at_clean FROM (
+    f"""SELECT CAST(order_id AS VARCHAR) AS order_id, id, amount, updated_at_clean FROM (
         SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at_clean DESC NULLS LAST, id DESC) AS r
         FROM ({o.entity_sql(spec_of('payments'))}) s) t WHERE r = 1""",
 )
 def _(spark, sf_dir):
     versions = silver(spark, sf_dir, "payments").select("order_id", "id", "amount", "updated_at_clean")
-    return dates_as_text(latest_per_key(versions, "order_id", order=["updated_at_clean", "id"]))
+    return portable(latest_per_key(versions, "order_id", order=["updated_at_clean", "id"]), "order_id")
 
 
-@query("silver_roundtrip", o.entity_sql(spec_of("inventory")))
+@query("silver_roundtrip", o.portable_entity(spec_of("inventory")))
 def _(spark, sf_dir):
     root = scratch_path(spark, "silver")
     write_silver(silver(spark, sf_dir, "inventory"), root, "inventory")
     stored = read_silver(spark, root, "inventory")
-    return dates_as_text(stored.drop("ingestion_timestamp", "ingestion_date"))
+    return portable(stored.drop("ingestion_timestamp", "ingestion_date"), *o.integers_of(spec_of("inventory")))
 
 
 @query(
@@ -222,7 +222,7 @@ def _(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
-@query("stream_to_silver", o.entity_sql(spec_of("customers")))
+@query("stream_to_silver", o.portable_entity(spec_of("customers")))
 def _(spark, sf_dir):
     """Landed files cleaned by a stream that stops when it has caught up."""
     bronze_root, silver_root = scratch_path(spark, "landing"), scratch_path(spark, "silver")
@@ -234,14 +234,14 @@ def _(spark, sf_dir):
     )
     stream.awaitTermination()
     stored = read_silver(spark, silver_root, "customers")
-    return dates_as_text(stored.drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id"))
+    return portable(stored.drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id"))
 
 
-@query("bronze_to_silver", o.entity_sql(spec_of("reviews")))
+@query("bronze_to_silver", o.portable_entity(spec_of("reviews")))
 def _(spark, sf_dir):
     """From raw JSON on storage to the cleaned table, whole texts included."""
     root = scratch_path(spark, "landing")
     landing.write_bronze(bronze(spark, sf_dir, "reviews"), root, "reviews", _DAY, _RUN)
     raw = landing.read_bronze(spark, root, "reviews", spec_of("reviews").schema)
     cleaned = run_cleaning(raw, spark, spec=spec_of("reviews"), audit=False)
-    return dates_as_text(cleaned.drop("ingestion_date", "run_id"))
+    return portable(cleaned.drop("ingestion_date", "run_id"), *o.integers_of(spec_of("reviews")))

@@ -180,3 +180,20 @@ def entity_sql(spec: EntitySpec) -> str:
     raw = [f"{in_place(spec, f.name)} AS {f.name}" for f in spec.schema.fields]
     clean = [f"{cleaned(spec, c)} AS {c}_clean" for c in spec.rules]
     return f"WITH b AS ({bronze_sql(spec.name)}) SELECT {', '.join(raw + clean)} FROM b"
+
+
+def integers_of(spec: EntitySpec) -> list[str]:
+    """Integer columns an entity casts from text, which may hold NULLs."""
+    return [c for c, kind in spec.types.items() if kind in ("int", "long") and c != "id"]
+
+
+def portable(sql: str, *integers: str) -> str:
+    """The same rows with the named integer columns as text."""
+    if not integers:
+        return sql
+    texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in integers)
+    return f"SELECT * REPLACE ({texts}) FROM ({sql}) typed"
+
+
+def portable_entity(spec: EntitySpec) -> str:
+    return portable(entity_sql(spec), *integers_of(spec))

@@ -31,7 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dates_as_text(df: DataFrame) -> DataFrame:
-    """DATE columns as ISO text, which every engine and client prints the same way."""
+def portable(df: DataFrame, *integers: str) -> DataFrame:
+    """DATE columns and the named integer columns, which hold NULLs, as text.
+
+    Clients turn nullable integers into floats and dates into timestamps, each in its own
+    way; as text they are the same everywhere.
+    """
     kinds = dict(df.dtypes)
-    return df.select(*[F.col(c).cast("string").alias(c) if kinds[c] == "date" else F.col(c) for c in df.columns])
+    as_text = {c for c in df.columns if kinds[c] == "date" or c in integers}
+    return df.select(*[F.col(c).cast("string").alias(c) if c in as_text else F.col(c) for c in df.columns])

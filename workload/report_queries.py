@@ -13,7 +13,7 @@ from silverline.plans.transformation import normalize_country, run_cleaning, wit
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of, text_literal
 from workload.entity_queries import silver
-from workload.registry import dates_as_text, query, table
+from workload.registry import portable, query, table
 
 
 def silver_sql(entity: str) -> str:
@@ -68,12 +68,12 @@ def _(spark, sf_dir):
         SELECT country, n_rows, name, CAST(levenshtein(upper(trim(country)), upper(name)) AS INTEGER) AS d,
                row_number() OVER (PARTITION BY country ORDER BY levenshtein(upper(trim(country)), upper(name)), name) AS r
         FROM misses, (VALUES {', '.join(f"({text_literal(c)})" for c in _CATALOGUE)}) AS c(name))
-    SELECT country, n_rows, CASE WHEN d <= 3 THEN name END AS suggestion, CASE WHEN d <= 3 THEN d END AS distance
+    SELECT country, n_rows, CASE WHEN d <= 3 THEN name END AS suggestion, CASE WHEN d <= 3 THEN CAST(d AS VARCHAR) END AS distance
     FROM ranked WHERE r = 1""",
 )
 def _(spark, sf_dir):
     cleaned = normalize_country(bronze(spark, sf_dir, "customers"))
-    return lookup.suggest_for_unmatched(cleaned, "country", _CATALOGUE, max_distance=3)
+    return portable(lookup.suggest_for_unmatched(cleaned, "country", _CATALOGUE, max_distance=3), "distance")
 
 
 _PLACES = [("New York", "United States"), ("St. Louis", "United States"), ("Paris", "France"),
@@ -297,7 +297,7 @@ def _(spark, sf_dir):
         FROM {silver_sql('categories')}""",
 )
 def _(spark, sf_dir):
-    return dates_as_text(quality.before_after(silver(spark, sf_dir, "categories", audit=False), keys=["id"]))
+    return portable(quality.before_after(silver(spark, sf_dir, "categories", audit=False), keys=["id"]))
 
 
 @query(
@@ -452,9 +452,12 @@ for _entity in ("inventory", "payments", "products", "reviews", "shipping", "sup
 
     def _rules(spark, sf_dir, entity=_entity, column=_column):
         checked = silver(spark, sf_dir, entity, rules=True)
-        return checked.select("id", column, *[f"{r.name}_violated" for r in spec_of(entity).constraints])
+        flags = [f"{r.name}_violated" for r in spec_of(entity).constraints]
+        return portable(checked.select("id", column, *flags), *o.integers_of(spec_of(entity)))
 
-    query(f"rules_{_entity}", f"SELECT id, {_value} AS {_column}, {_flags} FROM {silver_sql(_entity)}")(_rules)
+    _integers = [_column] if _column in o.integers_of(spec_of(_entity)) else []
+    _sql = o.portable(f"SELECT id, {_value} AS {_column}, {_flags} FROM {silver_sql(_entity)}", *_integers)
+    query(f"rules_{_entity}", _sql)(_rules)
 
 
 _RULED = ["customers", "inventory", "payments", "products", "reviews", "shipping", "suppliers"]
