@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from silverline.operators import integrity, quality
-from silverline.operators.versions import latest_per_key
+from silverline.operators.versions import latest_per_key, latest_raw
 
 
 @pytest.fixture
@@ -152,3 +152,20 @@ def test_latest_per_key_with_one_hot_key(spark):
     assert got.count() == hot.select("id").distinct().count()
     newest = got.filter("id = -1").first()
     assert newest.updated_at_clean == 6 and newest.version == max(v for v in range(0, 20000, 3) if v % 7 == 6)
+
+
+def test_latest_raw_uses_the_time_of_day(spark):
+    rows = [
+        (1, "2024-01-02 08:00:00", "r1", "morning"),
+        (1, "02-01-2024", "r9", "february"),
+        (2, "2024-01-02 08:00:00", "r1", "morning"),
+        (2, "2024-01-02T20:00:00", "r1", "evening"),
+        (3, "bad-date", "r1", "unread"),
+        (3, "1999-01-01", "r1", "read"),
+        (4, "2024-01-01", "r1", "first"),
+        (4, "2024/01/01", "r2", "second"),
+    ]
+    df = spark.createDataFrame(rows, "id int, updated_at string, run_id string, note string")
+    got = latest_raw(df)
+    assert got.columns == df.columns
+    assert sorted((r.id, r.note) for r in got.collect()) == [(1, "february"), (2, "evening"), (3, "read"), (4, "second")]

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from silverline.operators.versions import latest_per_key
+from silverline.operators.versions import latest_per_key, latest_raw
 from silverline.plans.transformation import run_cleaning
 from silverline.session import scratch_path
 from silverline.sources import bronze as landing
@@ -179,6 +179,18 @@ def _(spark, sf_dir):
     return portable(latest_per_key(versions, "order_id", order=["updated_at_clean", "id"]), "order_id")
 
 
+@query(
+    "latest_raw_versions",
+    f"""SELECT warehouse, id, updated_at FROM (
+        SELECT *, row_number() OVER (PARTITION BY warehouse ORDER BY {o.moment('updated_at')} DESC NULLS LAST, id DESC) AS r
+        FROM ({_raw_sql('inventory')}) b) t WHERE r = 1""",
+)
+def _(spark, sf_dir):
+    """Few keys, each with very many versions."""
+    versions = bronze(spark, sf_dir, "inventory").select("warehouse", "id", "updated_at")
+    return latest_raw(versions, "warehouse")
+
+
 @query("silver_roundtrip", o.portable_entity(spec_of("inventory")))
 def _(spark, sf_dir):
     root = scratch_path(spark, "silver")
