@@ -28,13 +28,17 @@ from silverline.operators.lookup import join_lookup, normalized
 
 @dataclass(frozen=True)
 class TextRule:
-    """How one text column is cleaned. ``strip_html`` also replaces the raw column."""
+    """How one text column is cleaned. ``strip_html`` also replaces the raw column.
+
+    Letters are ASCII ones unless ``unicode`` is set.
+    """
 
     keep_chars: str = ""
     replacement: str = text.UNKNOWN
     case_mode: str = "title"
     keep_digits: bool = False
     strip_html: bool = False
+    unicode: bool = False
 
     def __post_init__(self) -> None:
         if self.case_mode not in text.CASE_MODES:
@@ -45,7 +49,12 @@ class TextRule:
 
     def apply(self, column: str) -> Column:
         return text.clean_text(
-            self.source(F.col(column)), self.keep_chars, self.replacement, self.case_mode, self.keep_digits
+            self.source(F.col(column)),
+            self.keep_chars,
+            self.replacement,
+            self.case_mode,
+            self.keep_digits,
+            self.unicode,
         )
 
 

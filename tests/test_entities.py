@@ -1,9 +1,11 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql.types import IntegerType, LongType, StringType
 
 from silverline.operators import columns, quality
 from silverline.plans.entities import ENTITY_SPECS
-from silverline.plans.spec import EntitySpec, MapRule, TextRule
+from silverline.plans.spec import DateRule, EntitySpec, MapRule, TextRule
 from silverline.plans.transformation import (
     CLEANERS,
     run_customer_cleaning,
@@ -194,6 +196,13 @@ def test_own_specification(spark):
         TextRule(case_mode="shout")
 
 
+def test_unicode_letters_and_last_date_format(spark):
+    spec = ENTITY_SPECS["customers"]
+    own = replace(spec, rules={"name": TextRule("'-", unicode=True), "created_at": DateRule(precedence="last")})
+    row = run_customer_cleaning(one(spark, "customers", name="josé  MÜLLER 2", created_at="01-05-2024"), spark, spec=own).first()
+    assert (row.name_clean, str(row.created_at_clean)) == ("José Müller", "2024-05-01")
+
+
 def test_plans_are_native_and_flat(spark, sf_dir):
     for entity in CONTRACTS:
         plan = CLEANERS[entity](bronze(spark, sf_dir, entity), spark)._jdf.queryExecution().executedPlan().toString()
