@@ -5,13 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silverline.llm import curriculum, sharding
+from silverline.llm import block_neighbours, curriculum, impact_index, packing, quality_mil, sharding
 from silverline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_impact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_index.impact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP2_SQL = """
+WITH held AS (
+    SELECT vec_id, min(embedding) AS vector FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id),
+whole AS (SELECT vec_id, list_transform(vector, lambda x: floor(256 * x::DOUBLE)) AS vector FROM held),
+scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id,
+        coalesce(list_sum(list_transform(list_zip(q.vector, v.vector), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+    FROM whole q JOIN whole v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op5_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
 
@@ -46,8 +71,35 @@ SELECT p.doc_id, p.size, t.source_size, t.target,
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 """
 
+def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_neighbours.block_nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP10_SQL = """
+WITH held AS (
+    SELECT vec_id, min(embedding) AS vector FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    GROUP BY vec_id),
+scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id,
+        list_reduce(list_transform(list_zip(q.vector, v.vector), lambda z: z[1]::DOUBLE * z[2]::DOUBLE), lambda a, b: a + b) AS score
+    FROM held q JOIN held v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 QUERIES: dict[str, Query] = {
+    "op1_best_two_fit_packing": op1_best_two_fit_packing,
+    "op2_impact_top_k": op2_impact_top_k,
     "op5_hash_tree_sharding": op5_hash_tree_sharding,
     "op8_curriculum_mix": op8_curriculum_mix,
+    "op9_quality_mil": op9_quality_mil,
+    "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
 }
-ORACLES: dict[str, str] = {"op8_curriculum_mix": OP8_SQL}
+ORACLES: dict[str, str] = {"op2_impact_top_k": OP2_SQL, "op8_curriculum_mix": OP8_SQL, "op10_block_matrix_neighbours": OP10_SQL}
