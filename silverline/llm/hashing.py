@@ -76,12 +76,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(np.add.reduceat(values, first) + lengths.astype(np.uint64))
 
 
-def hashed_words(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """The word hashes of each text in turn; words are separated by ASCII white space."""
+def hashed_words(texts: list[bytes], spaces: np.ndarray = SPACES) -> Iterator[np.ndarray]:
+    """The word hashes of each text in turn; words are what stands between the bytes marked in ``spaces``."""
     at, pieces = 0, []
     for numbers, parts in groups(texts):
         data = np.frombuffer(b"\n".join(parts), dtype=np.uint8)
-        starts, ends = word_spans(data)
+        starts, ends = word_spans(data, spaces)
         hashes = word_hashes(data, starts, ends)
         borders = np.cumsum([0, *[len(p) + 1 for p in parts]])
         cuts = np.searchsorted(starts, borders)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import block_neighbours, curriculum, impact_index, packing, quality_mil, sharding
+from silverline.llm import block_neighbours, curriculum, impact_index, licenses, packing, pii, quality_mil, secret_scan, sharding
 from silverline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +37,22 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op3_recursive_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op4_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op5_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
 
 
+def op6_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "first_position")
 
@@ -97,7 +109,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit_packing": op1_best_two_fit_packing,
     "op2_impact_top_k": op2_impact_top_k,
+    "op3_recursive_secret_scan": op3_recursive_secret_scan,
+    "op4_deobfuscated_pii": op4_deobfuscated_pii,
     "op5_hash_tree_sharding": op5_hash_tree_sharding,
+    "op6_diagonal_license_scan": op6_diagonal_license_scan,
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_quality_mil": op9_quality_mil,
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,

@@ -10,7 +10,7 @@ from silverline.llm.common import process_cache
 # How byte-level vocabularies spell bytes. Printable ones stand for themselves, the others follow 255 in order.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # Characters on which splitting by Python and by the tokenizer differ; such texts go to the tokenizer whole.
-_ODD_SPACES = "\x1c\x1d\x1e\x1f᠎"
+_ODD_SPACES = tuple(map(chr, (0x1C, 0x1D, 0x1E, 0x1F, 0x180E)))
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
 _PIECES = re.compile(r"[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+")
 _SLICE = 1 << 20
