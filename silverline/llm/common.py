@@ -12,20 +12,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written once to the folder all executors share (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
 
     Only where that setting is missing and the session is local does a folder of this machine take its place.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = tempfile.mkdtemp(prefix="silverline-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder; Spark removes them when nothing refers to them any more."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            root = tempfile.mkdtemp(prefix="silverline-")
-        context.setCheckpointDir(root)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import block_neighbours, curriculum, impact_index, licenses, packing, pii, quality_mil, secret_scan, sharding
+from silverline.llm import block_neighbours, curriculum, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
 from silverline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op6_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_t_occurrence_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "first_position")
 
@@ -106,6 +110,12 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # stands beside this library, at the top of the repository
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit_packing": op1_best_two_fit_packing,
     "op2_impact_top_k": op2_impact_top_k,
@@ -113,8 +123,10 @@ QUERIES: dict[str, Query] = {
     "op4_deobfuscated_pii": op4_deobfuscated_pii,
     "op5_hash_tree_sharding": op5_hash_tree_sharding,
     "op6_diagonal_license_scan": op6_diagonal_license_scan,
+    "op7_t_occurrence_jaccard": op7_t_occurrence_jaccard,
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_quality_mil": op9_quality_mil,
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op2_impact_top_k": OP2_SQL, "op8_curriculum_mix": OP8_SQL, "op10_block_matrix_neighbours": OP10_SQL}
