@@ -31,7 +31,8 @@ class Shard:
 def shard_tree(shards: int, racks_per_region: int = 2, shards_per_rack: int = 2, base: int = 8) -> list[Shard]:
     """The tree of a shard count: ``base`` shards fill regions; every later shard founds a region of its own.
 
-    So the tree of one more shard has one more region and all other weights unchanged, and rows move only into it.
+    So from ``base`` shards on, the tree of one more shard has one more region and all other weights unchanged, and
+    rows move only into it.
     """
     per_region = racks_per_region * shards_per_rack
     tree = []
