@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from silverline.functions.dates import ISO_DATE_FORMAT
+from silverline.functions.mapping import map_values
 
 # Spellings of true and false.
 TRUE_VALUES = ("1", "true", "yes", "t", "y", "si", "s")
@@ -47,12 +48,8 @@ def to_date(col: Column, date_format: str = ISO_DATE_FORMAT) -> Column:
 
 def to_bool(col: Column, default: bool = False) -> Column:
     """True/false spellings; anything else, NULL too, gives ``default``."""
-    value = F.lower(F.trim(col.cast("string")))
-    return (
-        F.when(value.isin(*TRUE_VALUES), F.lit(True))
-        .when(value.isin(*FALSE_VALUES), F.lit(False))
-        .otherwise(F.lit(default))
-    )
+    spellings = {**dict.fromkeys(TRUE_VALUES, "true"), **dict.fromkeys(FALSE_VALUES, "false")}
+    return map_values(col.cast("string"), spellings, str(default).lower()).cast("boolean")
 
 
 # Type names of a type map, each with its cast of a column that is text or is not.

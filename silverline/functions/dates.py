@@ -41,6 +41,7 @@ KNOWN_DATE_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
 ]
 
+# Fixed value: how dates are written.
 ISO_DATE_FORMAT = "yyyy-MM-dd"
 
 # What each pattern letter run can match at most. Years may be longer than four
@@ -72,8 +73,11 @@ def _either_case(literal: str) -> str:
 def format_shape(fmt: str) -> tuple[str | None, str]:
     """Shape regex of a format and its literal characters.
 
-    The regex is None when the format has a field whose texts are not known here.
+    The regex is None when the format has a field whose texts are not known here, an
+    optional section, a quote that is read literally, or a sign kept for later use.
     """
+    if any(sign in fmt for sign in "[]{}#") or "''" in fmt or fmt.count("'") % 2:
+        return None, ""
     pattern, literals = "", ""
     for token in _TOKEN.finditer(fmt):
         text, quoted, letter = token.group(0), token.group(1), token.group(2)

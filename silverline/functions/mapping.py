@@ -22,6 +22,7 @@ DISCOUNT_TYPE = {
     "free_shipping": "free_shipping",
 }
 
+# Fixed values.
 INVENTORY_STATUS = {
     "in_stock": "in_stock",
     "in stock": "in_stock",
@@ -34,6 +35,7 @@ INVENTORY_STATUS = {
     "pending": "pending",
 }
 
+# Fixed values.
 PAYMENT_METHOD = {
     "credit_card": "credit_card",
     "credit card": "credit_card",
@@ -49,6 +51,7 @@ PAYMENT_METHOD = {
     "bitcoin": "crypto",
 }
 
+# Fixed values.
 PAYMENT_STATUS = {
     "completed": "completed",
     "success": "completed",
@@ -61,6 +64,7 @@ PAYMENT_STATUS = {
     "refunded": "refunded",
 }
 
+# Fixed values.
 SHIPPING_CARRIER = {
     "fedex": "FedEx",
     "ups": "UPS",
@@ -71,6 +75,7 @@ SHIPPING_CARRIER = {
     "local courier": "Local Courier",
 }
 
+# Fixed values.
 SHIPPING_STATUS = {
     "pending": "pending",
     "in_transit": "in_transit",

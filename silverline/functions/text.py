@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: what stands for missing text.
 UNKNOWN = "UNKNOWN"
 
 CASE_MODES = ("title", "person", "upper", "lower", "none")
@@ -53,7 +54,7 @@ def normalize_to_null(col: Column, replacement: str = UNKNOWN) -> Column:
     return F.when(is_blank(col), F.lit(replacement)).otherwise(col)
 
 
-def kept_class(keep_chars: str = "", keep_digits: bool = False, unicode: bool = False) -> str:
+def kept_class(keep_chars: str = "", keep_digits: bool = False, unicode: bool = False, spaces: bool = True) -> str:
     """Inside of a regex character class naming the characters that survive.
 
     Every extra character is escaped one by one, so that ``'-&`` means those three
@@ -62,7 +63,7 @@ def kept_class(keep_chars: str = "", keep_digits: bool = False, unicode: bool =
     letters = r"\p{L}\p{M}" if unicode else "a-zA-Z"
     digits = "0-9" if keep_digits else ""
     extra = "".join(c if c.isalnum() else "\\" + c for c in keep_chars)
-    return letters + digits + r"\s" + extra
+    return letters + digits + (r"\s" if spaces else "") + extra
 
 
 def remove_special_chars(
@@ -72,9 +73,13 @@ def remove_special_chars(
     return F.regexp_replace(col, f"[^{kept_class(keep_chars, keep_digits, unicode)}]", "")
 
 
+# Fixed value: what counts as a tag.
+TAG_PATTERN = "<[^>]+>"
+
+
 def strip_html_tags(col: Column) -> Column:
     """Delete ``<...>`` tags; the text around them is joined as it stands."""
-    return F.regexp_replace(col, "<[^>]+>", "")
+    return F.regexp_replace(col, TAG_PATTERN, "")
 
 
 def clean_text(
@@ -97,8 +102,8 @@ def clean_text(
 
 def clean_code(col: Column, keep_chars: str = "-", replacement: str = UNKNOWN) -> Column:
     """Identifier text: upper case, letters, digits and ``keep_chars``, no spaces."""
-    extra = "".join("\\" + c for c in keep_chars)
-    return normalize_to_null(F.upper(F.regexp_replace(col, f"[^a-zA-Z0-9{extra}]", "")), replacement)
+    kept = kept_class(keep_chars, keep_digits=True, spaces=False)
+    return normalize_to_null(F.upper(F.regexp_replace(col, f"[^{kept}]", "")), replacement)
 
 
 def match_key(col: Column, case: str = "lower") -> Column:

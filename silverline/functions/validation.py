@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from silverline.functions.dates import ISO_DATE_FORMAT
-from silverline.functions.text import UNKNOWN
+from silverline.functions.text import UNKNOWN, match_key
 
 # E-mail pattern and the bounds on the digits of a phone number.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}$"
@@ -28,13 +30,15 @@ def is_valid_date(col: Column, date_format: str = ISO_DATE_FORMAT) -> Column:
     return F.try_to_date(col, date_format).isNotNull()
 
 
+def _valid_or_unknown(value: Column, valid: Callable[[Column], Column]) -> Column:
+    return F.when(valid(value), value).otherwise(F.lit(UNKNOWN))
+
+
 def clean_email(col: Column) -> Column:
     """Lower-cased, trimmed address, or the sentinel when it is not an address."""
-    address = F.lower(F.trim(col))
-    return F.when(is_valid_email(address), address).otherwise(F.lit(UNKNOWN))
+    return _valid_or_unknown(match_key(col), is_valid_email)
 
 
 def clean_phone(col: Column) -> Column:
     """Trimmed number with its own formatting, or the sentinel."""
-    number = F.trim(col)
-    return F.when(is_valid_phone(number), number).otherwise(F.lit(UNKNOWN))
+    return _valid_or_unknown(match_key(col, "none"), is_valid_phone)

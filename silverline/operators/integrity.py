@@ -69,9 +69,9 @@ class Rule:
         if (self.policy == "round") != (self.check == "decimals"):
             raise ValueError("the policy 'round' belongs to the check 'decimals'")
 
-    def violated(self) -> Column:
+    def violated(self, value: Column | None = None) -> Column:
         """True where the rule is broken. Only ``not_null`` judges NULL values."""
-        value = F.col(self.column)
+        value = F.col(self.column) if value is None else value
         if self.check == "not_null":
             return value.isNull()
         if self.check == "min":
@@ -82,21 +82,27 @@ class Rule:
             broken = F.round(value, int(self.bounds[0])) != value
         return F.coalesce(broken, F.lit(False))
 
-    def enforced(self) -> Column | None:
-        """The repaired value, or None when the rule only flags."""
-        value = F.col(self.column)
+    def enforced(self, value: Column | None = None) -> Column:
+        """The value, repaired unless the rule only flags."""
+        value = F.col(self.column) if value is None else value
         if self.policy == "round":
             return F.round(value, int(self.bounds[0]))
         if self.policy == "nullify":
-            return F.when(self.violated(), F.lit(None)).otherwise(value)
-        return None
+            return F.when(self.violated(value), F.lit(None)).otherwise(value)
+        return value
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``{rule}_violated`` per rule and repair the columns whose policy says so."""
+    """Add ``{rule}_violated`` per rule and repair the columns whose policy says so.
+
+    Every rule judges the value as it came; repairs of one column follow each other in
+    the order of the rules.
+    """
     rules = [r for r in rules if r.column in df.columns]
     changes = {f"{r.name}_violated": r.violated() for r in rules}
-    changes |= {r.column: r.enforced() for r in rules if r.policy != "flag"}
+    for r in rules:
+        if r.policy != "flag":
+            changes[r.column] = r.enforced(changes.get(r.column))
     return df.withColumns(changes)
 
 
@@ -105,12 +111,12 @@ def rule_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     rules = [r for r in rules if r.column in df.columns]
     counted = df.agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(r.violated()).alias(r.name) for r in rules],
+        *[F.count_if(r.violated()).alias(f"violations_{i}") for i, r in enumerate(rules)],
     )
     lines = [
         F.struct(
-            F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"), F.col(r.name).alias("violations")
+            F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"), F.col(f"violations_{i}").alias("violations")
         )
-        for r in rules
+        for i, r in enumerate(rules)
     ]
     return counted.select(F.explode(F.array(*lines)).alias("line"), "total").select("line.*", "total")

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions.text import UNKNOWN, is_blank, match_key
 
+# Fixed value: the mark of values no lookup knows.
 REVIEW = "REVISAR_MANUAL"
 
-# Suggestions compare every distinct miss with every name of the catalogue inside one
-# expression. Catalogues are written by people; this only guards against a mistake.
-MAX_CATALOGUE_NAMES = 10_000
-
 
 def normalized(raw: Column, standard: Column) -> Column:
     """Blank to the sentinel, a hit to its standard name, a miss to the review mark."""
@@ -63,37 +61,62 @@ def normalize_by_reference(
 def suggest_for_unmatched(
     df: DataFrame,
     column_name: str,
-    catalogue: Sequence[str],
+    catalogue: DataFrame | Sequence[str],
     max_distance: int = 3,
     clean_name: str | None = None,
 ) -> DataFrame:
     """Nearest catalogue name per distinct value that was marked for review.
 
-    Equal values are merged first, so each is compared once however often it occurs.
-    The catalogue is a literal inside the projection: no join and no pairs are made.
+    Equal values are merged first, so each is looked up once however often it occurs.
+    ``catalogue`` is a table with a column ``name``, of any size, or a list of names.
     Result: raw value, its row count, suggestion and edit distance, both NULL when no
     name is within ``max_distance``; ties go to the first name in alphabetical order.
     """
-    names = sorted(set(catalogue))
-    if not names or len(names) > MAX_CATALOGUE_NAMES:
-        raise ValueError(f"the catalogue must have 1 to {MAX_CATALOGUE_NAMES} names, not {len(names)}")
+    if not isinstance(catalogue, DataFrame):
+        catalogue = df.sparkSession.createDataFrame(pa.table({"name": pa.array(sorted(set(catalogue)), pa.string())}))
     clean_name = clean_name or f"{column_name}_clean"
     misses = df.filter(F.col(clean_name) == REVIEW).groupBy(column_name).agg(F.count(F.lit(1)).alias("n_rows"))
     value = match_key(F.col(column_name), "upper")
-    options = F.transform(
-        F.array(*[F.lit(name) for name in names]),
-        lambda name: F.struct(F.levenshtein(value, F.upper(name)).alias("distance"), name.alias("name")),
-    )
-    best = F.col("best")
-    near = best["distance"] <= max_distance
-    return misses.withColumn("best", F.array_min(options)).select(
-        column_name,
-        "n_rows",
-        F.when(near, best["name"]).alias("suggestion"),
-        F.when(near, best["distance"]).alias("distance"),
+    sought = misses.select(value.alias("value_")).distinct()
+    names = catalogue.select("name", F.upper("name").alias("key_")).distinct()
+    pairs = _near_pairs(sought, names, max_distance)
+    best = pairs.groupBy("value_").agg(F.min(F.struct("distance", "name")).alias("best"))
+    found = misses.join(best, value == F.col("value_"), "left")
+    return found.select(
+        column_name, "n_rows", F.col("best.name").alias("suggestion"), F.col("best.distance").alias("distance")
     )
 
 
+def _near_pairs(sought: DataFrame, names: DataFrame, most: int) -> DataFrame:
+    """Rows (value_, name, distance) of all pairs within ``most`` edits.
+
+    A name cut into ``most + 1`` pieces keeps at least one of them whole under ``most``
+    edits, moved by at most ``most`` places. So only pairs that share a piece, at a name
+    length that fits, are compared: an equi-join, whatever the size of the catalogue.
+    """
+    pieces = F.sequence(F.lit(0), F.lit(most))
+
+    def border(length: Column, number: Column) -> Column:
+        return F.floor(length * number / (most + 1)).cast("int")
+
+    length = F.length("key_")
+    of_names = names.withColumn("length_", length).withColumn("piece_", F.explode(pieces))
+    first, after = border(F.col("length_"), F.col("piece_")), border(F.col("length_"), F.col("piece_") + 1)
+    of_names = of_names.withColumn("text_", F.substring("key_", first + 1, after - first))
+
+    size = F.length("value_")
+    lengths = F.sequence(F.greatest(size - most, F.lit(0)), size + most)
+    of_values = sought.withColumn("length_", F.explode(lengths)).withColumn("piece_", F.explode(pieces))
+    of_values = of_values.withColumn("moved_", F.explode(F.sequence(F.lit(-most), F.lit(most))))
+    of_values = of_values.withColumn("at_", first + F.col("moved_")).withColumn("wide_", after - first)
+    of_values = of_values.where((F.col("at_") >= 0) & (F.col("at_") + F.col("wide_") <= size))
+    of_values = of_values.withColumn("text_", F.substring("value_", F.col("at_") + 1, F.col("wide_")))
+    keys = ["length_", "piece_", "text_"]
+    shared = of_values.select("value_", *keys).distinct().join(of_names.select("name", "key_", *keys), keys)
+    distance = F.levenshtein("value_", "key_", most)
+    return shared.select("value_", "name", "key_").distinct().withColumn("distance", distance).where("distance >= 0")
+
+
 def geo_mismatch(
     df: DataFrame,
     cities: DataFrame,
@@ -104,13 +127,15 @@ def geo_mismatch(
     """Rows whose country is not one the city is known in, with the expected ones.
 
     ``cities`` has columns ``city`` and ``country``; a city may be known in several
-    countries. Unknown cities and unresolved countries are not judged.
+    countries. Unknown cities and unresolved countries are not judged and take no part
+    in the join.
     """
     known = cities.groupBy(match_key(F.col("city"), "upper").alias("lookup_city")).agg(
         F.sort_array(F.collect_set("country")).alias("expected_countries")
     )
+    judged = df.filter(~F.col(country).isin(*unknown) & ~F.col(city).isin(*unknown))
     return (
-        df.join(known, match_key(F.col(city), "upper") == F.col("lookup_city"), "inner")
-        .filter(~F.col(country).isin(*unknown) & ~F.array_contains("expected_countries", F.col(country)))
+        judged.join(known, match_key(F.col(city), "upper") == F.col("lookup_city"), "inner")
+        .filter(~F.array_contains("expected_countries", F.col(country)))
         .drop("lookup_city")
     )

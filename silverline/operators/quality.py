@@ -99,11 +99,11 @@ def quality_report(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None
     counted = df.agg(
         F.count(F.lit(1)).alias("total"),
         *[
-            F.struct(*[F.count_if(condition).alias(name) for name, condition in per_pair[raw].items()]).alias(raw)
-            for raw, _ in pairs
+            F.struct(*[F.count_if(condition).alias(name) for name, condition in per_pair[raw].items()]).alias(f"m_{i}")
+            for i, (raw, _) in enumerate(pairs)
         ],
     )
-    lines = F.array(*[F.struct(F.lit(raw).alias("column"), F.col(raw).alias("m")) for raw, _ in pairs])
+    lines = F.array(*[F.struct(F.lit(raw).alias("column"), F.col(f"m_{i}").alias("m")) for i, (raw, _) in enumerate(pairs)])
     return counted.select(F.explode(lines).alias("line"), "total").select("line.column", "total", "line.m.*")
 
 
@@ -183,6 +183,20 @@ def entity_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
+def column_sums(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per cleaned column: rows, values, and characters of the values as text, in one pass."""
+    columns = list(columns or [clean for _, clean in clean_pairs(df)])
+    counted = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[
+            F.struct(F.count(c).alias("n_values"), F.coalesce(F.sum(F.length(_text(df, c))), F.lit(0)).alias("chars")).alias(f"m_{i}")
+            for i, c in enumerate(columns)
+        ],
+    )
+    lines = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m_{i}").alias("m")) for i, c in enumerate(columns)])
+    return counted.select("n_rows", F.explode(lines).alias("line")).select("n_rows", "line.column", "line.m.*")
+
+
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type and the number of values it holds."""
     rows = [

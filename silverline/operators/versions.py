@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,11 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the greatest in ``order``, missing values counting as oldest.
 
-    An aggregation, not a window: the greatest row per key is kept on the map side
-    first, so a key with very many versions sends one row per task. Rows equal in
-    ``order`` are told apart by their other columns, so repeated runs agree. Columns the
-    table lacks are left out of the order.
+    A row whose key is missing, in any of its columns, is no version of another one: all
+    such rows stay. Otherwise an aggregation, not a window: the greatest row per key is
+    kept on the map side first, so a key with very many versions sends one row per task.
+    Rows equal in ``order`` are told apart by their other columns, so repeated runs agree.
+    Columns the table lacks are left out of the order.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     ranks = [
@@ -31,9 +33,11 @@ def latest_per_key(
     named = {c for c in order if isinstance(c, str)}
     values = [c for c in df.columns if c not in keys]
     newest = F.max(F.struct(*ranks, *[c for c in values if c not in named], *[c for c in values if c in named]))
-    return df.groupBy(*keys).agg(newest.alias("row_")).select(
-        *[F.col(c) if c in keys else F.col("row_")[c].alias(c) for c in df.columns]
-    )
+    # Keyless rows get a key of their own each; the table is read once for both kinds.
+    keyless = reduce(Column.__or__, [F.col(c).isNull() for c in keys])
+    own = F.when(keyless, F.monotonically_increasing_id())
+    grouped = df.withColumn("own_key_", own).groupBy(*keys, "own_key_").agg(newest.alias("row_"))
+    return grouped.select(*[F.col(c) if c in keys else F.col("row_")[c].alias(c) for c in df.columns])
 
 
 def latest_raw(df: DataFrame, keys: str | Sequence[str] = "id", updated: str = "updated_at") -> DataFrame:

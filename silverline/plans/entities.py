@@ -16,6 +16,8 @@ from silverline.plans.spec import (
     raw_schema,
 )
 
+# Column names, kept characters, sentinels and types of the nine tables. Keys are 64 bits wide.
+
 DATE = DateRule()
 CODE = CodeRule()
 PERSON = TextRule(keep_chars="'-", case_mode="person")
@@ -36,7 +38,7 @@ CUSTOMERS = EntitySpec(
         "updated_at": DATE,
         "registration_date": DATE,
     },
-    types={"id": "int"},
+    types={"id": "long"},
     constraints=(ID_PRESENT,),
 )
 
@@ -62,7 +64,7 @@ COUPONS = EntitySpec(
         "updated_at": DATE,
     },
     types={
-        "id": "int",
+        "id": "long",
         "discount_value": "double",
         "min_order": "double",
         "max_uses": "int",
@@ -83,7 +85,7 @@ CATEGORIES = EntitySpec(
         "created_at": DATE,
         "updated_at": DATE,
     },
-    types={"id": "int", "parent_id": "int", "is_active": "bool"},
+    types={"id": "long", "parent_id": "long", "is_active": "bool"},
     constraints=(ID_PRESENT,),
 )
 
@@ -106,7 +108,7 @@ INVENTORY = EntitySpec(
         "created_at": DATE,
         "updated_at": DATE,
     },
-    types={"id": "int", "product_id": "int", "quantity": "int", "reorder_point": "int"},
+    types={"id": "long", "product_id": "long", "quantity": "int", "reorder_point": "int"},
     constraints=(ID_PRESENT, Rule("quantity_not_negative", "quantity", "min", (0,))),
 )
 
@@ -123,7 +125,7 @@ PAYMENTS = EntitySpec(
         "created_at": DATE,
         "updated_at": DATE,
     },
-    types={"id": "int", "order_id": "int", "amount": "double"},
+    types={"id": "long", "order_id": "long", "amount": "double"},
     constraints=(ID_PRESENT, Rule("amount_two_decimals", "amount", "decimals", (2,), "round")),
 )
 
@@ -146,7 +148,7 @@ PRODUCTS = EntitySpec(
         "created_at": DATE,
         "updated_at": DATE,
     },
-    types={"id": "int", "price": "double", "stock": "int"},
+    types={"id": "long", "price": "double", "stock": "int"},
     null_tokens={"stock": ("unlimited",)},
     constraints=(ID_PRESENT, Rule("price_not_negative", "price", "min", (0,))),
 )
@@ -172,9 +174,9 @@ REVIEWS = EntitySpec(
         "updated_at": DATE,
     },
     types={
-        "id": "int",
-        "product_id": "int",
-        "customer_id": "int",
+        "id": "long",
+        "product_id": "long",
+        "customer_id": "long",
         "rating": "int",
         "verified_purchase": "bool",
     },
@@ -203,7 +205,7 @@ SHIPPING = EntitySpec(
         "created_at": DATE,
         "updated_at": DATE,
     },
-    types={"id": "int", "order_id": "int", "cost": "double"},
+    types={"id": "long", "order_id": "long", "cost": "double"},
     constraints=(ID_PRESENT, Rule("cost_not_negative", "cost", "min", (0,))),
 )
 
@@ -221,7 +223,7 @@ SUPPLIERS = EntitySpec(
         "created_at": DATE,
         "updated_at": DATE,
     },
-    types={"id": "int", "rating": "double", "is_active": "bool"},
+    types={"id": "long", "rating": "double", "is_active": "bool"},
     constraints=(ID_PRESENT, Rule("rating_not_negative", "rating", "min", (0,), "nullify")),
 )
 

@@ -132,13 +132,13 @@ class EntitySpec:
     def date_columns(self) -> list[str]:
         return [c for c, rule in self.rules.items() if isinstance(rule, DateRule)]
 
-    def wide_keys(self) -> EntitySpec:
-        """The same specification with 64-bit keys, for tables beyond two billion rows."""
+    def narrow_keys(self) -> EntitySpec:
+        """The same specification with 32-bit keys. Keys that do not fit are read as NULL."""
         keys = [c for c in self.types if c == "id" or c.endswith("_id")]
         fields = [
-            StructField(f.name, LongType(), f.nullable) if f.name == "id" else f for f in self.schema.fields
+            StructField(f.name, IntegerType(), f.nullable) if f.name == "id" else f for f in self.schema.fields
         ]
-        return replace(self, schema=StructType(fields), types={**self.types, **dict.fromkeys(keys, "long")})
+        return replace(self, schema=StructType(fields), types={**self.types, **dict.fromkeys(keys, "int")})
 
     def clean(
         self,
@@ -182,7 +182,7 @@ class EntitySpec:
 
 
 def raw_schema(*columns: str) -> StructType:
-    """Raw tables: an integer ``id`` that must be there, and text."""
+    """Raw tables: a 64-bit ``id`` that must be there, and text."""
     return StructType(
-        [StructField("id", IntegerType(), nullable=False)] + [StructField(c, StringType()) for c in columns]
+        [StructField("id", LongType(), nullable=False)] + [StructField(c, StringType()) for c in columns]
     )

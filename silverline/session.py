@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,15 +41,14 @@ def local_session(app_name: str = "silverline", cores: int | str = "*", **conf:
     return tune(spark)
 
 
-def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new path in the folder all executors share (``spark.checkpoint.dir``).
-
-    Only a local session without that setting gets a folder of this machine.
-    """
+def scratch_root(spark: SparkSession) -> str:
+    """The folder all executors share, a launch setting of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="silverline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        raise RuntimeError("start the session with spark.checkpoint.dir set to a folder all executors can reach")
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"

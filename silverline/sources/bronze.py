@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
 
@@ -71,15 +71,24 @@ def page_completeness(pages: DataFrame) -> DataFrame:
 
 
 def write_bronze(df: DataFrame, root: str, entity: str, ingestion_date: str, run_id: str) -> int:
-    """Land one batch and return its row count; an empty batch writes nothing.
+    """Land one batch and return its row count; an empty batch writes nothing."""
+    return write_bronze_counted(df, root, entity, ingestion_date, run_id)["rows"]
+
+
+def write_bronze_counted(
+    df: DataFrame, root: str, entity: str, ingestion_date: str, run_id: str, counts: Mapping[str, Column] | None = None
+) -> dict[str, int]:
+    """Land one batch and return its number of ``rows`` and the named aggregates.
 
     Each run has its own folder, so a second run of the day adds to the first, and a
-    repeated run replaces only itself. Rows are counted while they are written.
+    repeated run replaces only itself. Rows are counted while they are written. Whether
+    there are any is asked first, up to the first row; persist a selective batch before.
     """
     if df.isEmpty():
-        return 0
+        return dict.fromkeys(["rows", *(counts or {})], 0)
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(
+    aggregates = [F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in (counts or {}).items()]]
+    df.observe(counted, *aggregates).write.mode("overwrite").json(
         f"{bronze_path(root, entity)}/ingestion_date={ingestion_date}/run_id={run_id}"
     )
-    return counted.get["rows"]
+    return counted.get

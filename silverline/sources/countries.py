@@ -1,15 +1,15 @@
 """Country catalogue: ISO 3166 names, official names and codes to one standard name.
 
-The codes come from the ISO 3166 list every Java runtime carries. Names follow the ISO
-short form; where the runtime's English display name differs, a rule or the list below
-gives the ISO one. Pass your own entries to :func:`country_lookup` to use another
-catalogue.
+The catalogue is the table ``iso3166.tsv`` beside this module, so it changes with the
+library and not with the runtime. Pass your own entries to :func:`country_lookup` to use
+another one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import lru_cache
+from functools import cache
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,141 +25,19 @@ COUNTRY_ALIASES = {
     "US": "United States",
 }
 
-# ISO 3166 short names that the spelling rules below do not give.
-ISO_SHORT_NAMES = {
-    "BN": "Brunei Darussalam",
-    "BO": "Bolivia, Plurinational State of",
-    "BQ": "Bonaire, Sint Eustatius and Saba",
-    "CD": "Congo, The Democratic Republic of the",
-    "CG": "Congo",
-    "CV": "Cabo Verde",
-    "FK": "Falkland Islands (Malvinas)",
-    "FM": "Micronesia, Federated States of",
-    "GS": "South Georgia and the South Sandwich Islands",
-    "HK": "Hong Kong",
-    "HM": "Heard Island and McDonald Islands",
-    "IR": "Iran, Islamic Republic of",
-    "KP": "Korea, Democratic People's Republic of",
-    "KR": "Korea, Republic of",
-    "LA": "Lao People's Democratic Republic",
-    "MD": "Moldova, Republic of",
-    "MF": "Saint Martin (French part)",
-    "MM": "Myanmar",
-    "MO": "Macao",
-    "PN": "Pitcairn",
-    "PS": "Palestine, State of",
-    "RU": "Russian Federation",
-    "SH": "Saint Helena, Ascension and Tristan da Cunha",
-    "ST": "Sao Tome and Principe",
-    "SX": "Sint Maarten (Dutch part)",
-    "SY": "Syrian Arab Republic",
-    "TR": "Türkiye",
-    "TW": "Taiwan, Province of China",
-    "TZ": "Tanzania, United Republic of",
-    "UM": "United States Minor Outlying Islands",
-    "VA": "Holy See (Vatican City State)",
-    "VC": "Saint Vincent and the Grenadines",
-    "VE": "Venezuela, Bolivarian Republic of",
-    "VG": "Virgin Islands, British",
-    "VI": "Virgin Islands, U.S.",
-    "VN": "Viet Nam",
-}
-
-# Official names that are a form of state put before the short name.
-OFFICIAL_FORMS = {
-    "Republic of {}": (
-        "AL AM AO AT AZ BA BG BI BJ BW BY CI CL CM CO CR CU CV CY DJ EC EE FI FJ GH GN GQ GT GW GY "
-        "HN HR HT ID IN IQ IS KE KI KZ LR LT LV MG MK ML MM MT MU MV MW MZ NA NI NR PA PE PL PW PY "
-        "RS SC SG SI SL SM SN SR SS SV TD TJ TN TR TT UG UZ VU YE ZA ZM ZW"
-    ),
-    "Republic of the {}": "CG GM MH NE PH SD",
-    "Kingdom of {}": "BE BH BT DK ES KH LS MA NO SA SE SZ TH TO",
-    "Kingdom of the {}": "NL",
-    "State of {}": "IL KW QA",
-    "the State of {}": "ER",
-    "Principality of {}": "AD LI MC",
-    "Islamic Republic of {}": "AF MR PK",
-    "Federal Republic of {}": "DE NG SO",
-    "Federal Democratic Republic of {}": "ET NP",
-    "Federative Republic of {}": "BR",
-    "Democratic Republic of {}": "ST TL",
-    "People's Republic of {}": "BD CN",
-    "People's Democratic Republic of {}": "DZ",
-    "Democratic Socialist Republic of {}": "LK",
-    "Socialist Republic of {}": "VN",
-    "Arab Republic of {}": "EG",
-    "Eastern Republic of {}": "UY",
-    "Hashemite Kingdom of {}": "JO",
-    "Commonwealth of {}": "DM",
-    "Commonwealth of the {}": "BS MP",
-    "Union of the {}": "KM",
-    "Independent State of {}": "PG WS",
-    "Sultanate of {}": "OM",
-    "Grand Duchy of {}": "LU",
-    "{} Special Administrative Region of China": "HK MO",
-    "{} of Great Britain and Northern Ireland": "GB",
-    "{} of America": "US",
-}
-
-# Official names that are not built from the short name.
-OFFICIAL_NAMES = {
-    "AR": "Argentine Republic",
-    "CH": "Swiss Confederation",
-    "CZ": "Czech Republic",
-    "FR": "French Republic",
-    "GA": "Gabonese Republic",
-    "GR": "Hellenic Republic",
-    "IT": "Italian Republic",
-    "KG": "Kyrgyz Republic",
-    "LB": "Lebanese Republic",
-    "MX": "United Mexican States",
-    "PS": "the State of Palestine",
-    "PT": "Portuguese Republic",
-    "RW": "Rwandese Republic",
-    "SK": "Slovak Republic",
-    "TG": "Togolese Republic",
-    "VG": "British Virgin Islands",
-    "VI": "Virgin Islands of the United States",
-}
-
-
-def _short_name(code: str, display: str) -> str:
-    plain = display.replace(" & ", " and ").replace("’", "'")
-    if plain.startswith("St. "):
-        plain = "Saint " + plain.removeprefix("St. ")
-    return ISO_SHORT_NAMES.get(code, plain)
-
-
-def _official_names(names: Mapping[str, str]) -> dict[str, str]:
-    """Official name by code; an inverted ISO name ("Iran, Islamic Republic of") read forwards."""
-    official = {}
-    for code, name in names.items():
-        head, comma, tail = name.partition(", ")
-        if comma and tail.endswith(" of") and code != "KR":
-            official[code] = f"{tail} {head}"
-    for form, codes in OFFICIAL_FORMS.items():
-        official |= {code: form.format(names[code]) for code in codes.split()}
-    return official | OFFICIAL_NAMES
-
-
-@lru_cache(maxsize=1)
-def _iso_variants(spark: SparkSession) -> dict[str, str]:
-    locale = spark._jvm.java.util.Locale
-    english = locale.ENGLISH
-    countries = [locale("", code) for code in locale.getISOCountries()]
-    names = {c.getCountry(): _short_name(c.getCountry(), c.getDisplayCountry(english)) for c in countries}
-    official = _official_names(names)
+@cache
+def iso_variants() -> dict[str, str]:
+    """Every name, official name and code of the catalogue, with its standard name."""
+    lines = files("silverline.sources").joinpath("iso3166.tsv").read_text("utf-8").splitlines()
     variants = {}
-    for country in countries:
-        name = names[country.getCountry()]
-        spellings = [name, country.getCountry(), country.getISO3Country(), official.get(country.getCountry())]
-        variants |= {spelling: name for spelling in spellings if spelling}
+    for alpha_2, alpha_3, name, official in (line.split("\t") for line in lines[1:]):
+        variants |= {spelling: name for spelling in (name, alpha_2, alpha_3, official) if spelling}
     return variants
 
 
-def country_names(spark: SparkSession) -> list[str]:
+def country_names() -> list[str]:
     """The standard names, sorted."""
-    return sorted(set(_iso_variants(spark).values()))
+    return sorted(set(iso_variants().values()))
 
 
 def country_lookup(
@@ -173,7 +51,7 @@ def country_lookup(
     Aliases win over entries. The table is a local relation of known size, so Spark
     itself checks it against its broadcast threshold.
     """
-    pairs = list(entries) if entries is not None else list(_iso_variants(spark).items())
+    pairs = list(entries) if entries is not None else list(iso_variants().items())
     unique = {variant.strip().upper(): standard for variant, standard in [*pairs, *aliases.items()]}
     return spark.createDataFrame(
         pa.table(

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from silverline.functions.dates import parse_timestamp
+from silverline.operators.versions import latest_per_key
+
+# The partition level that keeps runs apart.
+SILVER_RUN = "silver_run"
+
 # What to do when the target table exists.
 WRITE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
@@ -23,26 +31,54 @@ def write_silver(
     entity: str,
     partition_by: Sequence[str] = ("ingestion_date",),
     rebalance: bool = False,
+    run: str | None = None,
 ) -> int:
     """Write cleaned rows as parquet and return their number.
 
-    Partitions that get rows are replaced, the others stay. One processing date per run
-    needs no shuffle. When rows of many partitions are mixed, ``rebalance`` brings each
-    together first and lets adaptive execution split the large ones, which avoids both
-    a file per task and partition and one task per hot partition.
+    Every run has its own folder below each partition, so runs add up, on one day too,
+    and a run that is repeated under its name replaces only itself. Without a name it
+    gets a new one. :func:`current_silver` takes the newest version of each key.
+
+    One processing date per run needs no shuffle. When rows of many partitions are mixed,
+    ``rebalance`` brings each together first and lets adaptive execution split the large
+    ones, which avoids both a file per task and partition and one task per hot partition.
     """
-    if rebalance:
+    if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     counted = Observation()
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    named = df.withColumn(SILVER_RUN, F.lit(f"run-{run or uuid.uuid4().hex}"))
+    writer = named.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, SILVER_RUN)
     writer.parquet(silver_path(root, entity))
     return counted.get["rows"]
 
 
-def read_silver(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    return spark.read.parquet(silver_path(root, entity))
+def read_silver(spark: SparkSession, root: str, entity: str, runs: bool = False) -> DataFrame:
+    """The rows of all runs; ``runs`` keeps the name of the run each belongs to."""
+    rows = spark.read.parquet(silver_path(root, entity))
+    return rows if runs else rows.drop(SILVER_RUN)
+
+
+def current_silver(
+    spark: SparkSession, root: str, entity: str, keys: str | Sequence[str] = "id", updated: str = "updated_at"
+) -> DataFrame:
+    """The newest version of each key over all runs.
+
+    Newest by change time, then by Bronze batch, then by processing time. Rows without a
+    key have no versions: each content of them stands once, however often it was
+    delivered.
+    """
+    rows = read_silver(spark, root, entity)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    batch = ["bronze_ingestion_date", "run_id", "ingestion_timestamp", "ingestion_date"]
+    content = [c for c in rows.columns if c not in (*batch, *keys)]
+    keyless = reduce(Column.__or__, [F.col(c).isNull() for c in keys])
+    told_apart = rows.withColumn("content_", F.when(keyless, F.md5(F.to_json(F.struct(*content)))))
+    told_apart = told_apart.withColumns({f"key_{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(keys)})
+    told_apart = told_apart.withColumn("content_", F.coalesce("content_", F.lit("")))
+    helpers = [f"key_{i}" for i in range(len(keys))] + ["content_"]
+    order = [parse_timestamp(updated), *[c for c in batch if c in rows.columns]]
+    return latest_per_key(told_apart, helpers, order).drop(*helpers)
 
 
 class Target(Protocol):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: how marks are written.
 WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _SCHEMA = "last_successful_run string, saved_at timestamp, entity string"
 

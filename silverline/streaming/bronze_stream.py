@@ -6,6 +6,7 @@ unchanged. The stream's own checkpoint takes the place of the watermark table.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.types import StructType
 from silverline.plans.spec import EntitySpec
 from silverline.plans.transformation import run_cleaning
 from silverline.sources.bronze import batch_schema, bronze_path
-from silverline.sources.sinks import silver_path
+from silverline.sources.sinks import write_silver
 
 
 def stream_bronze(
@@ -46,17 +47,17 @@ def stream_to_silver(
 ) -> StreamingQuery:
     """Clean what has arrived since the last start and stop, or keep on ``every`` interval.
 
-    The file sink records finished files, so a restart after a failure neither loses nor
-    repeats rows.
+    Each micro-batch is a run of :func:`write_silver`, named after the stream's checkpoint
+    and its number. A batch that is repeated after a failure replaces itself, so no row is
+    lost or doubled, and streams and batch jobs may write the same entity.
     """
     raw = stream_bronze(spark, bronze_root, spec.name, spec.schema, multi_line, max_files)
-    writer = (
-        run_cleaning(raw, spark, spec=spec, lookups=lookups)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", silver_path(silver_root, spec.name))
-        .partitionBy("ingestion_date")
-        .outputMode("append")
-    )
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        cleaned = run_cleaning(batch, batch.sparkSession, spec=spec, lookups=lookups)
+        write_silver(cleaned, silver_root, spec.name, run=f"{stream}-{number}")
+
+    writer = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()

@@ -17,62 +17,67 @@ from silverline.plans.transformation import (
 )
 from workload.bronze import bronze, spec_of
 
-# Raw columns, cleaned text and category columns, date columns, in-place types.
+# Raw columns, cleaned text and category columns, date columns, in-place types.
 CONTRACTS = {
     "customers": (
-        "id name email phone city country created_at updated_at registration_date",
-        "name city email phone country",
-        "created_at updated_at registration_date",
-        {"id": "int"},
+        ["id", "name", "email", "phone", "city", "country", "created_at", "updated_at", "registration_date"],
+        ["name", "city", "email", "phone", "country"],
+        ["created_at", "updated_at", "registration_date"],
+        {"id": "bigint"},
     ),
     "coupons": (
-        "id code discount_type discount_value min_order max_uses used_count expires_at is_active created_at updated_at",
-        "code discount_type",
-        "expires_at created_at updated_at",
-        {"id": "int", "max_uses": "int", "used_count": "int", "discount_value": "double", "min_order": "double",
-         "is_active": "boolean"},
+        [
+            "id", "code", "discount_type", "discount_value", "min_order", "max_uses", "used_count", "expires_at",
+            "is_active", "created_at", "updated_at",
+        ],
+        ["code", "discount_type"],
+        ["expires_at", "created_at", "updated_at"],
+        {"id": "bigint", "max_uses": "int", "used_count": "int", "discount_value": "double", "min_order": "double", "is_active": "boolean"},
     ),
     "categories": (
-        "id name parent_id description is_active created_at updated_at",
-        "name description",
-        "created_at updated_at",
-        {"id": "int", "parent_id": "int", "is_active": "boolean"},
+        ["id", "name", "parent_id", "description", "is_active", "created_at", "updated_at"],
+        ["name", "description"],
+        ["created_at", "updated_at"],
+        {"id": "bigint", "parent_id": "bigint", "is_active": "boolean"},
     ),
     "inventory": (
-        "id product_id warehouse quantity reorder_point last_restock status created_at updated_at",
-        "warehouse status",
-        "last_restock created_at updated_at",
-        {"id": "int", "product_id": "int", "quantity": "int", "reorder_point": "int"},
+        ["id", "product_id", "warehouse", "quantity", "reorder_point", "last_restock", "status", "created_at", "updated_at"],
+        ["warehouse", "status"],
+        ["last_restock", "created_at", "updated_at"],
+        {"id": "bigint", "product_id": "bigint", "quantity": "int", "reorder_point": "int"},
     ),
     "payments": (
-        "id order_id amount method status transaction_id paid_at created_at updated_at",
-        "method status transaction_id",
-        "paid_at created_at updated_at",
-        {"id": "int", "order_id": "int", "amount": "double"},
+        ["id", "order_id", "amount", "method", "status", "transaction_id", "paid_at", "created_at", "updated_at"],
+        ["method", "status", "transaction_id"],
+        ["paid_at", "created_at", "updated_at"],
+        {"id": "bigint", "order_id": "bigint", "amount": "double"},
     ),
     "products": (
-        "id name category price stock brand description created_at updated_at",
-        "name category brand description",
-        "created_at updated_at",
-        {"id": "int", "stock": "int", "price": "double"},
+        ["id", "name", "category", "price", "stock", "brand", "description", "created_at", "updated_at"],
+        ["name", "category", "brand", "description"],
+        ["created_at", "updated_at"],
+        {"id": "bigint", "stock": "int", "price": "double"},
     ),
     "reviews": (
-        "id product_id customer_id rating title comment verified_purchase created_at updated_at",
-        "title comment",
-        "created_at updated_at",
-        {"id": "int", "product_id": "int", "customer_id": "int", "rating": "int", "verified_purchase": "boolean"},
+        ["id", "product_id", "customer_id", "rating", "title", "comment", "verified_purchase", "created_at", "updated_at"],
+        ["title", "comment"],
+        ["created_at", "updated_at"],
+        {"id": "bigint", "product_id": "bigint", "customer_id": "bigint", "rating": "int", "verified_purchase": "boolean"},
     ),
     "shipping": (
-        "id order_id carrier tracking_number status estimated_delivery actual_delivery cost created_at updated_at",
-        "carrier status tracking_number",
-        "estimated_delivery actual_delivery created_at updated_at",
-        {"id": "int", "order_id": "int", "cost": "double"},
+        [
+            "id", "order_id", "carrier", "tracking_number", "status", "estimated_delivery", "actual_delivery", "cost",
+            "created_at", "updated_at",
+        ],
+        ["carrier", "status", "tracking_number"],
+        ["estimated_delivery", "actual_delivery", "created_at", "updated_at"],
+        {"id": "bigint", "order_id": "bigint", "cost": "double"},
     ),
     "suppliers": (
-        "id name contact_name email phone country rating is_active created_at updated_at",
-        "name contact_name email phone country",
-        "created_at updated_at",
-        {"id": "int", "rating": "double", "is_active": "boolean"},
+        ["id", "name", "contact_name", "email", "phone", "country", "rating", "is_active", "created_at", "updated_at"],
+        ["name", "contact_name", "email", "phone", "country"],
+        ["created_at", "updated_at"],
+        {"id": "bigint", "rating": "double", "is_active": "boolean"},
     ),
 }
 
@@ -83,7 +88,7 @@ def empty(spark, entity):
 
 @pytest.mark.parametrize("entity", CONTRACTS)
 def test_contract(spark, entity):
-    raw, text, dates, types = (part.split() if isinstance(part, str) else part for part in CONTRACTS[entity])
+    raw, text, dates, types = CONTRACTS[entity]
     assert ENTITY_SPECS[entity].schema.fieldNames() == raw
     assert [f.nullable for f in ENTITY_SPECS[entity].schema.fields] == [False] + [True] * (len(raw) - 1)
     expected = [(c, types.get(c, "string")) for c in raw]
@@ -178,18 +183,22 @@ def test_transformation_of_a_dictionary(spark):
     assert list(CLEANERS) == list(CONTRACTS)
 
 
-def test_wide_keys():
-    wide = ENTITY_SPECS["payments"].wide_keys()
-    assert wide.types == {"id": "long", "order_id": "long", "amount": "double"}
-    assert wide.schema["id"].dataType == LongType() and wide.schema["order_id"].dataType == StringType()
-    assert ENTITY_SPECS["payments"].schema["id"].dataType == IntegerType()
+def test_keys_are_wide_unless_asked_otherwise(spark):
+    payments = ENTITY_SPECS["payments"]
+    assert payments.types == {"id": "long", "order_id": "long", "amount": "double"}
+    assert payments.schema["id"].dataType == LongType() and payments.schema["order_id"].dataType == StringType()
+    narrow = payments.narrow_keys()
+    assert narrow.types == {"id": "int", "order_id": "int", "amount": "double"}
+    assert narrow.schema["id"].dataType == IntegerType()
+    row = CLEANERS["payments"](one(spark, "payments", id=3_000_000_001, order_id="3000000002"), spark).first()
+    assert (row.id, row.order_id) == (3_000_000_001, 3_000_000_002)
 
 
 def test_own_specification(spark):
     from silverline.plans.spec import raw_schema
 
     spec = EntitySpec("tags", raw_schema("tag", "kind"), {"tag": TextRule(case_mode="lower"), "kind": MapRule({"a": "A"})},
-                      {"id": "int"})
+                      {"id": "long"})
     df = spark.createDataFrame([(1, " X1 ", "A ")], spec.schema)
     assert tuple(spec.clean(df, audit=False).first()) == (1, " X1 ", "A ", "x", "A")
     with pytest.raises(ValueError, match="case mode"):

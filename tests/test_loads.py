@@ -92,9 +92,28 @@ def test_changed_since(spark):
     def ids(**options):
         return sorted(r.id for r in incremental.changed_since(df, "2024-01-01 10:00:00", **options).collect())
 
-    assert ids() == [2, 3, 4]
-    assert ids(keep_undated=False) == [2, 4]
+    assert ids() == [1, 2, 3, 4]  # the first may have changed at any time of the mark's day
+    assert ids(keep_undated=False) == [1, 2, 4]
     assert incremental.changed_since(df, None).count() == 4
+    late = coupons(spark, (1, "a", "2023-12-31"), (2, "b", "2024-01-01 09:59:59"), (3, "c", "2024-01-01T10:00:00"))
+    assert [r.id for r in incremental.changed_since(late, "2024-01-01 10:00:00").collect()] == [3]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_changed_since_on_typed_columns(spark, tmp_path, kind):
+    df = spark.sql(f"SELECT CAST(d AS {kind}) AS updated_at FROM VALUES ('2023-12-31'), ('2024-01-01'), ('2024-01-02'), (NULL) t(d)")
+    df.write.parquet(str(tmp_path / "t"))
+    recent = incremental.changed_since(spark.read.parquet(str(tmp_path / "t")), "2024-01-01 10:00:00", keep_undated=False)
+    assert sorted(str(r.updated_at)[:10] for r in recent.collect()) == (["2024-01-01", "2024-01-02"] if kind == "date" else ["2024-01-02"])
+    assert "GreaterThanOrEqual(updated_at" in recent._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keyless_rows_are_no_versions(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 1), (None, "c", 1), (None, "d", 9)], "id long, v string, at int")
+    assert sorted(map(str, latest_per_key(df, order=["at"]).collect())) == sorted(
+        map(str, spark.createDataFrame([(1, "b", 2), (None, "c", 1), (None, "c", 1), (None, "d", 9)], df.schema).collect()))
+    both = latest_per_key(df, ["id", "v"], order=["at"])
+    assert both.count() == 5
 
 
 def at(day, hour=0):
@@ -110,8 +129,13 @@ def test_incremental_runs_and_latest_version(spark, tmp_path):
     second = incremental.run_all(spark, {"coupons": source}, root, control, now=at(2, 9))[0]
     assert (second.since, second.rows) == ("2024-01-02 00:00:00", 2)
     third = incremental.run_all(spark, {"coupons": source}, root, control, ["coupons"], at(3))[0]
-    assert (third.rows, watermark.get_watermark(spark, control, "coupons")) == (0, "2024-01-03 00:00:00")
-    silver = run_coupon_cleaning(bronze.read_bronze(spark, root, "coupons", COUPONS), spark)
+    # the third row bears the day of the mark only, so it may have changed since
+    assert (third.rows, watermark.get_watermark(spark, control, "coupons")) == (1, "2024-01-03 00:00:00")
+    assert (first.undated, second.undated) == (0, 0)
+    undated = coupons(spark, (4, "d", "bad-date"), (5, "e", "2000-01-01"))
+    fourth = incremental.run_entity(spark, "coupons", undated, root, control, at(4))
+    assert (fourth.rows, fourth.undated) == (1, 1)
+    silver = run_coupon_cleaning(bronze.read_bronze(spark, root, "coupons", COUPONS).where("id < 4"), spark)
     assert sorted((r.id, r.code_clean) for r in latest_per_key(silver).collect()) == [(1, "A2"), (2, "B"), (3, "C")]
 
 
@@ -131,12 +155,39 @@ def test_run_all_follows_the_known_order(spark, tmp_path):
     assert len(incremental.ENTITIES) == 9 and set(incremental.ENTITIES) == set(CLEANERS)
 
 
-def test_silver_replaces_only_written_partitions(spark, tmp_path):
+def test_runs_of_silver_add_up_and_a_repeated_run_replaces_itself(spark, tmp_path):
     root = str(tmp_path)
     df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "id int, day string")
-    assert sinks.write_silver(df, root, "t", ["day"]) == 3
-    assert sinks.write_silver(spark.createDataFrame([(9, "y")], "id int, day string"), root, "t", ["day"], rebalance=True) == 1
-    assert sorted((r.id, r.day) for r in sinks.read_silver(spark, root, "t").collect()) == [(1, "x"), (9, "y")]
+    more = spark.createDataFrame([(9, "y")], "id int, day string")
+    assert sinks.write_silver(df, root, "t", ["day"], run="1") == 3
+    assert sinks.write_silver(more, root, "t", ["day"], rebalance=True, run="2") == 1
+    assert sinks.write_silver(more, root, "t", ["day"], run="2") == 1
+    assert sorted((r.id, r.day) for r in sinks.read_silver(spark, root, "t").collect()) == [(1, "x"), (2, "y"), (3, "y"), (9, "y")]
+    assert {r.silver_run for r in sinks.read_silver(spark, root, "t", runs=True).collect()} == {"run-1", "run-2"}
+    assert sinks.write_silver(more, root, "t", ["day"]) == 1
+    assert sinks.read_silver(spark, root, "t").count() == 5
+
+
+def test_current_silver_is_the_newest_version_of_each_key(spark, tmp_path):
+    root = str(tmp_path)
+    for run, rows in {"1": [(1, "a", "2024-01-01"), (2, "b", None), (None, "k", None)],
+                      "2": [(1, "a2", "2024-01-01 10:00:00"), (None, "k", None), (None, "m", "2024-01-01")],
+                      "3": [(2, "b2", None), (1, "old", "2023-01-01")]}.items():
+        raw = coupons(spark, *[(i or 0, code, at) for i, code, at in rows]).withColumn("id", F.expr("nullif(id, 0)"))
+        sinks.write_silver(run_coupon_cleaning(raw, spark), root, "coupons", run=run)
+    current = sinks.current_silver(spark, root, "coupons").collect()
+    assert sorted((str(r.id), r.code) for r in current) == [("1", "a2"), ("2", "b2"), ("None", "k"), ("None", "m")]
+
+
+def test_stream_and_batch_write_one_silver(spark, tmp_path):
+    spec = ENTITY_SPECS["coupons"]
+    root, silver, state = (str(tmp_path / name) for name in ("bronze", "silver", "state"))
+    bronze.write_bronze(coupons(spark, (1, "a", None)), root, "coupons", "2024-01-01", "r1")
+    stream_to_silver(spark, spec, root, silver, state).awaitTermination()
+    sinks.write_silver(run_coupon_cleaning(coupons(spark, (2, "b", None)), spark), silver, "coupons")
+    bronze.write_bronze(coupons(spark, (3, "c", None)), root, "coupons", "2024-01-01", "r2")
+    stream_to_silver(spark, spec, root, silver, state).awaitTermination()
+    assert sorted(r.id for r in sinks.read_silver(spark, silver, "coupons").collect()) == [1, 2, 3]
 
 
 def test_warehouse_modes(spark, tmp_path):
@@ -199,6 +250,14 @@ def test_stream_joins_the_country_lookup(spark, tmp_path):
     assert sinks.read_silver(spark, silver, "suppliers").first().country_clean == "Germany"
 
 
-def test_scratch_folder_is_shared_or_refused(spark, monkeypatch):
+def test_scratch_folder_is_a_launch_setting(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
-    assert scratch_path(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/a-")
+    assert scratch_path(spark, "a").startswith(root.rstrip("/") + "/a-")
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Bare, "a")

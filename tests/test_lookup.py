@@ -1,10 +1,19 @@
-import pytest
+import random
 
 from silverline.operators import lookup
 from silverline.plans.transformation import normalize_country
 from silverline.sources import countries
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        previous, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            previous, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, previous + (x != y))
+    return row[-1]
+
+
 def clean(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, country string")
     return [r.country_clean for r in normalize_country(df, spark).orderBy("id").collect()]
@@ -37,7 +46,7 @@ def test_blank_and_unrecognised(spark):
 
 def test_catalogue_has_every_country_once(spark):
     table = countries.country_lookup(spark)
-    assert len(countries.country_names(spark)) == 249
+    assert len(countries.country_names()) == 249
     assert table.count() == table.select("lookup_variant").distinct().count()
 
 
@@ -75,37 +84,45 @@ def test_suggestions(spark):
         "XQZ": (1, None, None),
     }
     plan = lookup.suggest_for_unmatched(df, "c", ["Germany"])._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "CartesianProduct" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_suggestions_agree_with_brute_force(spark):
-    names = countries.country_names(spark)
+    names = countries.country_names()
     misses = [n[1:] for n in names[::7]] + [n + "x" for n in names[::11]] + ["zz"]
     df = spark.createDataFrame([(m, "REVISAR_MANUAL") for m in misses], "c string, c_clean string")
     got = {r.c: r.suggestion for r in lookup.suggest_for_unmatched(df, "c", names, max_distance=3).collect()}
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            previous, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                previous, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, previous + (x != y))
-        return row[-1]
-
     for miss in misses:
         best = min((distance(miss.strip().upper(), n.upper()), n) for n in names)
         assert got[miss] == (best[1] if best[0] <= 3 else None)
 
 
-def test_suggestions_need_a_catalogue(spark):
-    df = spark.createDataFrame([("a", "b")], "c string, c_clean string")
-    with pytest.raises(ValueError, match="catalogue"):
-        lookup.suggest_for_unmatched(df, "c", [])
+def test_suggestions_from_short_long_and_many_names(spark):
+    df = spark.createDataFrame([("a", "REVISAR_MANUAL"), ("", "REVISAR_MANUAL"), ("name 7x41", "REVISAR_MANUAL")], "c string, c_clean string")
+    assert {r.suggestion for r in lookup.suggest_for_unmatched(df, "c", []).collect()} == {None}
+    got = {r.c: (r.suggestion, r.distance) for r in lookup.suggest_for_unmatched(df, "c", ["", "ab", "abcd"]).collect()}
+    assert got == {"a": ("", 1), "": ("", 0), "name 7x41": (None, None)}
+    many = spark.range(20_000).selectExpr("concat('Name ', id) AS name")
+    got = {r.c: (r.suggestion, r.distance) for r in lookup.suggest_for_unmatched(df, "c", many, max_distance=2).collect()}
+    assert got["name 7x41"] == ("Name 7041", 1) and got["a"] == (None, None)
+
+
+def test_suggestions_equal_all_pairs_on_random_words(spark):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices("abé", k=draw.randint(0, 9)))
+    names, values = sorted({word() for _ in range(60)}), sorted({word() for _ in range(80)})
+    df = spark.createDataFrame([(v, "REVISAR_MANUAL") for v in values], "c string, c_clean string")
+    for most in (0, 1, 2, 3):
+        got = {r.c: (r.suggestion, r.distance) for r in lookup.suggest_for_unmatched(df, "c", names, max_distance=most).collect()}
+        for v in values:
+            best = min((distance(v.upper(), n.upper()), n) for n in names)
+            assert got[v] == ((best[1], best[0]) if best[0] <= most else (None, None))
 
 
 def test_geo_mismatch(spark):
-    rows = [(1, "Paris", "Germany"), (2, "Paris", "France"), (3, "Nowhere", "Germany"), (4, "Paris", "UNKNOWN")]
+    rows = [(1, "Paris", "Germany"), (2, "Paris", "France"), (3, "Nowhere", "Germany"), (4, "Paris", "UNKNOWN"), (5, "UNKNOWN", "Germany")]
     df = spark.createDataFrame(rows, "id int, city_clean string, country_clean string")
-    cities = spark.createDataFrame([("paris", "France"), ("Paris", "United States")], "city string, country string")
+    cities = spark.createDataFrame([("paris", "France"), ("Paris", "United States"), ("Unknown", "Peru")], "city string, country string")
     got = lookup.geo_mismatch(df, cities).collect()
     assert [(r.id, r.expected_countries) for r in got] == [(1, ["France", "United States"])]

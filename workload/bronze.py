@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverline.functions.dates import KNOWN_DATE_FORMATS
 from silverline.plans.entities import ENTITY_SPECS
 from silverline.plans.spec import EntitySpec
 from silverline.session import scratch_path
@@ -16,31 +17,32 @@ from workload.registry import table
 
 SPARK, DUCK = "spark", "duck"
 
-# Date patterns: as Spark writes them, and as strftime does.
-DATE_TEXTS = [
-    ("yyyy-MM-dd", "%Y-%m-%d"),
-    ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
-    ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT%H:%M:%S"),
-    ("yyyy-MM-dd HH:mm:ss.SSS", "%Y-%m-%d %H:%M:%S.%g"),
-    ("MM/dd/yyyy", "%m/%d/%Y"),
-    ("dd/MM/yyyy", "%d/%m/%Y"),
-    ("MM-dd-yyyy", "%m-%d-%Y"),
-    ("dd-MM-yyyy", "%d-%m-%Y"),
-    ("yyyy/MM/dd", "%Y/%m/%d"),
-    ("d/M/yyyy", "%-d/%-m/%Y"),
-    ("M/d/yyyy", "%-m/%-d/%Y"),
-    ("yyyy.MM.dd", "%Y.%m.%d"),
-    ("dd.MM.yyyy", "%d.%m.%Y"),
-    ("MM.dd.yyyy", "%m.%d.%Y"),
-    ("dd/MM/yyyy HH:mm:ss", "%d/%m/%Y %H:%M:%S"),
-    ("MM/dd/yyyy HH:mm:ss", "%m/%d/%Y %H:%M:%S"),
-    ("yyyyMMdd", "%Y%m%d"),
-    ("MMMM d, yyyy", "%B %-d, %Y"),
-    ("MMM d, yyyy", "%b %-d, %Y"),
-    ("d MMMM yyyy", "%-d %B %Y"),
-    ("d MMM yyyy", "%-d %b %Y"),
-    ("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "%Y-%m-%dT%H:%M:%S.%gZ"),
+# The known date formats as strftime spells them.
+DUCK_DATE_FORMATS = [
+    "%Y-%m-%d",
+    "%Y-%m-%d %H:%M:%S",
+    "%Y-%m-%dT%H:%M:%S",
+    "%Y-%m-%d %H:%M:%S.%g",
+    "%m/%d/%Y",
+    "%d/%m/%Y",
+    "%m-%d-%Y",
+    "%d-%m-%Y",
+    "%Y/%m/%d",
+    "%-d/%-m/%Y",
+    "%-m/%-d/%Y",
+    "%Y.%m.%d",
+    "%d.%m.%Y",
+    "%m.%d.%Y",
+    "%d/%m/%Y %H:%M:%S",
+    "%m/%d/%Y %H:%M:%S",
+    "%Y%m%d",
+    "%B %-d, %Y",
+    "%b %-d, %Y",
+    "%-d %B %Y",
+    "%-d %b %Y",
+    "%Y-%m-%dT%H:%M:%S.%gZ",
 ]
+DATE_TEXTS = list(zip(KNOWN_DATE_FORMATS, DUCK_DATE_FORMATS, strict=True))
 
 # Country spellings of the raw tables, and the standard name each must get.
 COUNTRIES = {
@@ -364,5 +366,4 @@ def bronze_sql(entity: str) -> str:
 
 
 def spec_of(entity: str) -> EntitySpec:
-    """Keys are 64 bits wide: the given tables' keys outgrow 32 bits at cluster scale."""
-    return ENTITY_SPECS[entity].wide_keys()
+    return ENTITY_SPECS[entity]

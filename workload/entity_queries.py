@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from silverline.operators import quality
 from silverline.plans.transformation import run_cleaning, run_transformation
 from workload import oracle as o
-from workload.bronze import bronze, bronze_sql, spec_of
+from workload.bronze import bronze, spec_of
 from workload.registry import portable, query
 
 ENTITIES = [
@@ -37,14 +42,21 @@ for _entity in ENTITIES:
     query(f"entity_{_entity}", o.portable_entity(spec_of(_entity)))(_entity_query(_entity))
 
 
-@query(
-    "all_entities",
-    " UNION ALL ".join(
-        f"SELECT '{e}' AS entity, count(*) AS n_rows, 'ingestion_timestamp, ingestion_date' AS audit_columns"
-        f" FROM ({bronze_sql(e)}) b"
-        for e in ENTITIES
-    ),
-)
+def _column_sums(entity: str) -> str:
+    """Values, and characters as text, of each cleaned column: what a lost or changed value would show."""
+    sums = ", ".join(
+        f"{{'column': '{c}_clean', 'n_values': count({c}_clean), 'chars': coalesce(sum(length({c}_clean)), 0)}}"
+        for c in spec_of(entity).rules
+    )
+    return f"SELECT '{entity}' AS entity, n_rows, u.* FROM (SELECT count(*) AS n_rows, unnest([{sums}]) AS u FROM ({o.entity_sql(spec_of(entity))}) s) t"
+
+
+@query("all_entities", f"""SELECT entity, n_rows, "column", n_values, CAST(chars AS BIGINT) AS chars,
+    'ingestion_timestamp, ingestion_date' AS audit_columns FROM ({' UNION ALL '.join(map(_column_sums, ENTITIES))}) a""")
 def _(spark, sf_dir):
+    """All nine tables cleaned in one run, with the contents of every cleaned column summed up."""
     raw = {entity: bronze(spark, sf_dir, entity) for entity in ENTITIES}
-    return quality.entity_summary(run_transformation(raw, spark))
+    tables = run_transformation(raw, spark)
+    audit = quality.entity_summary(tables).select("entity", "audit_columns")
+    sums = [quality.column_sums(df).select(F.lit(name).alias("entity"), "n_rows", "column", "n_values", "chars") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, sums).join(audit, "entity")

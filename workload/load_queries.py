@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverline.operators.versions import latest_per_key, latest_raw
@@ -11,7 +13,7 @@ from silverline.plans.transformation import run_cleaning
 from silverline.session import scratch_path
 from silverline.sources import bronze as landing
 from silverline.sources.incremental import changed_since, run_all
-from silverline.sources.sinks import CatalogTarget, load_all, read_silver, write_silver
+from silverline.sources.sinks import CatalogTarget, current_silver, load_all, read_silver, write_silver
 from silverline.sources.watermark import get_watermark, read_watermarks, save_watermark
 from silverline.streaming.bronze_stream import stream_to_silver
 from workload import oracle as o
@@ -41,18 +43,50 @@ def _(spark, sf_dir):
 
 @query(
     "bronze_scan_all",
-    " UNION ALL ".join(f"SELECT '{e}' AS entity, count(*) AS n_rows FROM ({bronze_sql(e)}) b" for e in ENTITIES),
+    " UNION ALL ".join(
+        f"""SELECT '{e}' AS entity, count(*) AS n_rows, count(updated_at) AS n_updated,
+        CAST(sum(length(created_at)) AS BIGINT) AS created_chars FROM ({bronze_sql(e)}) b"""
+        for e in ENTITIES
+    ),
 )
 def _(spark, sf_dir):
     root = scratch_path(spark, "landing")
     for entity in ENTITIES:
         landing.write_bronze(bronze(spark, sf_dir, entity), root, entity, _DAY, _RUN)
     scans = landing.read_all_bronze(spark, root, {e: spec_of(e).schema for e in ENTITIES})
-    counts = [df.agg(F.count("id").alias("n_rows")).select(F.lit(e).alias("entity"), "n_rows") for e, df in scans.items()]
-    union = counts[0]
-    for more in counts[1:]:
-        union = union.unionByName(more)
-    return union
+    counts = [
+        df.agg(
+            F.count("id").alias("n_rows"),
+            F.count("updated_at").alias("n_updated"),
+            F.sum(F.length("created_at")).alias("created_chars"),
+        ).select(F.lit(e).alias("entity"), "n_rows", "n_updated", "created_chars")
+        for e, df in scans.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+_ARRAY = 1000  # records an array file
+
+
+def write_array_files(df, root, entity):
+    """One indented JSON array per entity and day, the layout of the extraction job."""
+    record = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.col("id") / _ARRAY).cast("int"))
+    arrays = df.groupBy(day.alias("ingestion_date")).agg(F.collect_list(record).alias("records"))  # _ARRAY at most
+    text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
+    arrays.select(text.alias("value"), "ingestion_date").write.partitionBy("ingestion_date").text(landing.bronze_path(root, entity))
+
+
+@query(
+    "bronze_array_files",
+    f"""SELECT *, CAST(DATE '2024-01-01' + CAST(floor(id / {_ARRAY}) AS INTEGER) AS VARCHAR) AS ingestion_date
+        FROM ({_raw_sql('customers')}) r""",
+)
+def _(spark, sf_dir):
+    root = scratch_path(spark, "arrays")
+    write_array_files(bronze(spark, sf_dir, "customers"), root, "customers")
+    stored = landing.read_bronze(spark, root, "customers", spec_of("customers").schema, multi_line=True)
+    return portable(stored.drop("run_id"))
 
 
 def _pages(spark, sf_dir, path):
@@ -172,7 +206,7 @@ def _(spark, sf_dir):
     "latest_payments",
     f"""SELECT CAST(order_id AS VARCHAR) AS order_id, id, amount, updated_at_clean FROM (
         SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at_clean DESC NULLS LAST, id DESC) AS r
-        FROM ({o.entity_sql(spec_of('payments'))}) s) t WHERE r = 1""",
+        FROM ({o.entity_sql(spec_of('payments'))}) s) t WHERE r = 1 OR order_id IS NULL""",
 )
 def _(spark, sf_dir):
     versions = silver(spark, sf_dir, "payments").select("order_id", "id", "amount", "updated_at_clean")
@@ -183,7 +217,7 @@ def _(spark, sf_dir):
     "latest_raw_versions",
     f"""SELECT warehouse, id, updated_at FROM (
         SELECT *, row_number() OVER (PARTITION BY warehouse ORDER BY {o.moment('updated_at')} DESC NULLS LAST, id DESC) AS r
-        FROM ({_raw_sql('inventory')}) b) t WHERE r = 1""",
+        FROM ({_raw_sql('inventory')}) b) t WHERE r = 1 OR warehouse IS NULL""",
 )
 def _(spark, sf_dir):
     """Few keys, each with very many versions."""
@@ -199,39 +233,108 @@ def _(spark, sf_dir):
     return portable(stored.drop("ingestion_timestamp", "ingestion_date"), *o.integers_of(spec_of("inventory")))
 
 
-@query(
-    "silver_by_status",
-    f"SELECT status_clean, count(*) AS n_rows FROM ({o.entity_sql(spec_of('shipping'))}) s GROUP BY status_clean",
-)
+@query("silver_by_status", f"SELECT id, status_clean, carrier_clean FROM ({o.entity_sql(spec_of('shipping'))}) s")
 def _(spark, sf_dir):
     """Silver partitioned by a skewed column, rows brought together per partition first."""
     root = scratch_path(spark, "silver")
     write_silver(silver(spark, sf_dir, "shipping"), root, "shipping", ["status_clean"], rebalance=True)
-    return read_silver(spark, root, "shipping").groupBy("status_clean").agg(F.count(F.lit(1)).alias("n_rows"))
+    return read_silver(spark, root, "shipping").select("id", "status_clean", "carrier_clean")
 
 
 @query(
     "warehouse_load",
     " UNION ALL ".join(
-        f"SELECT '{e}' AS entity, count(*) AS loaded, 2 * count(*) AS stored FROM ({bronze_sql(e)}) b"
-        for e in ("payments", "coupons")
+        f"""SELECT '{e}' AS entity, id, {value} AS value, 2 AS stored, (SELECT count(*) FROM ({bronze_sql(e)}) b) AS loaded
+        FROM ({o.entity_sql(spec_of(e))}) s"""
+        for e, value in (("payments", "transaction_id_clean"), ("coupons", "code_clean"))
     ),
 )
 def _(spark, sf_dir):
-    """Two tables replaced, then appended to, in the catalog; rows reported and stored."""
+    """Two tables replaced, then appended to, in the catalog: every row is stored twice, as reported."""
     path = scratch_path(spark, "warehouse")
     target = CatalogTarget(location=path)
     suffix = path.rsplit("-", 1)[1]
     tables = {f"{e}_{suffix}": silver(spark, sf_dir, e) for e in ("payments", "coupons")}
     load_all(tables, target, if_exists="replace")
     loaded = load_all(tables, target, if_exists="append")
-    counts = [
-        spark.table(name).agg(F.count(F.lit(1)).alias("stored")).select(
-            F.lit(name.removesuffix(f"_{suffix}")).alias("entity"), F.lit(rows).cast("bigint").alias("loaded"), "stored"
-        )
-        for name, rows in loaded.items()
-    ]
-    return counts[0].unionByName(counts[1])
+    values = {"payments": "transaction_id_clean", "coupons": "code_clean"}
+    stored = []
+    for name, rows in loaded.items():
+        entity = name.removesuffix(f"_{suffix}")
+        counted = spark.table(name).groupBy("id", F.col(values[entity]).alias("value")).agg(F.count(F.lit(1)).cast("int").alias("stored"))
+        stored.append(counted.select(F.lit(entity).alias("entity"), "id", "value", "stored", F.lit(rows).cast("bigint").alias("loaded")))
+    return stored[0].unionByName(stored[1])
+
+
+_BEYOND = 3_000_000_000
+
+
+@query(
+    "keys_beyond_32_bits",
+    f"""SELECT id + {_BEYOND} AS id, CASE WHEN id % 3 = 0 THEN 'late' ELSE method END AS method
+        FROM ({_raw_sql('payments')}) r""",
+)
+def _(spark, sf_dir):
+    """Keys above 2^31, landed twice for a third of the rows, read with the declared schema."""
+    root = scratch_path(spark, "landing")
+    raw = bronze(spark, sf_dir, "payments").withColumn("id", F.col("id") + _BEYOND).withColumn("updated_at", F.lit("2024-01-01"))
+    late = raw.where((F.col("id") - _BEYOND) % 3 == 0).withColumns({"method": F.lit("late"), "updated_at": F.lit("2024-01-02")})
+    landing.write_bronze(raw, root, "payments", _DAY, _RUN)
+    landing.write_bronze(late, root, "payments", _DAY, "000002")
+    return latest_raw(landing.read_bronze(spark, root, "payments", spec_of("payments").schema)).select("id", "method")
+
+
+# What changes at the source between runs: condition on the key, and the new values of some columns.
+_CHANGES = [
+    ("id % 7 = 1", {"status": "'paid'", "updated_at": "'2024-06-01'"}),  # a day only, the day of the mark
+    ("id % 11 = 2", {"amount": "'77.5'", "updated_at": "'2024-06-02 07:30:00'"}),
+]
+_KEYLESS = "id % 13 = 0"
+_RUNS = [datetime(2024, 6, 1, 10), datetime(2024, 6, 1, 15), datetime(2024, 6, 2, 8), datetime(2024, 6, 2, 9)]
+
+
+def _state_sql(changes: int) -> str:
+    """The source after so many changes; rows of some keys have lost them."""
+    sql = bronze_sql("payments")
+    for condition, values in _CHANGES[:changes]:
+        replaced = ", ".join(f"CASE WHEN {condition} THEN {value} ELSE {c} END AS {c}" for c, value in values.items())
+        sql = f"SELECT * REPLACE ({replaced}) FROM ({sql}) b"
+    return f"SELECT * REPLACE (CASE WHEN {_KEYLESS} THEN NULL ELSE id END AS id) FROM ({sql}) b"
+
+
+def _state(raw, changes):
+    for condition, values in _CHANGES[:changes]:
+        raw = raw.withColumns({c: F.expr(f"CASE WHEN {condition} THEN {value} ELSE {c} END") for c, value in values.items()})
+    return raw.withColumn("id", F.expr(f"CASE WHEN {_KEYLESS} THEN NULL ELSE id END"))
+
+
+@query(
+    "incremental_to_silver",
+    o.portable(
+        f"""SELECT * FROM ({o.entity_sql(spec_of('payments'), _state_sql(2))}) s WHERE id IS NOT NULL
+        UNION ALL SELECT * FROM (
+            {' UNION '.join(f"SELECT * FROM ({o.entity_sql(spec_of('payments'), _state_sql(n))}) s WHERE id IS NULL" for n in range(3))}) k""",
+        *o.integers_of(spec_of("payments")), "id",
+    ),
+)
+def _(spark, sf_dir):
+    """A full run, a run of the same day, one of the next day and one that finds nothing new.
+
+    Each run's batch is cleaned and written to Silver; the current view must be the source
+    as it stands, and hold every content that rows without a key have had.
+    """
+    bronze_root, control, silver_root = (scratch_path(spark, name) for name in ("landing", "control", "silver"))
+    spec, raw = spec_of("payments"), bronze(spark, sf_dir, "payments")
+    for now, changes in zip(_RUNS, (0, 1, 2, 2), strict=True):
+        now = now.replace(tzinfo=timezone.utc)
+        result = run_all(spark, {"payments": _state(raw, changes)}, bronze_root, control, ["payments"], now)[0]
+        if result.rows:
+            batch = landing.read_bronze(spark, bronze_root, "payments", spec.schema)
+            batch = batch.where((F.col("ingestion_date") == F.lit(now.date())) & (F.col("run_id") == now.strftime("%H%M%S%f")))
+            write_silver(run_cleaning(batch, spark, spec=spec), silver_root, "payments", run=now.strftime("%Y%m%d%H%M%S"))
+    current = current_silver(spark, silver_root, "payments")
+    current = current.drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id")
+    return portable(current, *o.integers_of(spec), "id")
 
 
 @query("stream_to_silver", o.portable_entity(spec_of("customers")))

@@ -175,11 +175,11 @@ def cleaned(spec: EntitySpec, column: str) -> str:
     return country(column)
 
 
-def entity_sql(spec: EntitySpec) -> str:
+def entity_sql(spec: EntitySpec, raw_sql: str | None = None) -> str:
     """The cleaned table of an entity, audit columns left out, dates as text."""
     raw = [f"{in_place(spec, f.name)} AS {f.name}" for f in spec.schema.fields]
     clean = [f"{cleaned(spec, c)} AS {c}_clean" for c in spec.rules]
-    return f"WITH b AS ({bronze_sql(spec.name)}) SELECT {', '.join(raw + clean)} FROM b"
+    return f"WITH b AS ({raw_sql or bronze_sql(spec.name)}) SELECT {', '.join(raw + clean)} FROM b"
 
 
 def integers_of(spec: EntitySpec) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from silverline.operators import columns, integrity, lookup, quality
 from silverline.plans.transformation import normalize_country, run_cleaning, with_paid_time
+from silverline.sources.countries import COUNTRY_ALIASES, country_names, iso_variants
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of, text_literal
 from workload.entity_queries import silver
@@ -26,8 +27,6 @@ def _pairs(entity: str) -> list[str]:
 
 # Lookups
 
-_CATALOGUE = ["France", "Germany", "Italy", "Mexico", "Portugal", "Spain", "United Kingdom", "United States"]
-
 
 @query(
     "country_lookup",
@@ -67,13 +66,53 @@ def _(spark, sf_dir):
     ranked AS (
         SELECT country, n_rows, name, CAST(levenshtein(upper(trim(country)), upper(name)) AS INTEGER) AS d,
                row_number() OVER (PARTITION BY country ORDER BY levenshtein(upper(trim(country)), upper(name)), name) AS r
-        FROM misses, (VALUES {', '.join(f"({text_literal(c)})" for c in _CATALOGUE)}) AS c(name))
+        FROM misses, (VALUES {', '.join(f"({text_literal(c)})" for c in country_names())}) AS c(name))
     SELECT country, n_rows, CASE WHEN d <= 3 THEN name END AS suggestion, CASE WHEN d <= 3 THEN CAST(d AS VARCHAR) END AS distance
     FROM ranked WHERE r = 1""",
 )
 def _(spark, sf_dir):
     cleaned = normalize_country(bronze(spark, sf_dir, "customers"))
-    return portable(lookup.suggest_for_unmatched(cleaned, "country", _CATALOGUE, max_distance=3), "distance")
+    return portable(lookup.suggest_for_unmatched(cleaned, "country", country_names(), max_distance=3), "distance")
+
+
+_VARIANTS = sorted({**iso_variants(), **COUNTRY_ALIASES}.items())
+_VARIANT_LIST = ", ".join(text_literal(variant) for variant, _ in _VARIANTS)
+
+
+@query(
+    "country_catalogue",
+    f"""WITH variants(variant, standard) AS (VALUES {', '.join(f"({text_literal(a)}, {text_literal(b)})" for a, b in _VARIANTS)}),
+    spelled AS (
+        SELECT 'customer' AS origin, CAST(c_custkey AS BIGINT) AS k, list_extract([{_VARIANT_LIST}], CAST(c_custkey % {len(_VARIANTS)} AS INTEGER) + 1) AS country
+        FROM customer
+        UNION ALL SELECT 'nation', CAST(n_nationkey AS BIGINT), n_name FROM nation)
+    SELECT origin, k, country, coalesce(standard, 'REVISAR_MANUAL') AS country_clean
+    FROM spelled LEFT JOIN (SELECT DISTINCT upper(variant) AS v, standard FROM variants) u ON upper(trim(country)) = v""",
+)
+def _(spark, sf_dir):
+    """Every nation, and every spelling of the catalogue on the customers."""
+    spelled = table(spark, sf_dir, "customer").selectExpr(
+        "'customer' AS origin",
+        "CAST(c_custkey AS BIGINT) AS k",
+        f"element_at(array({_VARIANT_LIST.replace(chr(39) * 2, chr(92) + chr(39))}), CAST(c_custkey % {len(_VARIANTS)} AS INT) + 1) AS country",
+    )
+    nations = table(spark, sf_dir, "nation").selectExpr("'nation' AS origin", "CAST(n_nationkey AS BIGINT) AS k", "n_name AS country")
+    return normalize_country(spelled.unionByName(nations))
+
+
+@query(
+    "reports_over_kept_table",
+    f"""SELECT 'rows' AS report, NULL AS value, count(*) AS n_rows FROM {silver_sql('suppliers')}
+    UNION ALL SELECT 'country', country_clean, count(*) FROM {silver_sql('suppliers')} GROUP BY country_clean
+    UNION ALL SELECT 'active', CAST(is_active AS VARCHAR), count(*) FROM {silver_sql('suppliers')} GROUP BY is_active""",
+)
+def _(spark, sf_dir):
+    """Three reports over one table that is cleaned once and kept."""
+    kept = quality.keep_for_reports(silver(spark, sf_dir, "suppliers"))
+    rows = quality.row_count(kept).selectExpr("'rows' AS report", "CAST(NULL AS STRING) AS value", "n_rows")
+    country = quality.frequency(kept, "country_clean", ordered=False).selectExpr("'country' AS report", "country_clean AS value", "n_rows")
+    active = quality.frequency(kept, "is_active", ordered=False).selectExpr("'active' AS report", "CAST(is_active AS STRING) AS value", "n_rows")
+    return rows.unionByName(country).unionByName(active)
 
 
 _PLACES = [("New York", "United States"), ("St. Louis", "United States"), ("Paris", "France"),
