@@ -15,8 +15,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark() -> SparkSession:
-    return local_session("tests", 8)
+def spark(tmp_path_factory) -> SparkSession:
+    return local_session("tests", 8, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
 
 
 @pytest.fixture(scope="session")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
@@ -104,3 +106,18 @@ def test_text_functions_are_idempotent_on_any_text(evaluate, values):
         once = evaluate(values, function)
         assert evaluate(once, function) == once
     assert None not in evaluate(values, text.clean_text)
+
+
+def test_special_characters_are_those_of_the_expression(spark):
+    draw = random.Random(3)
+    signs = "aZ09 \t\n\x0b\x0c\r\x00\x1c'-.\\^]&é\x85\xa0ÿĀ中\U0001f600"
+    texts = [None, "", *["".join(draw.choices(signs, k=draw.randint(0, 12))) for _ in range(500)], *map(chr, range(300))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for keep, digits in (("", False), ("'-", False), ("'-.\\^]&", True)):
+        slow = F.regexp_replace("t", f"[^{text.kept_class(keep, digits)}]", "")
+        assert df.where(~text.remove_special_chars(F.col("t"), keep, digits).eqNullSafe(slow)).collect() == []
+
+
+def test_codes_keep_what_is_asked_for(spark):
+    df = spark.createDataFrame([("a s-1 \\s^]",)], "t string")
+    assert [df.select(text.clean_code(F.col("t"), keep)).first()[0] for keep in ("-", "s", "^]\\")] == ["AS-1S", "AS1S", "AS1\\S^]"]
