@@ -11,8 +11,9 @@ from silverline.llm.common import process_cache
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # Characters on which splitting by Python and by the tokenizer differ; such texts go to the tokenizer whole.
 _ODD_SPACES = tuple(map(chr, (0x1C, 0x1D, 0x1E, 0x1F, 0x180E)))
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
-_PIECES = re.compile(r"[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+")
+# Where the vocabulary divides lower-case text, for the characters above and for white space.
+_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
 _SLICE = 1 << 20
 
 
@@ -49,12 +50,12 @@ def slices(text: str) -> Iterator[str]:
 class WordTokenizer:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
-    The vocabulary drops white space and splits at it, so a text's ids are those of its words one after another.
-    A word of Latin letters, digits and signs is split here at the borders the vocabulary splits at, and each part
-    is spelled by the tokenizer's model; every other word goes through the whole tokenizer.
+    The vocabulary lowers letters, drops white space, divides text by one pattern and spells each part by itself. A
+    text of Latin letters, digits and ASCII signs is divided here and its parts are spelled by the tokenizer's model,
+    each once while it is remembered. Of any other text, each word goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, bound: int = 150_000):
+    def __init__(self, path: str, bound: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -69,21 +70,18 @@ class WordTokenizer:
         self.spelled = spelled
         self.model = self.tokenizer.model
         self.parts = _Recent(self._part, bound)
-        self.words = _Recent(self._word, bound)
+        self.words = _Recent(self._whole, bound // 5)
 
     def _part(self, part: str) -> bytes:
         tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.spelled))
-        return b"".join(t.id.to_bytes(4, "little") for t in tokens)
+        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
     def _whole(self, text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
-            return b"".join(map(self.parts.__getitem__, _PIECES.findall(word.lower())))
-        return self._whole(word)
+        return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def ids(self, text: str) -> bytes:
+        if _OTHER.search(text) is None:
+            return b"".join(b"".join(map(self.parts.__getitem__, _PIECES.findall(part))) for part in slices(text.lower()))
         if any(c in text for c in _ODD_SPACES):
             return self._whole(text)
         return b"".join(b"".join(map(self.words.__getitem__, part.split())) for part in slices(text))
