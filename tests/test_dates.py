@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
@@ -139,3 +140,32 @@ def test_plan_grows_linearly_with_formats(spark):
         return plan._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp")
 
     assert [size(5), size(10), size(22)] == [5, 10, 22]
+
+
+@pytest.mark.parametrize("fmt", ["yyyy-MM-dd[ HH:mm:ss]", "yyyy['-']MM-dd", "yyyy-MM-dd''HH", "[yyyy/MM/dd][dd.MM.yyyy]"])
+def test_shapes_never_change_a_result(spark, fmt):
+    texts = ["2024-01-05", "2024-01-05 10:00:00", "2024-01-05'10", "202401-05", "2024/01/05", "05.01.2024", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    plain = [r[0] for r in df.select(F.try_to_date("v", fmt)).collect()]
+    assert any(plain)
+    for other in ([fmt], [fmt, "MM/dd/yyyy"]):
+        by_name = [r[0] for r in df.select(dates.parse_date("v", formats=other)).collect()]
+        by_column = [r[0] for r in df.select(dates.parse_date(F.col("v"), formats=other)).collect()]
+        assert by_name == by_column == plain
+
+
+def test_shapes_of_generated_formats(spark):
+    draw = random.Random(8)
+    fields, glue = ["yyyy", "MM", "M", "dd", "d", "HH", "mm", "ss"], ["-", "/", ".", " ", ", ", "'T'", ":", "[ ", "] ", "''"]
+    texts = ["2024-01-05", "2024/1/5", "05.01.2024 10:20:30", "2024-01-05T10:20", "1/5, 2024", "2024 01", "10:20:30", "2024'01'05", " 2024-01-05"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    checks = []
+    for _ in range(60):
+        fmt = draw.choice(fields) + "".join(draw.choice(glue) + draw.choice(fields) for _ in range(draw.randint(1, 4)))
+        try:
+            df.select(F.try_to_timestamp("v", F.lit(fmt))).collect()
+        except Exception:
+            continue  # no format at all
+        same = dates.parse_timestamp("v", formats=[fmt]).eqNullSafe(F.try_to_timestamp("v", F.lit(fmt)))
+        checks.append(F.count_if(~same).alias(f"c{len(checks)}"))
+    assert len(checks) > 10 and set(df.agg(*checks).first()) == {0}

@@ -169,3 +169,18 @@ def test_latest_raw_uses_the_time_of_day(spark):
     got = latest_raw(df)
     assert got.columns == df.columns
     assert sorted((r.id, r.note) for r in got.collect()) == [(1, "february"), (2, "evening"), (3, "read"), (4, "second")]
+
+
+def test_repairs_of_one_column_follow_each_other(spark):
+    df = spark.createDataFrame([(-1.234,), (1.234,), (None,)], "x double")
+    rules = [integrity.Rule("low", "x", "min", (0,), "nullify"), integrity.Rule("fine", "x", "decimals", (2,), "round")]
+    assert [tuple(r) for r in integrity.apply_rules(df, rules).collect()] == [(None, True, True), (1.23, False, True), (None, False, False)]
+    assert [r.x for r in integrity.apply_rules(df, rules[::-1]).collect()] == [None, 1.23, None]
+
+
+def test_columns_and_rules_may_be_called_total(spark):
+    df = spark.createDataFrame([("a", "A", -1)], "total string, total_clean string, line int")
+    (row,) = quality.quality_report(df).collect()
+    assert (row.column, row.total, row.changed) == ("total", 1, 1)
+    (row,) = integrity.rule_violations(df, [integrity.Rule("total", "line", "min", (0,))]).collect()
+    assert (row.rule, row.violations, row.total) == ("total", 1, 1)
