@@ -15,8 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     changes; labels spread in doubling steps. A node with very many links is one key of joins, which Spark splits, and
     of aggregates, which are partial before the shuffle.
     """
-    real = links.where("a <> b").select("a", "b")
-    both = checkpointed(real.union(real.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = checkpointed(links.where("a <> b").select(F.inline(ways)).distinct())
     labels = checkpointed(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")))
     while True:
         of = labels.select(F.col("a").alias("b"), F.col("label").alias("near"))

@@ -10,9 +10,9 @@ the candidate's sorted set is probed for the remaining members by binary search,
 What keeps this small at any size:
 - Documents with equal sets are one node, and nothing is done per copy.
 - Large groups of near copies would make all their lists long. A first round links the members of such groups to one
-  member each, verified exactly; after it, only documents of different groups need to be compared.
-- Lists that only one document or one group is in are dropped. Lists are divided by size of set, by group and, if
-  still long, by hash, so none is ever held whole by one task.
+  in their middle, verified exactly; after it, only documents of different groups need to be compared.
+- Lists that only one document is in are dropped, and large ones that only one group is in. A list of more than
+  ``PART`` documents is divided by hash, and its parts meet in pairs, so none is ever held whole by one task.
 - Which lists are long is counted over all documents. At most ``LONG_LISTS`` of them are known by name, the longest;
   any other list is read like a short one, whatever its length, so no candidate is lost.
 
@@ -37,10 +37,12 @@ from silverline.llm.components import components
 from silverline.llm.hashing import hashed_words, mixed
 
 SHINGLE, PERCENT = 5, 80
-SHORT_LIST = 32  # documents in a list that is not long
+SHORT_LIST = 16  # documents in a list that is not long
 LONG_LISTS = 1 << 16  # long lists known by name: half a megabyte
-SIGNATURE = 4  # members by which the first round finds large groups
-PART = 4096  # documents in the part of a list that one task holds
+MARKS = 4  # members with long lists by which the first round finds large groups
+PART = 4096  # documents in the part of a list that a task holds
+TILE = 512  # documents of a block whose sets a task holds
+ROW = 256  # members of a list in one row
 BROADCAST_ROWS = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,35 +103,120 @@ def _lists(arrays: list[np.ndarray]):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """Rows ``(doc_id, text_key, node, n, first, prefix)``: a document's set, and the smallest hashes in it.
+def _is_long(members: np.ndarray, long: np.ndarray) -> np.ndarray:
+    if not len(long) or not len(members):
+        return np.zeros(len(members), dtype=bool)
+    return long[np.minimum(np.searchsorted(long, members), len(long) - 1)] == members
 
-    Only the first document of a node that a task meets brings the prefix along.
-    """
+
+def set_table(docs: DataFrame, long: np.ndarray) -> DataFrame:
+    """Rows ``(doc_id, text_key, node, n, held, marks)``: a document's set, its size, how many of its members have
+    long lists, and the smallest hashes of those."""
 
     def sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        seen = _Seen()
         for batch in batches:
             for part, texts in _texts(batch, 2):
                 members = list(shingle_sets(texts))
-                nodes = [node_of(m) for m in members]
-                fresh = [node is not None and seen.new(node) for node in nodes]
-                prefixes = [m[: prefix_size(len(m))] if new else m[:0] for m, new in zip(members, fresh, strict=True)]
+                far = [m[_is_long(m, long)] for m in members]
                 columns = [
-                    part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array([len(m) for m in members], pa.int64()),
-                    _lists([m[:SIGNATURE] for m in members]), _lists(prefixes),
+                    part.column(0), part.column(1), pa.array([node_of(m) for m in members], pa.int64()),
+                    pa.array([len(m) for m in members], pa.int64()), pa.array([len(m) for m in far], pa.int64()),
+                    _lists([m[:MARKS] for m in far]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "node", "n", "first", "prefix"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "node", "n", "held", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return keyed.mapInArrow(sets, f"doc_id {kind}, text_key long, node long, n long, first array<long>, prefix array<long>")
+    return keyed.mapInArrow(sets, f"doc_id {kind}, text_key long, node long, n long, held long, marks array<long>")
+
+
+class _Forest:
+    """Groups of linked nodes; of all links only those that join two groups are kept."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(node, node)) != node:
+            parent[node] = parent[up]
+            node = up
+        return node
 
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
 
-def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs ``(a, b)`` of nodes, those that are similar, found by probing one sorted set with the other."""
+
+def _tiled_requests(batches: Iterator) -> Iterator:
+    """Rows ``(g, i, j, kind, node, others)``: what is to be compared in which tile (1), and which sets that needs (0).
+
+    All that concerns one block comes to one task, so each need is named once.
+    """
+    import pyarrow as pa
+
+    needed = _Seen()
+    for batch in batches:
+        g, i, j, kind, nodes, lists = [], [], [], [], [], []
+        for node, others, group, own, blocks in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+            by_block: dict[int, list[int]] = {}
+            for other in others:
+                by_block.setdefault(other % blocks, []).append(other)
+            for block, wanted in by_block.items():
+                rows = [(1, node, wanted)] + [(0, n, None) for n in (node, *wanted) if needed.new((group, own, block, n))]
+                for k, n, w in rows:
+                    g.append(group)
+                    i.append(own)
+                    j.append(block)
+                    kind.append(k)
+                    nodes.append(n)
+                    lists.append(w)
+        if g:
+            arrays = [pa.array(g, pa.int64()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(kind, pa.int32())]
+            arrays += [pa.array(nodes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["g", "i", "j", "kind", "node", "others"])
+
+
+def _compared(batches: Iterator) -> Iterator:
+    """Exact overlaps in each tile: its sets come first, then what is to be compared. Yields links that join groups."""
+    import pyarrow as pa
+
+    tile, sets, forest = None, {}, _Forest()
+    for batch in batches:
+        left, right = [], []
+        keys = zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)
+        for key, kind, node, members, others in zip(keys, *(batch.column(c) for c in range(3, 7)), strict=True):
+            if key != tile:
+                tile, sets, forest = key, {}, _Forest()
+            node = node.as_py()
+            if kind.as_py() == 0:
+                sets[node] = np.frombuffer(members.as_py(), np.uint64)
+                continue
+            own, wanted = sets[node], [o for o in others.as_py() if forest.root(o) != forest.root(node)]
+            for at in range(0, len(wanted), 256):
+                some = wanted[at : at + 256]
+                sizes = np.array([len(sets[o]) for o in some])
+                probed = np.concatenate([sets[o] for o in some])
+                hit = own[np.minimum(np.searchsorted(own, probed), len(own) - 1)] == probed
+                shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+                for other, ok in zip(some, (shared >= least_overlap(len(own), sizes)).tolist(), strict=True):
+                    if ok and forest.join(node, other):
+                        left.append(node)
+                        right.append(other)
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+
+def verified_links(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """Links among the pairs asked for, by probing one sorted set with the other; enough of them to join every group.
+
+    ``asked`` has rows ``(node, others, label)``: ``others`` to compare with ``node``, or a ``label`` of a node that is
+    the same for many that are compared with each other. Nodes of a label work in one place, in blocks if they are many,
+    so a set travels once or a few times, not once per pair.
+    """
 
     def sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -142,40 +229,55 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataF
                 columns = [pa.array([node for node, _ in found], pa.int64()), pa.array([m.tobytes() for _, m in found], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "members"])
 
-    @F.arrow_udf("boolean")
-    def similar(left, right):
-        import pyarrow as pa
-
-        out = []
-        for x, y in zip(left, right, strict=True):
-            a, b = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-            a, b = (a, b) if len(a) < len(b) else (b, a)
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            out.append(int((b[at] == a).sum()) >= least_overlap(len(a), len(b)))
-        return pa.array(out, pa.bool_())
-
-    pairs = checkpointed(pairs)
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = checkpointed(nodes.join(asked, "node").select("text_key").distinct())
+    asked = checkpointed(asked)
+    labels = asked.where("label IS NOT NULL").groupBy("node").agg(F.min("label").alias("label"))
+    sizes = labels.groupBy("label").agg(F.count("*").alias("there"))
+    bins = max(1, labels.count() // TILE)
+    blocks = F.ceil(F.col("there") / TILE).cast("int")
+    group = F.when(blocks > 1, F.col("label")).otherwise(F.pmod(F.xxhash64("label"), F.lit(bins)))
+    homes = labels.join(sizes, "label").select("node", group.alias("g"), blocks.alias("blocks"))
+    block = F.pmod("node", "blocks").cast("int").alias("i")
+    requests = asked.where("others IS NOT NULL").join(homes, "node").select("node", "others", "g", block, "blocks")
+    schema = "g long, i int, j int, kind int, node long, others array<long>"
+    tiled = checkpointed(requests.repartition("g", "i").mapInArrow(_tiled_requests, schema))
+    needs = tiled.where("kind = 0").select("g", "i", "j", "kind", "node").distinct()
+    wanted = checkpointed(nodes.join(needs.select("node").distinct(), "node").select("text_key").distinct())
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted  # a checked size
     texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key", "left_semi").select("text")
-    known = checkpointed(texts.mapInArrow(sets, "node long, members binary").dropDuplicates(["node"]))
-    left = known.select(F.col("node").alias("a"), F.col("members").alias("members_a"))
-    right = known.select(F.col("node").alias("b"), F.col("members").alias("members_b"))
-    return pairs.join(left, "a").join(right, "b").where(similar("members_a", "members_b")).select("a", "b")
+    known = texts.mapInArrow(sets, "node long, members binary").dropDuplicates(["node"])
+    keys = ["g", "i", "j"]
+    given = needs.join(known, "node").select(*keys, "kind", "node", "members", F.lit(None).cast("array<long>").alias("others"))
+    put = tiled.where("kind = 1").select(*keys, "kind", "node", F.lit(None).cast("binary").alias("members"), "others")
+    together = given.unionByName(put).repartition(*keys).sortWithinPartitions(*keys, "kind")
+    return together.mapInArrow(_compared, "a long, b long")
 
 
 def large_group_pairs(nodes: DataFrame) -> DataFrame:
-    """Nodes of large groups with the smallest node that shares at least two of their smallest hashes."""
-    marks = nodes.select("node", F.explode("first").alias("token"))
-    many = marks.groupBy("token").agg(F.count("*").alias("there"), F.min("node").alias("leader")).where(F.col("there") > SHORT_LIST)
-    met = marks.join(many, "token").where("node <> leader").groupBy("leader", "node").count()
-    return met.where("count >= 2").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-
+    """Nodes of large groups with a node in the middle of their group.
 
-def long_lists(sets: DataFrame) -> np.ndarray:
-    """The members of the most documents' prefixes, counted over all documents; at most ``LONG_LISTS``, sorted."""
-    counts = sets.select(F.explode("prefix").alias("token")).groupBy("token").count().where(F.col("count") > SHORT_LIST)
+    The members that a group shares have long lists, the changed ones of its documents have not. So of the documents
+    with one mark, the one with the largest share of long lists stands in the middle.
+    """
+    marked = nodes.withColumn("token", F.explode("marks"))
+    middle = F.max(F.struct((F.col("held") / F.col("n")).alias("share"), "n", "held", "node")).alias("middle")
+    leaders = marked.groupBy("token").agg(middle).select(
+        "token", F.col("middle.node").alias("leader"), F.col("middle.n").alias("n_leader"), F.col("middle.held").alias("held_leader")
+    )
+    met = marked.join(leaders, "token").where("node <> leader")
+    fits = F.least("n", "n_leader") * 100 >= F.greatest("n", "n_leader") * PERCENT
+    found = met.where(fits).groupBy("node").agg(F.collect_set("leader").alias("others"))  # MARKS at most
+    pairs = found.select("node", "others", F.array_min("others").alias("label"))
+    middles = pairs.select(F.explode("others").alias("node"), "label").distinct()
+    return pairs.unionByName(middles.select("node", F.lit(None).cast("array<long>").alias("others"), "label"))
+
+
+def long_lists(docs: DataFrame) -> np.ndarray:
+    """The members of the most documents' prefixes, counted over all documents; at most ``LONG_LISTS``, sorted.
+
+    A task brings only the first document of a node it meets. The numbers decide an order, not a result.
+    """
+    tokens = postings(docs, np.empty(0, np.uint64)).select(F.explode("short").alias("token"))
+    counts = tokens.groupBy("token").count().where(F.col("count") > SHORT_LIST)
     rows = counts.orderBy(F.desc("count"), "token").limit(LONG_LISTS).collect()
     return np.sort(np.array([r.token for r in rows], dtype=np.int64).view(np.uint64))
 
@@ -194,7 +296,7 @@ def postings(docs: DataFrame, long: np.ndarray) -> DataFrame:
                     node = node_of(members)
                     if node is None or not seen.new(node):
                         continue
-                    known = long[np.minimum(np.searchsorted(long, members), len(long) - 1)] == members if len(long) else np.zeros(len(members), bool)
+                    known = _is_long(members, long)
                     size = prefix_size(len(members))
                     near = members[~known][:size]
                     nodes.append(node)
@@ -240,68 +342,141 @@ def _shared(batches: Iterator) -> Iterator:
         passed = bool(several[-1])
 
 
+def _partners(batches: Iterator) -> Iterator:
+    """For each document in a list, the smaller similar-sized documents of other groups in it.
+
+    Takes rows sorted by token and tile; a tile holds one part of a list, or two, whose documents then meet crosswise.
+    """
+    held = None
+    for batch in batches:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+        if held is not None:
+            columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+        token, first, second = columns[:3]
+        if not len(token):
+            continue
+        begun = np.flatnonzero((token != token[-1]) | (first != first[-1]) | (second != second[-1]))
+        done = begun[-1] + 1 if len(begun) else 0  # the last tile may go on in the next batch
+        held = [x[done:] for x in columns]
+        yield from _met([x[:done] for x in columns])
+    if held is not None:
+        yield from _met(held)
+
+
+def _met(columns: list[np.ndarray], most: int = 1 << 18) -> Iterator:
+    import pyarrow as pa
+
+    if not len(columns[0]):
+        return
+    token, first, second, node, n, own, part = columns
+    new = (token[1:] != token[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    tile = np.cumsum(np.concatenate([[0], new]))
+    order = np.lexsort((node, tile))
+    tile, node, n, own, part, cross = (x[order] for x in (tile, node, n, own, part, first != second))
+    single = np.concatenate([[True], (tile[1:] != tile[:-1]) | (node[1:] != node[:-1])])
+    tile, node, n, own, part, cross = (x[single] for x in (tile, node, n, own, part, cross))
+    start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+    size = np.diff(np.append(start, len(tile)))
+    begin, there = np.repeat(start, size), np.repeat(size, size)
+    until = np.cumsum(there)
+    cuts = np.unique(np.searchsorted(until, np.arange(0, until[-1] + most, most)))
+    for low, high in zip(cuts, np.append(cuts[1:], len(tile)), strict=True):
+        if low >= high:
+            continue
+        wide = there[low:high]
+        i = np.repeat(np.arange(low, high), wide)
+        j = np.repeat(begin[low:high] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
+        ok = (n[j] < n[i]) | ((n[j] == n[i]) & (node[j] < node[i]))
+        ok &= (100 * n[j] >= PERCENT * n[i]) & ((own[j] == 0) | (own[j] != own[i])) & (~cross[i] | (part[i] != part[j]))
+        i, j = i[ok], j[ok]
+        if len(i):
+            place = np.arange(len(i))
+            begun = np.concatenate([[True], i[1:] != i[:-1]])
+            place -= np.maximum.accumulate(np.where(begun, place, 0))
+            at = np.flatnonzero(place % ROW == 0)  # long lists go in rows of a bounded size
+            offsets = pa.array(np.append(at, len(i)).astype(np.int32))
+            others, sizes = (pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (node[j], n[j].astype(np.int32)))
+            columns = [pa.array(node[i[at]]), pa.array(n[i[at]]), pa.array(part[j[at]]), others, sizes]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "part", "others", "sizes"])
+
+
 def _merged(batches: Iterator) -> Iterator:
-    """Heap-merge the short lists of each document and keep those that occur often enough to be similar."""
+    """Heap-merge the short lists of each document and keep those that occur often enough to be similar.
+
+    Takes rows ``(node, n, part, others, sizes)`` sorted by node and part, one for each list. Rows ``(node, others, label)``: candidates of a node, and at the end the smallest node each is connected with here.
+    """
     import pyarrow as pa
 
+    forest = _Forest()
+    schema = pa.schema([("node", pa.int64()), ("others", pa.list_(pa.int64())), ("label", pa.int64())])
+    key, n, lists, size_of = None, 0, [], {}
+
+    def candidates_of(node: int) -> list[int]:
+        rest = n - prefix_size(n)
+        least = {m: least_overlap(n, m) - max(rest, m - prefix_size(m)) for m in set(size_of.values())}
+        others = [other for other, met in groupby(heapq.merge(*lists)) if sum(1 for _ in met) >= least[size_of[other]]]
+        for other in others:
+            forest.join(node, other)
+        return others
+
+    def rows(found: list[tuple[int, list[int]]]):
+        found = [(node, others) for node, others in found if others]
+        columns = [pa.array([node for node, _ in found], pa.int64()), pa.array([others for _, others in found], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(found), pa.int64())], schema=schema)
+
     for batch in batches:
-        lists = batch.column(2).flatten()
-        members = lists.flatten()
-        others, sizes = (members.field(f).to_numpy(zero_copy_only=False) for f in ("node", "n"))
-        ends = np.cumsum(np.concatenate([[0], lists.value_lengths().to_numpy(zero_copy_only=False)]))
-        of_node = np.cumsum(np.concatenate([[0], batch.column(2).value_lengths().to_numpy(zero_copy_only=False)]))
-        left, right = [], []
-        for i, (node, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-            part = slice(ends[of_node[i]], ends[of_node[i + 1]])
-            known, size = others[part], sizes[part]
-            smaller = (size < n) | ((size == n) & (known < node))
-            alike = smaller & (100 * size >= PERCENT * n)
-            if not alike.any():
-                continue
-            cuts = ends[of_node[i] + 1 : of_node[i + 1]] - part.start
-            merged = heapq.merge(*[x[y].tolist() for x, y in zip(np.split(known, cuts), np.split(alike, cuts), strict=True)])
-            size_of = dict(zip(known.tolist(), size.tolist(), strict=True))
-            rest = n - prefix_size(n)
-            for other, met in groupby(merged):
-                m = size_of[other]
-                if sum(1 for _ in met) >= least_overlap(n, m) - max(rest, m - prefix_size(m)):
-                    left.append(node)
-                    right.append(other)
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+        found = []
+        for node, size, part, others, sizes in zip(*(batch.column(i) for i in range(5)), strict=True):
+            at = (node.as_py(), part.as_py())
+            if at != key:
+                if key is not None:
+                    found.append((key[0], candidates_of(key[0])))
+                key, n, lists, size_of = at, size.as_py(), [], {}
+            lists.append(others.as_py())
+            size_of.update(zip(lists[-1], sizes.as_py(), strict=True))
+        yield rows(found)
+    if key is not None:
+        yield rows([(key[0], candidates_of(key[0]))])
+    ends = list(forest.parent)
+    for at in range(0, len(ends), 10_000):
+        some = ends[at : at + 10_000]
+        labels = pa.array([forest.root(node) for node in some], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.nulls(len(some), pa.list_(pa.int64())), labels], schema=schema)
 
 
 def candidates(posts: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of nodes of different groups that share enough of their short lists."""
+    """Nodes of different groups that share enough of their short lists, as :func:`verified_links` takes them."""
     short = posts.select(F.explode("short").alias("token"), "node", "n")
     by_token = short.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, node long, n long")
-    rows = by_token.unionByName(posts.select(F.explode("far").alias("token"), "node", "n")).dropDuplicates(["token", "node"])
-    own = F.coalesce(F.col("component"), F.lit(0))
-    grouped = rows.join(groups, "node", "left").select("token", "node", "n", own.alias("own"), F.coalesce("component", "node").alias("component"))
-    grouped = checkpointed(grouped)
-    mixed_lists = grouped.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("there"))
-    mixed_lists = mixed_lists.where("low <> high").select("token", "there")
-    longest = mixed_lists.agg(F.max("there")).first()[0] or 0
-    parts = -(-longest // PART) or 1
-    # similar sets differ in size by at most a quarter, so they lie in one step of this scale or in neighbouring ones
-    live = grouped.join(mixed_lists.select("token"), "token").withColumn("step", F.floor(F.log("n") / F.log(F.lit(1.3))))
-    part = F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")
-    lists = live.groupBy("token", "step", F.col("own").alias("of"), part).agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("list"))
-    probes = live.select("token", "node", "n", "own", F.explode(F.array("step", F.col("step") - 1)).alias("step"))
-    met = probes.join(lists, ["token", "step"]).where("own = 0 OR own <> of")
-    by_node = met.groupBy("node", "part").agg(F.first("n").alias("n"), F.collect_list("list").alias("lists"))
-    return by_node.select("node", "n", "lists").mapInArrow(_merged, "a long, b long")
+    rows = by_token.unionByName(posts.select(F.explode("far").alias("token"), "node", "n"))
+    rows = checkpointed(rows.join(groups, "node", "left").select("token", "node", "n", "component"))
+    group = F.coalesce("component", "node")
+    stats = rows.groupBy("token").agg(F.count("*").alias("there"), F.min(group).alias("low"), F.max(group).alias("high"))
+    large = stats.where(F.col("there") > PART)
+    parts = F.coalesce(F.ceil(F.col("there") / PART), F.lit(1)).cast("int")
+    live = rows.join(large, "token", "left").where("there IS NULL OR low <> high").withColumn("parts", parts)
+    live = live.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    tiles = live.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiles = tiles.select(
+        "token", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"),
+        "node", "n", F.coalesce("component", F.lit(0)).alias("own"), "part",
+    )
+    keys = ["token", "first", "second"]
+    schema = "node long, n long, part int, others array<long>, sizes array<int>"
+    met = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_partners, schema)
+    by_node = met.repartition("node", "part").sortWithinPartitions("node", "part")
+    return by_node.mapInArrow(_merged, "node long, others array<long>, label long")
 
 
 def linked_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents ``(doc_id, text_key, node, n)`` and the rows ``(node, component)`` of nodes that link with others."""
-    sets = checkpointed(set_table(docs))
+    long = long_lists(docs)
+    sets = checkpointed(set_table(docs, long))
     known = sets.where("node IS NOT NULL")
-    nodes = known.groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("first").alias("first"))
+    once = [F.first(c).alias(c) for c in ("n", "held", "marks")]  # equal in all documents of a node
+    nodes = checkpointed(known.groupBy("node").agg(F.min("text_key").alias("text_key"), *once))
     early = checkpointed(verified_links(docs, nodes, large_group_pairs(nodes)))
-    groups = components(early)
-    pairs = candidates(postings(docs, long_lists(known)), groups)
-    late = verified_links(docs, nodes, pairs)
+    late = verified_links(docs, nodes, candidates(postings(docs, long), components(early)))
     return sets.select("doc_id", "text_key", "node", "n"), components(early.union(late))
 
 

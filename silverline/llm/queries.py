@@ -57,6 +57,26 @@ def op7_t_occurrence_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN reached r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "first_position")
 
@@ -129,4 +149,9 @@ QUERIES: dict[str, Query] = {
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op2_impact_top_k": OP2_SQL, "op8_curriculum_mix": OP8_SQL, "op10_block_matrix_neighbours": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op2_impact_top_k": OP2_SQL,
+    "op7_t_occurrence_jaccard": OP7_SQL,
+    "op8_curriculum_mix": OP8_SQL,
+    "op10_block_matrix_neighbours": OP10_SQL,
+}

@@ -66,6 +66,7 @@ def near_copies(seed, groups, size, words):
 def test_equals_all_pairs(spark, monkeypatch, short, part):
     monkeypatch.setattr(join, "SHORT_LIST", short)
     monkeypatch.setattr(join, "PART", part)
+    monkeypatch.setattr(join, "TILE", part)
     rows = near_copies(short, 25, 12, [3, 5, 6, 12, 40, 150])
     assert found(documents(spark, rows)) == brute(rows)
 
