@@ -11,21 +11,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from silverline.llm import curriculum, jaccard_join, packing, pii, quality_mil
-from silverline.llm.common import shared_folder, table
+from silverline.llm.common import bounded_batches, shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; the others stay as they are."""
-    return quality_mil.keep_good(docs, table(spark, sf_dir, "labels"))
+    return quality_mil.keep_good(docs, table(bounded_batches(spark), sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar sets of word 5-grams, that of the smallest id stays."""
+    bounded_batches(spark)
     return jaccard_join.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts gives way to its kind in brackets."""
+    bounded_batches(spark)
     return pii.mask_personal_data(docs)
 
 
@@ -36,6 +38,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in the training sequences."""
+    bounded_batches(spark)
     return packing.pack_documents(docs)
 
 

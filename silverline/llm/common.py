@@ -34,6 +34,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Send texts to Python in batches of so many rows, which bounds the memory of a task; returns the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return spark
+
+
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the worker process, whatever task asks for it."""
     holder = sys.modules.setdefault("_silverline_process_cache", types.ModuleType("_silverline_process_cache"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.llm import block_neighbours, curriculum, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
-from silverline.llm.common import table
+from silverline.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,7 +136,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {
+def _bounded(run: Query) -> Query:
+    return lambda spark, sf_dir: run(bounded_batches(spark), sf_dir)
+
+
+_QUERIES: dict[str, Query] = {
     "op1_best_two_fit_packing": op1_best_two_fit_packing,
     "op2_impact_top_k": op2_impact_top_k,
     "op3_recursive_secret_scan": op3_recursive_secret_scan,
@@ -149,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
     "pipeline": pipeline,
 }
+QUERIES = {name: _bounded(run) for name, run in _QUERIES.items()}
 ORACLES: dict[str, str] = {
     "op2_impact_top_k": OP2_SQL,
     "op7_t_occurrence_jaccard": OP7_SQL,
