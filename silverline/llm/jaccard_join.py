@@ -12,7 +12,9 @@ What keeps this small at any size:
 - Large groups of near copies would make all their lists long. A first round links the members of such groups to one
   in their middle, verified exactly; after it, only documents of different groups need to be compared.
 - Lists that only one document is in are dropped, and large ones that only one group is in. A list of more than
-  ``PART`` documents is divided by hash, and its parts meet in pairs, so none is ever held whole by one task.
+  ``PART`` documents is divided by hash, and its parts meet in pairs, so none is ever held whole by one task. Where a
+  document stands in such a list, its counting is divided too, by the hash of the other document: into as many ways for
+  all its lists, so all occurrences of a pair are counted in one place, through whichever lists the two meet.
 - Which lists are long is counted over all documents. At most ``LONG_LISTS`` of them are known by name, the longest;
   any other list is read like a short one, whatever its length, so no candidate is lost.
 
@@ -349,7 +351,7 @@ def _partners(batches: Iterator) -> Iterator:
     """
     held = None
     for batch in batches:
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
         if held is not None:
             columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
         token, first, second = columns[:3]
@@ -368,13 +370,13 @@ def _met(columns: list[np.ndarray], most: int = 1 << 18) -> Iterator:
 
     if not len(columns[0]):
         return
-    token, first, second, node, n, own, part = columns
+    token, first, second, node, n, own, part, ways = columns
     new = (token[1:] != token[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
     tile = np.cumsum(np.concatenate([[0], new]))
     order = np.lexsort((node, tile))
-    tile, node, n, own, part, cross = (x[order] for x in (tile, node, n, own, part, first != second))
+    tile, node, n, own, part, ways, cross = (x[order] for x in (tile, node, n, own, part, ways, first != second))
     single = np.concatenate([[True], (tile[1:] != tile[:-1]) | (node[1:] != node[:-1])])
-    tile, node, n, own, part, cross = (x[single] for x in (tile, node, n, own, part, cross))
+    tile, node, n, own, part, ways, cross = (x[single] for x in (tile, node, n, own, part, ways, cross))
     start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
     size = np.diff(np.append(start, len(tile)))
     begin, there = np.repeat(start, size), np.repeat(size, size)
@@ -390,20 +392,24 @@ def _met(columns: list[np.ndarray], most: int = 1 << 18) -> Iterator:
         ok &= (100 * n[j] >= PERCENT * n[i]) & ((own[j] == 0) | (own[j] != own[i])) & (~cross[i] | (part[i] != part[j]))
         i, j = i[ok], j[ok]
         if len(i):
+            way = node[j] & (ways[i] - 1)  # depends on the two documents only, not on the list
+            if way.any():
+                by_way = np.lexsort((way, i))
+                i, j, way = i[by_way], j[by_way], way[by_way]
             place = np.arange(len(i))
-            begun = np.concatenate([[True], i[1:] != i[:-1]])
+            begun = np.concatenate([[True], (i[1:] != i[:-1]) | (way[1:] != way[:-1])])
             place -= np.maximum.accumulate(np.where(begun, place, 0))
             at = np.flatnonzero(place % ROW == 0)  # long lists go in rows of a bounded size
             offsets = pa.array(np.append(at, len(i)).astype(np.int32))
             others, sizes = (pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (node[j], n[j].astype(np.int32)))
-            columns = [pa.array(node[i[at]]), pa.array(n[i[at]]), pa.array(part[j[at]]), others, sizes]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "part", "others", "sizes"])
+            columns = [pa.array(node[i[at]]), pa.array(n[i[at]]), pa.array(way[at].astype(np.int32)), others, sizes]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "way", "others", "sizes"])
 
 
 def _merged(batches: Iterator) -> Iterator:
     """Heap-merge the short lists of each document and keep those that occur often enough to be similar.
 
-    Takes rows ``(node, n, part, others, sizes)`` sorted by node and part, one for each list. Rows ``(node, others, label)``: candidates of a node, and at the end the smallest node each is connected with here.
+    Takes rows ``(node, n, way, others, sizes)`` sorted by node and way, one for each list. Rows ``(node, others, label)``: candidates of a node, and at the end the smallest node each is connected with here.
     """
     import pyarrow as pa
 
@@ -426,8 +432,8 @@ def _merged(batches: Iterator) -> Iterator:
 
     for batch in batches:
         found = []
-        for node, size, part, others, sizes in zip(*(batch.column(i) for i in range(5)), strict=True):
-            at = (node.as_py(), part.as_py())
+        for node, size, way, others, sizes in zip(*(batch.column(i) for i in range(5)), strict=True):
+            at = (node.as_py(), way.as_py())
             if at != key:
                 if key is not None:
                     found.append((key[0], candidates_of(key[0])))
@@ -452,19 +458,24 @@ def candidates(posts: DataFrame, groups: DataFrame) -> DataFrame:
     rows = checkpointed(rows.join(groups, "node", "left").select("token", "node", "n", "component"))
     group = F.coalesce("component", "node")
     stats = rows.groupBy("token").agg(F.count("*").alias("there"), F.min(group).alias("low"), F.max(group).alias("high"))
-    large = stats.where(F.col("there") > PART)
-    parts = F.coalesce(F.ceil(F.col("there") / PART), F.lit(1)).cast("int")
+    large = checkpointed(stats.where(F.col("there") > PART))
+    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large  # a checked size
+    # powers of two: the parts of a longer list divide those of a shorter one
+    parts = F.when(F.col("there") > PART, F.pow(F.lit(2), F.ceil(F.log2(F.col("there") / PART)))).otherwise(1).cast("int")
+    wide = rows.join(large.where("low <> high"), "token").groupBy("node").agg(F.max(parts).alias("ways"))
+    wide = checkpointed(wide)
+    wide = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else wide
     live = rows.join(large, "token", "left").where("there IS NULL OR low <> high").withColumn("parts", parts)
-    live = live.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    live = live.join(wide, "node", "left").withColumn("part", F.pmod("node", "parts").cast("int"))
     tiles = live.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiles = tiles.select(
         "token", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"),
-        "node", "n", F.coalesce("component", F.lit(0)).alias("own"), "part",
+        "node", "n", F.coalesce("component", F.lit(0)).alias("own"), "part", F.coalesce("ways", F.lit(1)).alias("ways"),
     )
     keys = ["token", "first", "second"]
-    schema = "node long, n long, part int, others array<long>, sizes array<int>"
+    schema = "node long, n long, way int, others array<long>, sizes array<int>"
     met = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_partners, schema)
-    by_node = met.repartition("node", "part").sortWithinPartitions("node", "part")
+    by_node = met.repartition("node", "way").sortWithinPartitions("node", "way")
     return by_node.mapInArrow(_merged, "node long, others array<long>, label long")
 
 

@@ -78,6 +78,23 @@ def test_few_long_lists_known_by_name(spark, monkeypatch):
     assert found(documents(spark, rows)) == brute(rows)
 
 
+def test_pairs_that_meet_through_short_and_long_lists(spark, monkeypatch):
+    monkeypatch.setattr(join, "SHORT_LIST", 1000)
+    monkeypatch.setattr(join, "PART", 8)
+    draw = random.Random(5)
+    words = lambda n: draw.choices([f"w{i}" for i in range(100_000)], k=n)
+    rows = []
+    for there in (10, 12, 14, 20, 25, 30):
+        passage = words(100)
+        for _ in range(there // 2):  # 15 words of 200 differ: shared members come to 0.82, half of them from the passage
+            origin = words(85)
+            rows += [passage + origin + words(15), passage + origin + words(15)]
+    rows = [(i, " ".join(text), "s") for i, text in enumerate(rows)]
+    expected = brute(rows)
+    assert len({c for _, _, c in expected}) == len(rows) // 2
+    assert found(documents(spark, rows)) == expected
+
+
 def test_odd_rows(spark):
     rows = odd_rows()
     docs = documents(spark, rows)
