@@ -7,18 +7,23 @@ Each character of a layer keeps the range of source characters it came from; a s
 at that range of the source.
 
 Spans are ``kind:start:end`` in code points, end exclusive, and cover the whole match. Defined cases: a null or empty
-text has no spans; every row is scanned, repeated ones too; texts of any length are scanned whole; a compressed layer
-that unfolds to more than ``most`` bytes is not unwrapped further than that, and the row says so in ``layers_cut``.
+text has no spans; every row is scanned, repeated ones too; texts of any length are scanned whole. A compressed layer of
+more than ``most`` bytes is read to its end in windows that overlap, so memory stays bounded: a window starts with the
+encoded run that the last one ended in. Compressed data in compressed data is followed until it unfolds to itself.
+``layers_cut`` counts what could not be read whole: compressed streams that break off, and those with an encoded run of
+more than ``most`` characters, which is decoded in pieces, so that compressed data in it is not followed.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +31,8 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
 MOST = 1 << 24
+OVERLAP = 1 << 12  # characters; a secret needs fewer, as spaces in a row count as one between windows
+FED, MADE = 1 << 12, 1 << 20  # bytes given to and taken from a decompressor at a time
 
 # The patterns of the contract.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -40,6 +47,7 @@ _SHORTEST = 19  # characters of the shortest base64 run that can hold a secret:
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % _SHORTEST)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+_OPEN = re.compile(r"(?:[A-Za-z0-9+/_=%\\{}&#;.~-]|[ \t]*+[\r\n])*+")  # an encoded run, read from its end
 _ESCAPE_SIGNS = (b"\\u", b"\\U", b"\\x", b"&#")
 
 Spans = list[tuple[str, int, int]]
@@ -69,14 +77,18 @@ class Layer:
         return int(self.start[begin:until].min()), int(self.end[begin:until].max())
 
 
+def _printable(text: str) -> bool:
+    readable = sum(c.isprintable() or c in "\n\r\t" for c in text)
+    return bool(text) and readable >= 0.95 * len(text)
+
+
 def _readable(data: bytes) -> str | None:
     """Bytes as text, if they are UTF-8 and nearly all printable."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    readable = sum(c.isprintable() or c in "\n\r\t" for c in text)
-    return text if text and readable >= 0.95 * len(text) else None
+    return text if _printable(text) else None
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, read) -> Layer | None:
@@ -116,47 +128,155 @@ def _escape(m: re.Match):
     return chr(code), [0], [m.end() - m.start()]
 
 
-def _unfolded(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """Compressed data unfolded, at most ``most`` bytes of it, and whether that cut it; None if it is not compressed."""
-    if data[:2] == b"\x1f\x8b":
-        unfold = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        unfold = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        unfold = bz2.BZ2Decompressor()
-    else:
-        return None, False
-    try:
-        out = unfold.decompress(data, most)
-        return out, not unfold.eof and len(out) >= most
-    except (zlib.error, OSError, ValueError, EOFError):
-        return None, False
-
-
-def _unpacked(layer: Layer, most: int) -> tuple[list[Layer], int]:
+def _decompressor(head: bytes):
+    """What unfolds data that starts like this; None if it is not compressed."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
+
+
+class _Unfolded:
+    """The pieces that compressed pieces unfold to, member after member.
+
+    ``cut`` tells whether a stream broke off, ``used`` how many bytes were read up to the end of the last member.
+    """
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.cut, self.used = pieces, False, 0
+
+    def __iter__(self) -> Iterator[bytes]:
+        unfold, data, given, made, sure = None, b"", 0, False, False
+        for piece in chain(self.pieces, [None]):  # None: the end
+            given += len(piece or b"")
+            data += piece or b""
+            while True:
+                if unfold is None:
+                    data = data.lstrip(b"\0") if made else data  # members may be padded
+                    if len(data) < 10 and piece is not None:
+                        break
+                    if (unfold := _decompressor(data)) is None:
+                        return
+                    sure = data[:3] == b"\x1f\x8b\x08" or data[4:10] == b"1AY&SY"
+                try:
+                    out = unfold.decompress(data, MADE)
+                except (zlib.error, OSError, ValueError, EOFError):
+                    self.cut = made or sure
+                    return
+                data = getattr(unfold, "unconsumed_tail", b"")
+                if out:
+                    made = True
+                    yield out
+                if unfold.eof:
+                    data, unfold = unfold.unused_data, None
+                    self.used = given - len(data)
+                elif not data and len(out) < MADE:
+                    break
+        self.cut = self.cut or unfold is not None
+
+
+def _sliced(data: bytes) -> Iterator[bytes]:
+    for at in range(0, len(data), FED):
+        yield data[at : at + FED]
+
+
+def _gathered(pieces: Iterator[bytes], least: int) -> bytes:
+    """The next pieces, together at least so many bytes if there are as many."""
+    parts, held = [], 0
+    for piece in pieces:
+        parts.append(piece)
+        held += len(piece)
+        if held >= least:
+            break
+    return b"".join(parts)
+
+
+class _Inside:
+    """What compressed data holds, compressed layers inside it unfolded too: its first bytes, and an iterator of the rest.
+
+    ``head`` is None if the data is not compressed. ``cut`` tells, after the end, whether anything was not read.
+    """
+
+    def __init__(self, data: bytes, most: int):
+        self.head, self.rest, self.streams, self.broken, self.most = None, iter(()), [], False, most
+        head, rest, seen = data, self.rest, set()
+        while _decompressor(head) is not None:
+            mark = hashlib.sha256(head).digest()
+            if mark in seen:  # it unfolds to itself
+                self.broken = next(iter(rest), None) is not None
+                break
+            seen.add(mark)
+            stream = _Unfolded(chain(_sliced(head), rest))
+            pieces = iter(stream)
+            inner = _gathered(pieces, most)
+            if inner or stream.cut:
+                self.streams.append(stream)
+            if not inner:
+                break
+            head, rest = inner, pieces
+            self.head, self.rest = head, rest
+
+    @property
+    def cut(self) -> bool:
+        return self.broken or any(stream.cut for stream in self.streams)
+
+    def texts(self) -> Iterator[str]:
+        """The readable text: whole if it is not longer than ``most`` bytes, or in windows."""
+        if self.head is None:
+            return
+        second = _gathered(self.rest, self.most)
+        if not second:
+            if (text := _readable(self.head)) is not None:
+                yield text
+            return
+        decoder, text, data, self.head = codecs.getincrementaldecoder("utf-8")("surrogateescape"), "", self.head, None
+        while data:
+            text = re.sub("  +", " ", text + decoder.decode(data, not second))
+            if _printable(text):
+                yield text
+            text = self._carried(text)
+            data, second = second, _gathered(self.rest, self.most)
+
+    def _carried(self, text: str) -> str:
+        """The end of a window that the next one starts with."""
+        at = max(0, len(text) - min(OVERLAP, self.most // 2))
+        start = len(text) - _OPEN.match(text[::-1]).end()
+        if len(text) - start <= self.most:
+            return text[min(at, start) :]
+        self.broken = True
+        signs = sum(c.isalnum() or c in "+/_-" for c in text[start:at])
+        while signs % 4 and at < len(text):  # base64 goes on with a group of four
+            signs += text[at].isalnum() or text[at] in "+/_-"
+            at += 1
+        return text[at:]
+
+
+def _unpacked(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
     """The texts inside base64 runs, unfolded where they are compressed."""
-    layers, cut = [], 0
     for m in _B64.finditer(layer.text):
         run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         run = run[: len(run) - (len(run) % 4 == 1)]
         data = base64.b64decode(run + "=" * (-len(run) % 4))
-        folded = False
-        for _ in range(8):  # compressed data inside compressed data
-            unfolded, was_cut = _unfolded(data, most)
-            if unfolded is None:
-                break
-            data, folded, cut = unfolded, True, cut + was_cut
-        if (text := _readable(data)) is None:
-            continue
-        if folded:  # any character may come from the whole run
-            start, end = (np.full(len(text), at) for at in layer.source(m.start(), m.end()))
-        else:
+        inside = _Inside(data, most)
+        if inside.head is not None:  # any character may come from the whole run
+            at = layer.source(m.start(), m.end())
+            for text in inside.texts():
+                yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in at))
+        elif (text := _readable(data)) is not None:
             first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
             last = np.r_[first[1:], len(data)] - 1
             sign = lambda byte: m.start() + byte // 3 * 4 + byte % 3  # noqa: B023, E731  the first of two signs that hold a byte
-            start, end = layer.start[sign(first)], layer.end[np.minimum(sign(last) + 1, m.end() - 1)]
-        layers.append(Layer(text, start, end))
-    return layers, cut
+            yield Layer(text, layer.start[sign(first)], layer.end[np.minimum(sign(last) + 1, m.end() - 1)])
+        cuts.append(inside.cut)
+
+
+def _inner(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
+    """The layers inside a layer, one at a time."""
+    for pattern, read in ((_PERCENT, _percent), (_ESCAPES, _escape)):
+        if (new := _replaced(layer, pattern, read)) is not None:
+            yield new
+    yield from _unpacked(layer, most, cuts)
 
 
 def hidden_spans(text: str, data: bytes, most: int = MOST) -> tuple[Spans, int]:
@@ -168,21 +288,21 @@ def hidden_spans(text: str, data: bytes, most: int = MOST) -> tuple[Spans, int]:
     if not packed and not (percent and _PERCENT.search(text)) and not (escaped and _ESCAPES.search(text)):
         return [], 0
     places = np.arange(len(text))
-    waiting, seen, found, cut = [Layer(text, places, places + 1)], {hashlib.sha256(data).digest()}, [], 0
+    seen, found, cuts = {hashlib.sha256(data).digest()}, [], []
+    waiting = [_inner(Layer(text, places, places + 1), most, cuts)]  # of each layer on the way, what is left in it
     while waiting:
-        layer = waiting.pop()
-        made = [x for x in (_replaced(layer, _PERCENT, _percent), _replaced(layer, _ESCAPES, _escape)) if x is not None]
-        inner, was_cut = _unpacked(layer, most)
-        cut += was_cut
-        for new in (*made, *inner):
-            content = new.text.encode("utf-8", "surrogatepass")
-            mark = hashlib.sha256(content + b"|%d" % (new.start[0] if len(new.start) else 0)).digest()
-            if mark in seen:
-                continue
-            seen.add(mark)
-            found += [(kind, *new.source(begin, until)) for kind, begin, until in base_spans(new.text, content)]
-            waiting.append(new)
-    return found, cut
+        new = next(waiting[-1], None)
+        if new is None:
+            waiting.pop()
+            continue
+        content = new.text.encode("utf-8", "surrogatepass")
+        mark = hashlib.sha256(content + b"|%d" % (new.start[0] if len(new.start) else 0)).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        found += [(kind, *new.source(begin, until)) for kind, begin, until in base_spans(new.text, content)]
+        waiting.append(_inner(new, most, cuts))
+    return found, sum(cuts)
 
 
 def joined(spans: Spans) -> str:
