@@ -1,7 +1,10 @@
 """Secret scans through nested encodings.
 
 Every text is scanned as it stands; those spans are the base. Then a worklist unwraps what is encoded in it: percent
-escapes, Unicode and HTML escapes, base64 runs, and gzip, zlib or bzip2 data inside them. Each layer is scanned, put
+escapes, Unicode and HTML escapes, base64 runs, and gzip, zlib or bzip2 data, all members of it, inside base64 or percent
+escapes. Base64 may be wrapped: runs with one line break between them, indented or not, are joined. As a word on the line
+before or after may look like one more line of it, lines of equal length are tried without their neighbours too, and
+single lines where none of that can be read. Each layer is scanned, put
 on the list again, and never visited twice, so the work ends at a fixpoint even when layers decode to each other.
 Each character of a layer keeps the range of source characters it came from; a secret found in a layer is reported
 at that range of the source.
@@ -22,8 +25,9 @@ import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from itertools import chain
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -44,7 +48,15 @@ _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_MARK = bytes(ord("h") if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 _B64_MARK = bytes(ord("b") if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_" else 32 for b in range(256))
 _SHORTEST = 19  # characters of the shortest base64 run that can hold a secret: ``token=`` and eight more
-_B64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % _SHORTEST)
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_B64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]++(?:(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++|[A-Za-z0-9+/_-]{%d,}+)={0,2}" % _SHORTEST)
+_WRAP = re.compile(rb"(?:\r\n?|\n)[ \t]*+")
+_URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/!*'()-])++")
+_URL_BYTE = re.compile(r"%[0-9A-Fa-f]{2}|.")
+_URL_PACKED = re.compile(
+    r"%1[fF]%8[bB]%08|(?:x|%78)%(?:01|5[eE]|9[cC]|[dD][aA])"
+    r"|(?:B|%42)(?:Z|%5[aA])(?:h|%68)(?:[1-9]|%3[1-9])(?:1|%31)(?:A|%41)(?:Y|%59)%26(?:S|%53)(?:Y|%59)"
+)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _OPEN = re.compile(r"(?:[A-Za-z0-9+/_=%\\{}&#;.~-]|[ \t]*+[\r\n])*+")  # an encoded run, read from its end
@@ -200,6 +212,7 @@ class _Inside:
 
     def __init__(self, data: bytes, most: int):
         self.head, self.rest, self.streams, self.broken, self.most = None, iter(()), [], False, most
+        self.folded, self.size = False, len(data)
         head, rest, seen = data, self.rest, set()
         while _decompressor(head) is not None:
             mark = hashlib.sha256(head).digest()
@@ -215,12 +228,17 @@ class _Inside:
             if not inner:
                 break
             head, rest = inner, pieces
-            self.head, self.rest = head, rest
+            self.head, self.rest, self.folded = head, rest, True
 
     @property
     def cut(self) -> bool:
         return self.broken or any(stream.cut for stream in self.streams)
 
+    @property
+    def used(self) -> int:
+        """Bytes up to the end of the last member, as far as it is known."""
+        return (not self.cut and self.streams and self.streams[0].used) or self.size
+
     def texts(self) -> Iterator[str]:
         """The readable text: whole if it is not longer than ``most`` bytes, or in windows."""
         if self.head is None:
@@ -252,23 +270,83 @@ class _Inside:
         return text[at:]
 
 
+def _decoded(layer: Layer, lines: list[tuple[int, int]], end: int, most: int) -> Generator[Layer, None, tuple[int, bool]]:
+    """The text of a base64 run that stands in these lines; returns how many signs were read and whether any were cut."""
+    run = "".join(layer.text[a:b] for a, b in lines).replace("-", "+").replace("_", "/")
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    data = base64.b64decode(run + "=" * (-len(run) % 4))
+    inside = _Inside(data, most)
+    if inside.folded:  # any character may come from the whole run
+        for text in inside.texts():
+            signs = -(-4 * inside.used // 3)
+            until = end
+            if signs < len(run):
+                until = int(np.concatenate([np.arange(a, b) for a, b in lines])[signs - 1]) + 1
+            at = layer.source(lines[0][0], until)
+            yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in at))
+        return (0 if inside.cut else min(len(run), -(-4 * inside.used // 3))), inside.cut
+    if (text := _readable(data)) is None:
+        return 0, inside.cut
+    where = np.concatenate([np.arange(a, b) for a, b in lines])
+    first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+    last = np.r_[first[1:], len(data)] - 1
+    sign = lambda byte: byte // 3 * 4 + byte % 3  # noqa: E731  the first of two signs that hold a byte
+    yield Layer(text, layer.start[where[sign(first)]], layer.end[where[np.minimum(sign(last) + 1, len(where) - 1)]])
+    return len(run), inside.cut
+
+
 def _unpacked(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
     """The texts inside base64 runs, unfolded where they are compressed."""
     for m in _B64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-        inside = _Inside(data, most)
-        if inside.head is not None:  # any character may come from the whole run
-            at = layer.source(m.start(), m.end())
+        lines = [x.span() for x in _LINE.finditer(layer.text, *m.span())]
+        sizes = [b - a for a, b in lines]
+        top = len(lines) - 1
+        alike = list(range(len(lines)))  # the last of the lines of equal length that follow each other
+        for i in range(top - 1, -1, -1):
+            alike[i] = alike[i + 1] if sizes[i] == sizes[i + 1] else i
+        i, fresh = 0, True
+        while i <= top:
+            ends = {top} if fresh else set()
+            start = layer.text[slice(*lines[i])][:4]
+            if fresh or sizes[i] != sizes[i - 1] or (len(start) == 4 and _decompressor(base64.b64decode(start, b"-_" if set(start) & set("-_") else None))):
+                after = min(alike[i] + 1, top)
+                ends |= {alike[i], after, alike[after], min(alike[after] + 1, top)}
+            read, was_cut, last = 0, False, i
+            for last in sorted(ends - {i}, reverse=True):
+                if sum(sizes[i : last + 1]) >= _SHORTEST:
+                    read, was_cut = yield from _decoded(layer, lines[i : last + 1], m.end() if last == top else lines[last][1], most)
+                if read or was_cut:
+                    break
+            if not read and not was_cut:
+                last = i
+                if sizes[i] >= _SHORTEST:
+                    read, was_cut = yield from _decoded(layer, lines[i : i + 1], m.end() if i == top else lines[i][1], most)
+            cuts.append(was_cut)
+            fresh = read > 0 and last > i
+            i += 1  # past the lines that were read to their end
+            read -= sizes[i - 1]
+            while read > 0 and i <= last:
+                read -= sizes[i]
+                i += 1
+
+
+def _url_packed(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
+    """The texts inside compressed data whose bytes stand as percent escapes."""
+    at = 0
+    while m := _URL_PACKED.search(layer.text, at):
+        run = _URL_BYTES.match(layer.text, m.start())[0]
+        places = np.array([x.end() for x in _URL_BYTE.finditer(run)]) + m.start()
+        at, was_cut = m.end(), False
+        for form in dict.fromkeys((run, run.replace("+", "%20"))):  # a plus may stand for a space
+            inside = _Inside(unquote_to_bytes(form), most)
             for text in inside.texts():
-                yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in at))
-        elif (text := _readable(data)) is not None:
-            first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-            last = np.r_[first[1:], len(data)] - 1
-            sign = lambda byte: m.start() + byte // 3 * 4 + byte % 3  # noqa: B023, E731  the first of two signs that hold a byte
-            yield Layer(text, layer.start[sign(first)], layer.end[np.minimum(sign(last) + 1, m.end() - 1)])
-        cuts.append(inside.cut)
+                source = layer.source(m.start(), int(places[inside.used - 1]))
+                yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in source))
+            was_cut = inside.cut
+            if inside.folded and not inside.cut:
+                at = max(at, int(places[inside.used - 1]))
+                break
+        cuts.append(was_cut)
 
 
 def _inner(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
@@ -276,13 +354,16 @@ def _inner(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
     for pattern, read in ((_PERCENT, _percent), (_ESCAPES, _escape)):
         if (new := _replaced(layer, pattern, read)) is not None:
             yield new
+    if "%" in layer.text:
+        yield from _url_packed(layer, most, cuts)
     yield from _unpacked(layer, most, cuts)
 
 
 def hidden_spans(text: str, data: bytes, most: int = MOST) -> tuple[Spans, int]:
     """Secrets in the layers of a text, at their places in the text, and how many layers were cut."""
     percent, escaped = b"%" in data, any(sign in data for sign in _ESCAPE_SIGNS)
-    packed = b"b" * _SHORTEST in data.translate(_B64_MARK)
+    unbroken = _WRAP.sub(b"", data) if b"\n" in data or b"\r" in data else data
+    packed = b"b" * _SHORTEST in unbroken.translate(_B64_MARK)
     if not (percent or escaped or packed):
         return [], 0
     if not packed and not (percent and _PERCENT.search(text)) and not (escaped and _ESCAPES.search(text)):

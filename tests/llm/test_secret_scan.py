@@ -1,4 +1,5 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -102,6 +103,50 @@ def test_compressed_data_is_followed_to_the_last_layer():
     assert [kind for kind, _, _ in found] == ["assign"] and cut == 0
 
 
+def wrapped(data, width=64, by="\n"):
+    run = base64.b64encode(data).decode()
+    return by.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+@pytest.mark.parametrize("by", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("width", [12, 64, 76])
+def test_wrapped_base64(width, by):
+    for pad in range(40):
+        plain_text = ("words before it, " * 9)[pad:] + SECRET + " and words behind it" * 5
+        noise = hashlib.shake_128(b"%d" % pad).hexdigest(300).replace("", " ")
+        for data in (plain_text.encode(), gzip.compress((noise + plain_text).encode()), zlib.compress((noise + plain_text).encode())):
+            run = wrapped(data, width, by)
+            for text in (f"é see: {run}", f"here\n{run}\nthe end", f"one\ntwo\n{run}\nfour\n"):
+                found, cut = scan.hidden_spans(text, text.encode())
+                assert {kind for kind, _, _ in found} == {"assign"} and cut == 0, (pad, text)
+                begin, until = text.index(run), text.index(run) + len(run)
+                assert all(begin <= start < end <= until for _, start, end in found)
+                if data == plain_text.encode():
+                    at = plain_text.index(SECRET)
+                    signs = [i for i in range(begin, until) if text[i] not in "\r\n ="]
+                    whole = (signs[at * 4 // 3], signs[(at + len(SECRET) - 2) * 4 // 3 + 1] + 1)
+                    assert ("assign", *whole) in found
+
+
+def test_all_members_and_broken_streams():
+    for pack in (gzip.compress, bz2.compress):
+        data = pack(b"nothing here") + pack(SECRET.encode())
+        text = base64.b64encode(data).decode()
+        assert [s[0] for s in scan.hidden_spans(text, text.encode())[0]] == ["assign"]
+        text = base64.b64encode(pack(hashlib.shake_128().hexdigest(3000).encode())[:-900]).decode()
+        assert scan.hidden_spans(text, text.encode())[1] == 1
+
+
+def test_compressed_in_percent_escapes():
+    noise = " ".join(f"word{i * i}" for i in range(200))
+    for pack in (gzip.compress, zlib.compress, bz2.compress):
+        data = pack((noise + SECRET).encode())
+        for run in (urllib.parse.quote(data), urllib.parse.quote_plus(data), "".join(f"%{b:02x}" for b in data)):
+            text = f"get /a?data={run}&b=1"
+            found, cut = scan.hidden_spans(text, text.encode())
+            assert [(kind, text[start:end]) for kind, start, end in found] == [("assign", run)] and cut == 0
+
+
 def test_plain_prose_stays_clean(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = {r.doc_id: r for r in scan.digest(scan.scan_secrets(docs)).collect()}
