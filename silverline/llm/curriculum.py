@@ -90,12 +90,18 @@ def position(copy: Column) -> Column:
 
 
 def mix_sources(docs: DataFrame) -> DataFrame:
-    """The result per document: sizes, target, words taken, copies and the position of the first copy."""
+    """The result per document, range-sorted by position: sizes, target, words taken, copies and the position of each copy.
+
+    Documents that are left out have no position and stand last, in the order of their sources' streams.
+    """
     plan = mix_plan(docs)
-    first = F.when(F.col("copies") > 0, position(F.lit(0)))
-    return plan.select(
-        F.col("__keep_0").alias("doc_id"), "size", "source_size", "target", "taken", "copies", first.alias("first_position")
-    )
+    taken = F.col("copies") > 0
+    positions = F.when(taken, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), position)).otherwise(F.array().cast("array<double>"))
+    placed = plan.withColumns({"positions": positions, "first_position": F.when(taken, position(F.lit(0)))})
+    order = [F.col("first_position").asc_nulls_last(), "before", "__keep_0"]  # those left out go to many partitions too
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    columns = ["size", "source_size", "target", "taken", "copies", "first_position", "positions"]
+    return ordered.select(F.col("__keep_0").alias("doc_id"), *columns)
 
 
 def training_order(docs: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN reached r ON
 
 
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "first_position")
+    return curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "first_position", "positions")
 
 
 OP8_SQL = r"""

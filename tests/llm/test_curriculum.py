@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import documents, odd_rows
 
-from silverline.llm import curriculum
+from silverline.llm import curriculum, queries
 
 
 def targets(sizes):
@@ -97,3 +97,24 @@ def test_position_inverts_the_integral(spark):
         reached, slope = (r.before + 1) / r.target, curriculum.SLOPES[r["rank"]]
         if reached <= 1:
             assert r.t + slope * (r.t**2 - r.t) == pytest.approx(reached)
+
+
+def test_every_copy_has_its_position_and_the_query_their_order(spark, sf_dir):
+    found = curriculum.mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
+    by_source, position_of = defaultdict(list), {}
+    for r in found:
+        assert len(r.positions) == r.copies and r.positions == sorted(r.positions) and (r.positions or [None])[0] == r.first_position
+        by_source[r.source_size, r.target].append(r)
+        position_of[r.doc_id, r.size] = r.first_position
+    assert any(r.copies > 1 for r in found)
+    slopes = set()
+    for (size, target), rows in by_source.items():  # a copy lies one stream of the source behind the one before it
+        fits = [
+            slope for slope in curriculum.SLOPES
+            if all(slope * (b * b - a * a) + (1 - slope) * (b - a) == pytest.approx(size / target) for r in rows for a, b in zip(r.positions, r.positions[1:], strict=False))
+        ]
+        assert fits
+        slopes |= set(fits)
+    assert slopes == set(curriculum.SLOPES)
+    places = [position_of[r.doc_id, r.size] for r in queries.QUERIES["op8_curriculum_mix"](spark, sf_dir).collect()]
+    assert places == sorted(places, key=lambda t: (t is None, t or 0)) and len(places) == len(found)
