@@ -145,7 +145,7 @@ def _texts(column) -> Iterator[list[bytes]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: int = BAG) -> dict | None:
-    """Learn from a bounded sample of labelled documents; None if there are none."""
+    """Learn from a bounded sample of labelled documents, one of each id; None if there are none."""
     marks = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("__quality"))
     there = docs.select(F.col("doc_id").alias("__id")).where(F.col("__id").isNotNull() & ~held_out("__id"))
     chosen = marks.join(there, "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id").limit(sample)
@@ -165,8 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: int = BAG
                     yield pa.RecordBatch.from_pydict({"id": pa.array([int(rows[0][at])]), "quality": pa.array([int(rows[1][at])]), "x": pa.array([x[kept].tobytes()])})
                     at += 1
 
-    known = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(chosen), "__id")  # ``sample`` rows
-    rows = known.select(F.col("__id").cast("long"), F.col("__quality").cast("long"), "text").mapInArrow(encoded, "id long, quality long, x binary").collect()
+    known = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(chosen), "__id")  # ``sample`` ids
+    first = F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("first")
+    once = known.groupBy("__id", "__quality").agg(first).select("__id", "__quality", "first.text")
+    rows = once.select(F.col("__id").cast("long"), F.col("__quality").cast("long"), "text").mapInArrow(encoded, "id long, quality long, x binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.id, r.x))

@@ -86,3 +86,13 @@ def test_odd_rows(spark):
 def test_without_labels_nothing_is_rejected(spark):
     docs = documents(spark, odd_rows())
     assert {(r.score, r.predicted) for r in mil.classify(docs, labels(spark, [])).collect()} == {(0.5, 1)}
+
+
+def test_one_document_of_each_id_is_learned_from(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mil, "train", lambda x, bag, y: seen.append((x.shape, len(y))))
+    open_ids = [i for i in range(20) if not in_fifth(i)]
+    rows = [(open_ids[0], f"text number {i} of the id that repeats " * 3, "a") for i in range(300)] + [(i, f"text {i}", "a") for i in range(20)]
+    for some in (rows, rows[::-1]):
+        mil.fit(documents(spark, some), labels(spark, [(i, i % 2) for i in range(20)]))
+    assert seen[0] == seen[1] and seen[0][1] == len(open_ids)
