@@ -6,8 +6,9 @@ nothing, spelled digits to digits, written-out ``at``, ``dot`` and ``plus`` to t
 scanned with the same patterns; what is found there is reported at its source characters. A finding that overlaps a
 base span of its own kind adds nothing and is dropped.
 
-Bare ``at`` and ``dot`` count only between words that also hold a ``dot`` each way of writing it (``x at y dot org``),
-spelled digits only in runs of at least four, so plain prose stays as it is.
+Bare ``at`` and ``dot`` count only between words that also hold a ``dot`` each way of writing it (``x at y dot org``) and
+end in two letters or a listed ending; spelled digits only in runs of at least four, or of one to three where ``dot``
+joins four of them to an address, so plain prose stays as it is.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Defined cases: a null or empty text has no spans; every
 row is scanned, repeated ones too; texts of any length are scanned whole and in time linear in their length.
@@ -52,8 +53,8 @@ _BRACKETED_AT = r"[\x20]*[\[({<][\x20]*(?:at|AT|At|@)[\x20]*[\])}>][\x20]*"
 _BRACKETED_DOT = r"[\x20]*[\[({<][\x20]*(?:dot|DOT|Dot|punkt|point|punto|\.)[\x20]*[\])}>][\x20]*"
 _SIGN_AT = re.compile(rf"(?<=[A-Za-z0-9_%+-])(?:{_BRACKETED_AT})(?=[A-Za-z0-9])")
 _SIGN_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_BRACKETED_DOT})(?=[A-Za-z0-9])")
-# How a written-out domain may end, so that "at noon dot the" is none.
-_ENDINGS = "com|org|net|edu|gov|info|biz|dev|app|io|co|me|eu|de|fr|es|uk|us|ca|ch|it|nl|be|pl|ru|cn|jp|in|br|mx|au"
+# How a written-out domain may end besides in two letters, so that "at noon dot the" is none.
+_ENDINGS = "com|org|net|edu|gov|info|biz|dev|app|[A-Za-z]{2}"
 _WRITTEN = re.compile(
     r"(?<=[A-Za-z0-9_%+-])[\x20]+(?:at|AT|At)[\x20]+"
     rf"(?=[A-Za-z0-9-]+(?:(?:\.|[\x20]+(?:dot|DOT|Dot)[\x20]+)[A-Za-z0-9-]+)*?[\x20]+(?:dot|DOT|Dot)[\x20]+(?:{_ENDINGS})(?![A-Za-z0-9-]))"
@@ -61,6 +62,9 @@ _WRITTEN = re.compile(
 _WRITTEN_DOT = re.compile(r"(?<=[A-Za-z0-9])[\x20]+(?:dot|DOT|Dot)[\x20]+(?=[A-Za-z0-9])")
 _NEAR_AT = re.compile(r"@[A-Za-z0-9.\x20-]*")
 _DIGIT_RUN = re.compile(rf"(?:\bplus[\x20-]+)?(?<!\w){_NAME}(?:[\x20,-]{{1,2}}(?:{_NAME}|[0-9])){{3,}}(?!\w)", re.IGNORECASE)
+_SHORT_RUN = rf"(?:{_NAME}|[0-9]{{1,3}})(?:[\x20,-]{{1,2}}(?:{_NAME}|[0-9])){{0,2}}"
+_SPELLED_IP = re.compile(rf"(?<!\w){_SHORT_RUN}(?:[\x20]++dot[\x20]++{_SHORT_RUN}){{3}}(?!\w)", re.IGNORECASE)
+_IP_PART = re.compile(rf"[\x20]*dot[\x20]*|[\x20,-]+|{_NAME}", re.IGNORECASE)
 _IP_DOTS = re.compile(r"(?<=[0-9])[\x20]+(?:dot|DOT|Dot)[\x20]+(?=[0-9])")
 _ONE_NAME = re.compile(rf"plus[\x20-]+|{_NAME}|,", re.IGNORECASE)
 # Beyond Latin letters, common quotes and dashes, and the euro sign.
@@ -163,6 +167,11 @@ def _digits(run: re.Match) -> list[tuple[int, int, str]]:
     return out
 
 
+def _address(run: re.Match) -> list[tuple[int, int, str]]:
+    new = lambda part: "." if "dot" in part else DIGIT_NAMES.get(part, "")
+    return [(run.start() + m.start(), run.start() + m.end(), new(m[0].lower())) for m in _IP_PART.finditer(run[0])]
+
+
 def rewritten(text: str, data: bytes) -> Rewritten | None:
     """The text without disguises, or None if it holds none."""
     out = Rewritten(text)
@@ -179,6 +188,8 @@ def rewritten(text: str, data: bytes) -> Rewritten | None:
     if " dot " in lower and "@" in out.text:
         near = [(m.start(), m.end()) for m in _NEAR_AT.finditer(out.text)]
         out.replace(_held([(m.start(), m.end(), ".") for m in _WRITTEN_DOT.finditer(out.text)], near))
+    if lower.count(" dot ") >= 3:
+        out.replace([change for run in _SPELLED_IP.finditer(out.text) for change in _address(run)])
     words = lower.replace("-", " ").replace(",", " ").split()
     if b"\1\1\1\1" in bytes(map(_DIGIT_WORDS.__contains__, words)):
         out.replace([change for run in _DIGIT_RUN.finditer(out.text) for change in _digits(run)])

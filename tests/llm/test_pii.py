@@ -55,6 +55,28 @@ def test_prose_stays_clean(text):
     assert pii.all_spans(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [
+        ("host one nine two dot one six eight dot zero dot one is up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("at One-Two-Seven dot 0 dot zero DOT eins, now", "ip", "One-Two-Seven dot 0 dot zero DOT eins"),
+        ("call six one two three one nine two dot 168 dot five dot 12!", "ip", None),
+        ("mail jane at example dot se today", "email", "jane at example dot se"),
+        ("jane.doe at post dot example dot AT", "email", "jane.doe at post dot example dot AT"),
+    ],
+)
+def test_short_runs_and_any_country(text, kind, found):
+    base, more = pii.all_spans(text)
+    assert base == [] and [k for k, *_ in more] == [kind]
+    assert found is None or text[more[0][1] : more[0][2]] == found
+    assert pii.masked_text(text) == text[: more[0][1]] + f"[{kind.upper()}]" + text[more[0][2] :]
+
+
+@pytest.mark.parametrize("text", ["one dot two dot three", "three hundred dot one dot two dot", "nine nine nine dot one dot two dot three", "we met at noon dot the end", "someone dot one dot two dot onerous"])
+def test_other_dots_stay(text):
+    assert pii.all_spans(text) == ([], [])
+
+
 def test_masking():
     assert pii.masked_text("a@b.co and +1 (310) 555-4510, jane [at] x [dot] org") == "[EMAIL] and [PHONE], [EMAIL]"
     assert pii.masked_text(None) is None and pii.masked_text("") == "" and pii.masked_text("plain") == "plain"
