@@ -4,7 +4,9 @@ Templates of license notices are cut into rolling word k-grams, and so is every
 all of a document's k-grams to template positions. A hit at document word p and template word t votes for diagonal
 p - t; a notice gives many votes to one diagonal, or to neighbouring ones where words were put in or left out. Votes
 are added up by diagonal, neighbouring diagonals merged, and spans that cover enough of a template go back to their
-documents, where the words themselves are compared.
+documents, where the words themselves are compared. Where more words were put in or left out at one place, the diagonals
+on both sides are chained, up to ``PUT_IN`` of the template's length apart; as such words spoil grams too, one gram is
+enough for a chain, and the longest row of template words in order along it decides.
 
 The base beside it: places where the words of a fixed phrase stand one after another. Defined cases: a null or empty
 text has no words, no labels and score 0; repeated rows have equal results; an empty table gives an empty result.
@@ -24,6 +26,7 @@ from silverline.llm.hashing import hashed_words, mixed
 
 GRAM, NEAR = 3, 3  # words a gram, distance of diagonals to merge
 COVERED, SHORT = 0.8, 12  # share of a template's words to find; templates of fewer words must be found whole
+PUT_IN = 0.3  # words put in at one place, as a share of a template's length
 BROADCAST_ROWS = 200_000  # documents with candidate spans; more of them are joined by shuffling
 
 # The base phrases and their labels.
@@ -123,17 +126,26 @@ def candidate_spans(docs: DataFrame) -> DataFrame:
     keys = ["__id", "__text", "template", "n"]
     votes = hits.groupBy(*keys, (F.col("p") - F.col("t")).alias("diagonal")).agg(F.collect_set("t").alias("ts"))  # a template's words at most
     along = Window.partitionBy(*keys).orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > NEAR, F.lit(True)).cast("long")
-    groups = votes.withColumn("apart", apart).withColumn("group", F.sum("apart").over(along))
-    merged = groups.groupBy(*keys, "group").agg(
+    step = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along), F.lit(1 << 40))
+    chained = F.greatest(F.lit(NEAR), F.floor(F.lit(PUT_IN) * F.col("n")))
+    groups = votes.withColumn("step", step).withColumns(
+        {"group": F.sum((F.col("step") > NEAR).cast("long")).over(along), "chain": F.sum((F.col("step") > chained).cast("long")).over(along)}
+    )
+    merged = groups.groupBy(*keys, "chain", "group").agg(
         F.min("diagonal").alias("first"), F.max("diagonal").alias("last"),
         F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("grams"),
     )
     # an edit spoils the k grams it touches, so fewer grams than words need to be found
     missing = F.when(F.col("n") < SHORT, F.lit(0)).otherwise(F.floor((1 - COVERED) * F.col("n")))
-    likely = merged.where(F.col("grams") >= F.greatest(F.lit(1), F.col("n") - GRAM + 1 - missing * GRAM))
-    span = F.struct("template", "first", "last")
-    return likely.groupBy("__id", "__text").agg(F.collect_list(span).alias("spans"))
+    likely = F.col("grams") >= F.greatest(F.lit(1), F.col("n") - GRAM + 1 - missing * GRAM)
+    span = lambda first, last, chain: F.struct("template", first.alias("first"), last.alias("last"), F.lit(chain).alias("chain"))
+    chains = merged.groupBy(*keys, "chain").agg(
+        F.collect_list(F.when(likely, span(F.col("first"), F.col("last"), False))).alias("near"),
+        F.min("first").alias("first"), F.max("last").alias("last"),
+    )
+    whole = F.when(F.col("n") >= SHORT, F.array(span(F.col("first"), F.col("last"), True))).otherwise(F.array())
+    spans = chains.select("__id", "__text", F.explode(F.concat("near", whole)).alias("span"))
+    return spans.groupBy("__id", "__text").agg(F.collect_list("span").alias("spans"))
 
 
 def needed(n: int) -> float:
@@ -151,14 +163,45 @@ def covered(words: list[bytes], template: list[bytes], first: int, last: int) ->
     return (len(places) / len(template), places[0], places[-1] + 1) if places else (0.0, 0, 0)
 
 
+def chained(words: list[bytes], template: list[bytes], first: int, last: int) -> tuple[float, int, int]:
+    """The same for a chain: the longest row of template words in order, with few enough other words between two of them."""
+    size = len(template)
+    gap = 1 + max(NEAR, int(PUT_IN * size))
+    begin, until = max(first, 0), min(size + last, len(words))
+    places: dict[bytes, list[int]] = {}
+    for t, word in enumerate(template):
+        places.setdefault(word, []).append(t)
+    rows: list[tuple[int, np.ndarray]] = []  # for each of the last places: the best row that ends there at template word t
+    best = (0, 0, 0)
+    for place in range(begin, until):
+        if (at := places.get(words[place])) is None:
+            continue
+        rows = [r for r in rows if place - r[0] <= gap]
+        reached = np.zeros(size + 1, np.int64)  # length of the row times 2^32, less where it starts
+        if rows:
+            reached[1:] = np.maximum.accumulate(np.max([r for _, r in rows], axis=0))
+        here = np.zeros(size, np.int64)
+        for t in at:
+            here[t] = reached[t] + (1 << 32) if reached[t] else (1 << 32) + (1 << 31) - place
+        rows.append((place, here))
+        length = int(here.max())
+        if length >> 32 > best[0]:
+            best = (length >> 32, (1 << 31) - (length & ((1 << 32) - 1)), place + 1)
+    return best[0] / size, best[1], best[2]
+
+
 def verified(words: list[bytes], spans: list, templates: list[tuple[str, list[bytes]]]) -> list[tuple[float, str]]:
     """Notices whose words are there. Of notices that share words of the document, the one that fits best counts."""
-    fits = []
-    for span in spans:
+    fits, found = [], []
+    for span in sorted(spans, key=lambda s: s["chain"]):
         label, template = templates[span["template"]]
-        share, start, end = covered(words, template, span["first"], span["last"])
+        first, last = span["first"], span["last"]
+        if span["chain"] and any(number == span["template"] and first <= diagonal <= last for number, diagonal in found):
+            continue  # found on neighbouring diagonals already
+        share, start, end = (chained if span["chain"] else covered)(words, template, first, last)
         if share >= needed(len(template)):
             fits.append((-share, -len(template), start, end, label))
+            found.append((span["template"], first))
     kept: list[tuple] = []
     taken = bytearray(len(words))
     for share, size, start, end, label in sorted(fits):

@@ -52,6 +52,18 @@ def test_edits_and_look_alikes(spark):
     assert found[1].score == 1.0 and 0.8 <= found[0].score < 1
 
 
+def test_many_words_put_in_or_left_out_at_one_place(spark):
+    notice = licenses.TEMPLATES["mit"][2]
+    reworded = notice.replace("this software", "the Foo Bar Baz library version 2")
+    words = notice.split()
+    left_out = " ".join(words[:8] + words[13:])
+    spoiled = " ".join(w + " indeed" * (i % 3 == 2) for i, w in enumerate(words))
+    scattered = " ".join(w + " x" * 20 for w in words)
+    found = scan(spark, [reworded, "x " * 2000 + reworded + " y" * 2000, left_out, spoiled, scattered, f"{reworded} and {notice}"])
+    assert [r.labels for r in found] == ["mit", "mit", "mit", "mit", "", "mit"]
+    assert found[0].score == pytest.approx(25 / 27) and found[2].score == pytest.approx(22 / 27) and found[3].score == 1.0
+
+
 def test_odd_rows(spark):
     rows = [*odd_rows(), (9, "Cc By cc by CC-BY", None), (9, "Cc By cc by CC-BY", None)]
     found = licenses.scan_licenses(documents(spark, rows)).collect()
