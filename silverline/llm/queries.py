@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import block_neighbours, curriculum, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
+from silverline.llm import block_neighbours, curriculum, decontamination, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
 from silverline.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +130,37 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+
+def op11_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents),
+items AS (
+    SELECT item_id::VARCHAR AS item, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL),
+sized AS (SELECT item, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+begun AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized),
+windows AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM begun),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT k, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM docs, lengths),
+found AS (
+    SELECT p.k, p.i, p.n, x.item FROM places p JOIN windows x ON x.n = p.n AND x.words = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')),
+hit AS (SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS place FROM found) GROUP BY k),
+listed AS (
+    SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT k, item FROM found WHERE item IS NOT NULL) GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (k) LEFT JOIN listed USING (k)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside this library, at the top of the repository
 
@@ -151,6 +182,7 @@ _QUERIES: dict[str, Query] = {
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_quality_mil": op9_quality_mil,
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
+    "op11_fm_index_decontamination": op11_fm_index_decontamination,
     "pipeline": pipeline,
 }
 QUERIES = {name: _bounded(run) for name, run in _QUERIES.items()}
@@ -159,4 +191,5 @@ ORACLES: dict[str, str] = {
     "op7_t_occurrence_jaccard": OP7_SQL,
     "op8_curriculum_mix": OP8_SQL,
     "op10_block_matrix_neighbours": OP10_SQL,
+    "op11_fm_index_decontamination": OP11_SQL,
 }
