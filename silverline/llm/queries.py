@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import block_neighbours, curriculum, decontamination, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
+from silverline.llm import block_neighbours, curriculum, decontamination, hard_negatives, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
 from silverline.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +161,33 @@ FROM docs LEFT JOIN hit USING (k) LEFT JOIN listed USING (k)
 """
 
 
+def op12_cover_tree_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+OP12_SQL = """
+WITH held AS MATERIALIZED (
+    SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.k, a.vec_id AS anchor_id, a.label = v.label AS same, v.k AS other, v.vec_id,
+        coalesce(list_sum(list_transform(list_zip(a.vector, v.vector), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+    FROM held a JOIN held v ON a.vec_id % 100 = 0 AND a.k <> v.k),
+positives AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id, other) AS place FROM scored WHERE same),
+ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.k, p.place ORDER BY n.score DESC, n.vec_id, n.other)::INTEGER AS rank
+    FROM positives p JOIN scored n ON p.k = n.k AND p.place <= 5 AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside this library, at the top of the repository
 
@@ -183,6 +210,7 @@ _QUERIES: dict[str, Query] = {
     "op9_quality_mil": op9_quality_mil,
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
     "op11_fm_index_decontamination": op11_fm_index_decontamination,
+    "op12_cover_tree_hard_negatives": op12_cover_tree_hard_negatives,
     "pipeline": pipeline,
 }
 QUERIES = {name: _bounded(run) for name, run in _QUERIES.items()}
@@ -192,4 +220,5 @@ ORACLES: dict[str, str] = {
     "op8_curriculum_mix": OP8_SQL,
     "op10_block_matrix_neighbours": OP10_SQL,
     "op11_fm_index_decontamination": OP11_SQL,
+    "op12_cover_tree_hard_negatives": OP12_SQL,
 }
