@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import block_neighbours, curriculum, decontamination, hard_negatives, impact_index, jaccard_join, licenses, packing, pii, quality_mil, secret_scan, sharding
+from silverline.llm import block_neighbours, curriculum, decontamination, hard_negatives, impact_index, jaccard_join, licenses, ns_clustering, packing, pii, quality_mil, secret_scan, sharding
 from silverline.llm.common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,6 +188,43 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def op13_ns_bounds_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, history = ns_clustering.cluster(table(spark, sf_dir, "embeddings"))
+    return ns_clustering.with_inertia(found, history[-1])
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    """All distances in every round, round after round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+    SELECT k, vec_id, x, c, m, distance FROM (
+        SELECT k, vec_id, x, c, m, distance, row_number() OVER (PARTITION BY k ORDER BY distance, c) AS place FROM (
+            SELECT *, list_sum(list_transform(list_zip(x, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance FROM kept, c{r}))
+    WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""
+u{r} AS (SELECT c, d, sum(v)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (SELECT c, unnest(x) AS v, unnest(range(1, 65)) AS d FROM a{r}) GROUP BY c, d),
+m{r} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY d) AS m FROM u{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(m{r}.m, c{r}.m) AS m FROM c{r} LEFT JOIN m{r} ON c{r}.c = m{r}.c)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS k, vec_id,
+        list_transform(embedding, lambda x: floor(greatest(-134217728, least(134217728, 64 * x::DOUBLE)))::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+hashed AS (SELECT x, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS c FROM kept),
+c0 AS MATERIALIZED (SELECT c, x AS m FROM hashed WHERE c < 16),{",".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside this library, at the top of the repository
 
@@ -211,6 +248,7 @@ _QUERIES: dict[str, Query] = {
     "op10_block_matrix_neighbours": op10_block_matrix_neighbours,
     "op11_fm_index_decontamination": op11_fm_index_decontamination,
     "op12_cover_tree_hard_negatives": op12_cover_tree_hard_negatives,
+    "op13_ns_bounds_clustering": op13_ns_bounds_clustering,
     "pipeline": pipeline,
 }
 QUERIES = {name: _bounded(run) for name, run in _QUERIES.items()}
@@ -221,4 +259,5 @@ ORACLES: dict[str, str] = {
     "op10_block_matrix_neighbours": OP10_SQL,
     "op11_fm_index_decontamination": OP11_SQL,
     "op12_cover_tree_hard_negatives": OP12_SQL,
+    "op13_ns_bounds_clustering": OP13_SQL,
 }

@@ -15,4 +15,4 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert queries.QUERIES.keys() <= entry.queries().keys()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 13)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
