@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Protocol
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +36,11 @@ def write_silver(
 ) -> int:
     """Write cleaned rows as parquet and return their number.
 
-    Every run has its own folder below each partition, so runs add up, on one day too,
-    and a run that is repeated under its name replaces only itself. Without a name it
-    gets a new one. :func:`current_silver` takes the newest version of each key.
+    Every run has its own folder, partitioned below, so runs add up, on one day too, and
+    a run that is repeated under its name replaces itself as a whole, also on another day
+    or with fewer rows. Without a name it gets a new one. A repeat that fails leaves the
+    run out until it is repeated again. :func:`current_silver` takes the newest version of
+    each key.
 
     One processing date per run needs no shuffle. When rows of many partitions are mixed,
     ``rebalance`` brings each together first and lets adaptive execution split the large
@@ -46,10 +49,9 @@ def write_silver(
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     counted = Observation()
-    named = df.withColumn(SILVER_RUN, F.lit(f"run-{run or uuid.uuid4().hex}"))
-    writer = named.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, SILVER_RUN)
-    writer.parquet(silver_path(root, entity))
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+    writer.parquet(f"{silver_path(root, entity)}/{SILVER_RUN}=run-{quote(run or uuid.uuid4().hex, safe='')}")
     return counted.get["rows"]
 
 
@@ -59,26 +61,44 @@ def read_silver(spark: SparkSession, root: str, entity: str, runs: bool = False)
     return rows if runs else rows.drop(SILVER_RUN)
 
 
+# Columns that tell when a row was delivered and cleaned, oldest first.
+DELIVERY = ("bronze_ingestion_date", "run_id", "ingestion_timestamp", "ingestion_date")
+
+
+def versioned(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``version_of_``, what a row is a version of: its key, or its content if it has no key."""
+    content = [c for c in rows.columns if c not in (*DELIVERY, *keys)]
+    keyless = reduce(Column.__or__, [F.col(c).isNull() for c in keys])
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]
+    told_apart = F.when(keyless, F.md5(F.to_json(F.struct(*content)))).otherwise(F.lit(""))
+    return rows.withColumn("version_of_", F.struct(told_apart, *values))
+
+
+def newest_versions(rows: DataFrame, updated: str = "updated_at", by: str = "change") -> DataFrame:
+    """The newest row of each ``version_of_``; ``by`` says what newest means, ``change`` time or ``delivery``."""
+    order = {"change": [parse_timestamp(updated)], "delivery": []}[by] + [c for c in DELIVERY if c in rows.columns]
+    return latest_per_key(rows, "version_of_", [*order, parse_timestamp(updated)])
+
+
 def current_silver(
-    spark: SparkSession, root: str, entity: str, keys: str | Sequence[str] = "id", updated: str = "updated_at"
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    keys: str | Sequence[str] = "id",
+    updated: str = "updated_at",
+    by: str = "change",
 ) -> DataFrame:
     """The newest version of each key over all runs.
 
-    Newest by change time, then by Bronze batch, then by processing time. Rows without a
-    key have no versions: each content of them stands once, however often it was
-    delivered.
+    Newest by change time, then by Bronze batch, then by processing time; a version whose
+    change time cannot be read is older than all dated ones. ``by="delivery"`` goes by batch
+    and processing time first, which is right where batches are never delivered late.
+    Rows without a key have no versions: each content of them stands once, however often it
+    was delivered. :mod:`silverline.sources.current` keeps the result between runs.
     """
-    rows = read_silver(spark, root, entity)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    batch = ["bronze_ingestion_date", "run_id", "ingestion_timestamp", "ingestion_date"]
-    content = [c for c in rows.columns if c not in (*batch, *keys)]
-    keyless = reduce(Column.__or__, [F.col(c).isNull() for c in keys])
-    told_apart = rows.withColumn("content_", F.when(keyless, F.md5(F.to_json(F.struct(*content)))))
-    told_apart = told_apart.withColumns({f"key_{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(keys)})
-    told_apart = told_apart.withColumn("content_", F.coalesce("content_", F.lit("")))
-    helpers = [f"key_{i}" for i in range(len(keys))] + ["content_"]
-    order = [parse_timestamp(updated), *[c for c in batch if c in rows.columns]]
-    return latest_per_key(told_apart, helpers, order).drop(*helpers)
+    rows = read_silver(spark, root, entity)
+    return newest_versions(versioned(rows, keys), updated, by).drop("version_of_")
 
 
 class Target(Protocol):

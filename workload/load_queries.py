@@ -12,6 +12,7 @@ from silverline.operators.versions import latest_per_key, latest_raw
 from silverline.plans.transformation import run_cleaning
 from silverline.session import scratch_path
 from silverline.sources import bronze as landing
+from silverline.sources.current import CurrentView, merge_current, read_current
 from silverline.sources.incremental import changed_since, run_all
 from silverline.sources.sinks import CatalogTarget, current_silver, load_all, read_silver, write_silver
 from silverline.sources.watermark import get_watermark, read_watermarks, save_watermark
@@ -308,22 +309,20 @@ def _state(raw, changes):
     return raw.withColumn("id", F.expr(f"CASE WHEN {_KEYLESS} THEN NULL ELSE id END"))
 
 
-@query(
-    "incremental_to_silver",
-    o.portable(
-        f"""SELECT * FROM ({o.entity_sql(spec_of('payments'), _state_sql(2))}) s WHERE id IS NOT NULL
-        UNION ALL SELECT * FROM (
-            {' UNION '.join(f"SELECT * FROM ({o.entity_sql(spec_of('payments'), _state_sql(n))}) s WHERE id IS NULL" for n in range(3))}) k""",
-        *o.integers_of(spec_of("payments")), "id",
-    ),
+_CURRENT_SQL = o.portable(
+    f"""SELECT * FROM ({o.entity_sql(spec_of('payments'), _state_sql(2))}) s WHERE id IS NOT NULL
+    UNION ALL SELECT * FROM (
+        {' UNION '.join(f"SELECT * FROM ({o.entity_sql(spec_of('payments'), _state_sql(n))}) s WHERE id IS NULL" for n in range(3))}) k""",
+    *o.integers_of(spec_of("payments")), "id",
 )
-def _(spark, sf_dir):
-    """A full run, a run of the same day, one of the next day and one that finds nothing new.
 
-    Each run's batch is cleaned and written to Silver; the current view must be the source
-    as it stands, and hold every content that rows without a key have had.
+
+def _silver_runs(spark, sf_dir, silver_root):
+    """A full run, a run of the same day, one of the next day and one that finds nothing new, each written to Silver.
+
+    Gives the cleaned batch and the name of each run that landed something.
     """
-    bronze_root, control, silver_root = (scratch_path(spark, name) for name in ("landing", "control", "silver"))
+    bronze_root, control = scratch_path(spark, "landing"), scratch_path(spark, "control")
     spec, raw = spec_of("payments"), bronze(spark, sf_dir, "payments")
     for now, changes in zip(_RUNS, (0, 1, 2, 2), strict=True):
         now = now.replace(tzinfo=timezone.utc)
@@ -331,10 +330,58 @@ def _(spark, sf_dir):
         if result.rows:
             batch = landing.read_bronze(spark, bronze_root, "payments", spec.schema)
             batch = batch.where((F.col("ingestion_date") == F.lit(now.date())) & (F.col("run_id") == now.strftime("%H%M%S%f")))
-            write_silver(run_cleaning(batch, spark, spec=spec), silver_root, "payments", run=now.strftime("%Y%m%d%H%M%S"))
-    current = current_silver(spark, silver_root, "payments")
+            cleaned, run = run_cleaning(batch, spark, spec=spec), now.strftime("%Y%m%d%H%M%S")
+            write_silver(cleaned, silver_root, "payments", run=run)
+            yield cleaned, run
+
+
+def _next_day(cleaned):
+    return cleaned.withColumns({"ingestion_date": F.date_add("ingestion_date", 1), "ingestion_timestamp": F.expr("ingestion_timestamp + INTERVAL 1 DAY")})
+
+
+def _without_delivery(current):
     current = current.drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id")
-    return portable(current, *o.integers_of(spec), "id")
+    return portable(current, *o.integers_of(spec_of("payments")), "id")
+
+
+@query("incremental_to_silver", _CURRENT_SQL)
+def _(spark, sf_dir):
+    """Several runs, the last of them repeated on another day.
+
+    The current view must be the source as it stands, and hold every content that rows without a key have had.
+    """
+    silver_root = scratch_path(spark, "silver")
+    for cleaned, run in _silver_runs(spark, sf_dir, silver_root):
+        last = cleaned, run
+    write_silver(_next_day(last[0]), silver_root, "payments", run=last[1])
+    return _without_delivery(current_silver(spark, silver_root, "payments"))
+
+
+@query("silver_current_kept", _CURRENT_SQL)
+def _(spark, sf_dir):
+    """The current view kept in buckets: each run is merged into it, the last once more on another day."""
+    silver_root = scratch_path(spark, "silver")
+    view = CurrentView(scratch_path(spark, "current"), "payments", buckets=16)
+    for cleaned, _ in _silver_runs(spark, sf_dir, silver_root):
+        merge_current(cleaned, view)
+    merge_current(_next_day(cleaned), view)
+    return _without_delivery(read_current(spark, view))
+
+
+@query(
+    "silver_run_repeated",
+    f"""SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, 1 AS n_days FROM ({_raw_sql('coupons')}) r WHERE id % 3 = 0""",
+)
+def _(spark, sf_dir):
+    """A run repeated on another day with fewer rows: only the repeat is left."""
+    root = scratch_path(spark, "silver")
+    cleaned = silver(spark, sf_dir, "coupons").withColumn("ingestion_date", F.lit("2024-06-01").cast("date"))
+    write_silver(cleaned, root, "coupons", run="stream-7")
+    write_silver(cleaned.where("id % 3 = 0").withColumn("ingestion_date", F.date_add("ingestion_date", 1)), root, "coupons", run="stream-7")
+    stored = read_silver(spark, root, "coupons")
+    return stored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.countDistinct("ingestion_date").cast("int").alias("n_days")
+    )
 
 
 @query("stream_to_silver", o.portable_entity(spec_of("customers")))
