@@ -106,6 +106,29 @@ def merge_current(batch: DataFrame, view: CurrentView) -> list[int]:
     return touched
 
 
+def delete_current(gone: DataFrame, view: CurrentView) -> list[int]:
+    """Take the rows of some keys out of the view; returns the buckets that were rewritten.
+
+    Rows without a key stay: what they are versions of is their content, which a key does not tell.
+    """
+    spark = gone.sparkSession
+    stored = _stored(spark, view)
+    keys = gone.select(*view.keys).dropna().distinct()
+    if stored is None:
+        return []
+    named = _bucketed(keys.withColumn("content_", F.lit(0)), view).select(BUCKET, *view.keys)
+    touched = sorted(r[0] for r in named.select(BUCKET).distinct().collect())  # at most the number of buckets
+    if not touched:
+        return []
+    kept = stored.where(F.col(BUCKET).isin(touched)).drop(NUMBER).join(named.drop(BUCKET), list(view.keys), "left_anti")
+    # a dynamic overwrite replaces buckets that get rows; those that keep none are emptied one by one
+    emptied = set(touched) - {r[0] for r in kept.select(BUCKET).distinct().collect()}
+    _replace(kept, view, "dynamic")
+    for bucket in sorted(emptied):
+        kept.where(F.lit(False)).drop(BUCKET).write.mode("overwrite").parquet(f"{view.path}/{NUMBER}={view.buckets}/{BUCKET}={bucket}")
+    return touched
+
+
 def rebuild_current(spark: SparkSession, view: CurrentView, silver_root: str) -> None:
     """Make the view anew from all runs of the Silver table, with the number of buckets now wanted."""
     rows = _bucketed(read_silver(spark, silver_root, view.entity), view)
