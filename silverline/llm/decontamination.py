@@ -15,6 +15,7 @@ words but is not listed; an empty benchmark marks nothing; an empty table of doc
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -54,7 +55,7 @@ class _Shard:
         self.listed, self.members, self.numbers, self.texts, self.firsts, self.held = [], [], {}, [], [], 0
 
     def add(self, key: int, words: np.ndarray, first: int) -> None:
-        content = (first, words.tobytes())
+        content = (first, hashlib.blake2b(words.tobytes(), digest_size=16).digest())
         number = self.numbers.setdefault(content, len(self.texts))
         if number == len(self.texts):
             self.texts.append(words)
@@ -237,7 +238,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     documents = index.select(F.explode(F.arrays_zip(*_LISTED)).alias("d")).select(
         *[F.col(f"d.{held}").alias(name) for held, name in zip(_LISTED, ("key", "doc_id", "text_hash", "n_words"), strict=True)]
     )
-    hits = merged_spans(search(index, item_windows(benchmark, window), window))
+    hits = merged_spans(checkpointed(search(index, item_windows(benchmark, window), window)))  # read twice
     none = F.array().cast("array<string>")
     return documents.join(hits, "key", "left").select(
         "doc_id",
