@@ -10,7 +10,9 @@ from silverline.plans.transformation import run_cleaning
 from silverline.session import scratch_path
 from silverline.sources import bronze as landing
 from silverline.sources.current import CurrentView, delete_current, merge_current, read_current
+from silverline.sources.sinks import read_silver
 from silverline.sources.snapshot import deletions, digests, run_snapshot, snapshot_difference
+from silverline.streaming.bronze_stream import stream_to_silver
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of
 from workload.registry import portable, query
@@ -92,3 +94,20 @@ def _(spark, sf_dir):
             delete_current(deletions(spark, bronze_root, "payments", "id long", *run), view)
     current = read_current(spark, view).drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id")
     return portable(current, *o.integers_of(spec))
+
+
+@query("stream_deduplicated", o.portable_entity(spec_of("customers")))
+def _(spark, sf_dir):
+    """A stream started twice, fed with files that repeat rows of former ones, some of them late: every row is there once."""
+    bronze_root, silver_root, state = (scratch_path(spark, name) for name in ("landing", "silver", "checkpoint"))
+    raw = bronze(spark, sf_dir, "customers")
+    deliveries = [
+        [("2024-06-01", "000001", "id % 3 = 0"), ("2024-06-01", "000002", "id % 3 = 1 OR id % 6 = 0")],
+        [("2024-06-02", "000001", "id % 2 = 0 OR id % 3 = 2"), ("2024-05-01", "000001", "id % 5 = 0"), ("2024-06-02", "000002", "id >= 0")],
+    ]
+    for files in deliveries:
+        for day, run, rows in files:
+            landing.write_bronze(raw.where(rows), bronze_root, "customers", day, run)
+        stream_to_silver(spark, spec_of("customers"), bronze_root, silver_root, state, max_files=2, remember="7 days").awaitTermination()
+    stored = read_silver(spark, silver_root, "customers")
+    return portable(stored.drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id"))
