@@ -33,6 +33,8 @@ def local_session(app_name: str = "silverline", cores: int | str = "*", **conf:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # tasks that list a local folder start a process for each file
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "10000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

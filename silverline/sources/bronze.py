@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
 
@@ -32,16 +33,84 @@ def read_bronze(
     """Scan all batches of an entity with its declared schema.
 
     No inference pass runs. Line-delimited files, which :func:`write_bronze` makes, are
-    split over tasks; ``multi_line`` reads files that hold one JSON array each, one task
-    per file. Filter on ``ingestion_date`` or ``run_id`` to read only those folders.
+    split over tasks; ``multi_line`` reads files that hold one JSON array each, by
+    :func:`read_arrays`. Filter on ``ingestion_date`` or ``run_id`` to read only those folders.
     """
     declared = batch_schema(schema, corrupt_column)
-    reader = spark.read.schema(declared).option("multiLine", multi_line)
+    if multi_line:
+        return read_arrays(spark, bronze_path(root, entity), schema, corrupt_column).select(*declared.fieldNames())
+    reader = spark.read.schema(declared)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.json(bronze_path(root, entity)).select(*declared.fieldNames())
 
 
+def _bytes(size: str) -> int:
+    """A size as settings spell it, such as ``128MB``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]?)b?", size.strip().lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _head(text: DataFrame) -> list[Row]:
+    """The first lines of the first file of the first task, which is one of the largest."""
+    meta = [F.col(f"_metadata.{name}") for name in ("file_block_start", "file_size")]
+    return text.select(F.left("value", F.lit(200)).alias("value"), *meta).limit(20).collect()
+
+
+def _record_ends(head: list[Row]) -> tuple[str, str] | None:
+    """How lines end and how records are indented; None if that does not tell records apart."""
+    lines = [row["value"] for row in head if row["file_block_start"] == 0]
+    depth = lambda line: len(line) - len(line.lstrip())
+    for line, inner in zip(lines, lines[1:], strict=False):
+        if line.strip() == "{":  # what stands deeper than its record cannot be taken for the end of one
+            indent = line[: line.index("{")]
+            return ("\r\n" if line.endswith("\r") else "\n", indent) if depth(inner) > len(indent) else None
+    return None
+
+
+def read_arrays(
+    spark: SparkSession, path: str, schema: StructType, corrupt_column: str | None = None, split: bool | None = None
+) -> DataFrame:
+    """Files that hold one JSON array of records each.
+
+    Indented files can be split over tasks like lines: JSON has no line break within a
+    string, so a line that is a record's indentation and ``},`` ends a record and nothing
+    else, and serves as the separator of lines. A file that is indented otherwise than the
+    first, or not at all, comes as one line. Of a record that cannot be read the columns are
+    NULL and ``corrupt_column`` is its text.
+
+    Splitting costs about twice the time of reading a file whole, and spares one task from
+    reading a large one alone; by default it is done where a file is larger than what a task
+    should read, or where ``corrupt_column`` asks which record is broken. A file read whole
+    that has a broken record is one row of NULLs; ``split=True`` confines that to the record.
+    """
+    lines = spark.read.text(path)
+    found = [f.name for f in BATCH_FIELDS if f.name in lines.columns]
+    head = _head(lines)
+    if split is None:
+        share = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        split = corrupt_column is not None or any(row["file_size"] > _bytes(share) for row in head)
+    ends = _record_ends(head) if split else None
+    if ends is None:
+        reader = spark.read.schema(batch_schema(schema, corrupt_column)).option("multiLine", True)
+        return (reader.option("columnNameOfCorruptRecord", corrupt_column) if corrupt_column else reader).json(path)
+    newline, indent = ends
+    stored = StructType([StructField("value", StringType()), *[f for f in BATCH_FIELDS if f.name in found]])
+    parts = spark.read.schema(stored).option("lineSep", f"{newline}{indent}}},{newline}").text(path)
+
+    value = F.col("value")
+    opening = F.when(value.startswith("["), "").otherwise("[")
+    parsed = lambda end: F.from_json(F.concat(opening, value, F.lit(end)), ArrayType(schema))
+    last = F.right(value, F.lit(len(indent) + 20)).rlike(rf"\n{indent}\}}\s*\]\s*$")
+    # the last record of a file is whole, others have lost their end; then files that were not split, and lone records
+    records = F.when(last, parsed("")).otherwise(F.coalesce(parsed("}]"), parsed(""), parsed("]")))
+    none = F.array(F.lit(None).cast(schema))
+    rows = parts.where(value.rlike(r"\S")).select("*", F.explode(F.coalesce(records, none)).alias("record_"))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in BATCH_FIELDS if f.name not in found]
+    corrupt = [F.when(F.col("record_").isNull(), value).alias(corrupt_column)] if corrupt_column else []
+    return rows.select("record_.*", *corrupt, *found, *missing)
+
+
 def read_all_bronze(
     spark: SparkSession, root: str, schemas: Mapping[str, StructType], multi_line: bool = False
 ) -> dict[str, DataFrame]:
