@@ -52,14 +52,19 @@ class WordTokenizer:
 
     The vocabulary lowers letters, drops white space, divides text by one pattern and spells each part by itself. A
     text of Latin letters, digits and ASCII signs is divided here and its parts are spelled by the tokenizer's model,
-    each once while it is remembered. Of any other text, each word goes through the whole tokenizer.
+    each once while it is remembered. Of any other text, each word goes through the whole tokenizer. Tokens added to the
+    vocabulary, such as ends of texts, have their own ids where a text spells them, and divide it.
     """
 
     def __init__(self, path: str, bound: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {token.content: (number, token) for number, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = {content: number.to_bytes(4, "little") for content, (number, _) in added.items()}
+        # such tokens stand as they are spelled; others are left to the whole tokenizer
+        self.divides = all(not (t.lstrip or t.rstrip or t.single_word or t.normalized) for _, t in added.values())
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         spelled, extra = {}, 256
         for byte in range(256):
             if byte in _PRINTABLE:
@@ -80,6 +85,13 @@ class WordTokenizer:
         return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def ids(self, text: str) -> bytes:
+        if not self.divides:
+            return self._whole(text)
+        if any(token in text for token in self.added):
+            return b"".join([self.added.get(part) or self._plain(part) for part in self.at_added.split(text)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if _OTHER.search(text) is None:
             return b"".join(b"".join(map(self.parts.__getitem__, _PIECES.findall(part))) for part in slices(text.lower()))
         if any(c in text for c in _ODD_SPACES):

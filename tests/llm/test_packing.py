@@ -14,9 +14,7 @@ from silverline.llm.tokens import WordTokenizer, _Recent, slices
 def tokenizer():
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(packing.default_vocabulary())
-    whole.encode_special_tokens = True
-    return whole
+    return Tokenizer.from_file(packing.default_vocabulary())
 
 
 def ids(tokenizer, text):
@@ -28,6 +26,8 @@ def test_words_have_the_ids_of_whole_texts(tokenizer, spark, sf_dir):
     texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(60).collect()]
     texts += ["", "don't I'LL 3.5% ÀÉß x<|endoftext|>y", "a\x1cb  c", "Σίσυφος ΣΑΣ İ ǅ", "é ́x", "１２ ½ ²", "a　b c᠎d", "_-'s'", "x" * 300]
     draw = random.Random(5)
+    texts += ["a <|endoftext|> b", "a<|EndOfText|>b", "<|startoftext|><|endoftext|>", "ß<|endoftext|>中 x", "<|endoftext", "<|endoftext|>" * 3, "\x1c<|startoftext|>"]
+    texts += ["".join(draw.choices(["<|endoftext|>", "<|startoftext|>", "<|", "|>", "a ", "é", "中", "\n", "B"], k=12)) for _ in range(300)]
     texts += ["".join(draw.choices("aB'st 1.é\n\tß́中", k=40)) for _ in range(300)]
     for text in texts:
         assert np.frombuffer(mine.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
@@ -124,7 +124,7 @@ def test_every_piece_has_its_place(spark, tokenizer, sf_dir):
 
 
 def test_odd_rows(spark, tokenizer):
-    rows = odd_rows()
+    rows = [*odd_rows(), (8, "one<|endoftext|>two " * 50, "a")]
     docs = documents(spark, rows)
     packed = packing.pack_documents(docs, capacity=64)
     check(packed.collect(), [(i, text) for i, text, _ in rows], tokenizer, 64)
