@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silverline.llm.common import running_total, split_count
+from silverline.llm.common import checkpointed, running_total, split_count
 
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
 SLOPES = (-0.5, 0.0, 0.5)  # how the weight changes from start to end: w(t) = w * (1 + slope * (2t - 1))
@@ -49,7 +49,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     level = F.min(fits).over(everything)["level"]
     share = F.coalesce(level, F.lit(float("inf"))) * F.col("weight")
     target = F.least(F.col("limit").cast("double"), share)
-    return levels.select("source", "source_size", "rank", "weight", target.alias("target"))
+    total = F.coalesce(F.sum("source_size").over(everything), F.lit(0))
+    return levels.select("source", "source_size", "rank", "weight", target.alias("target"), total.alias("total"))
 
 
 def mix_plan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -57,15 +58,22 @@ def mix_plan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
     ``keep`` names columns of the input to carry along. The order of a source is that of the MD5 of the document id,
     so it does not depend on how the table is stored, and a source with a third of all rows is split into many buckets.
+    Without other columns to carry, words are counted once and the sizes kept; else they are counted in each of three
+    readings of the input, which is less than writing its texts once more.
     """
+    narrow_only = keep is None
     keep = ["doc_id"] if keep is None else keep
     kept = [F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep)]
     sized = docs.select(
         *kept, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), word_count(F.col("text")).alias("size")
     ).withColumn("__key", F.md5(F.coalesce(F.col("__id").cast("string"), F.lit(""))))
-    narrow = docs.select("source", word_count(F.col("text")).alias("size"))
+    if narrow_only:
+        sized = checkpointed(sized)
+        narrow, rows = sized.select(F.col("__source").alias("source"), "size"), sized.count()
+    else:
+        narrow, rows = docs.select("source", word_count(F.col("text")).alias("size")), docs.count()
     targets = source_targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")))
-    buckets = split_count(docs.count())
+    buckets = split_count(rows)
     spread = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long")
     bucket = F.floor(spread * buckets / F.lit(2**32)).cast("int")
     order = [F.col("__key"), F.col("__id"), F.col("size")]
@@ -75,7 +83,7 @@ def mix_plan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     copies = F.when(F.col("source_size") > 0, F.greatest(rounds, F.lit(0))).otherwise(F.lit(0)).cast("int")
     return joined.select(
         *[F.col(f"__keep_{i}") for i in range(len(keep))],
-        "size", "source_size", "target", "rank", "before", copies.alias("copies"),
+        "size", "source_size", "target", "total", "rank", "before", copies.alias("copies"),
         (copies.cast("long") * F.col("size")).alias("taken"),
     )
 
@@ -92,15 +100,16 @@ def position(copy: Column) -> Column:
 def mix_sources(docs: DataFrame) -> DataFrame:
     """The result per document, range-sorted by position: sizes, target, words taken, copies and the position of each copy.
 
-    Documents that are left out have no position and stand last, in the order of their sources' streams.
+    ``word_positions`` are the positions on the scale of all words of the table, in whole words. Documents that are left out have no position and stand last, in the order of their sources' streams.
     """
     plan = mix_plan(docs)
     taken = F.col("copies") > 0
     positions = F.when(taken, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), position)).otherwise(F.array().cast("array<double>"))
-    placed = plan.withColumns({"positions": positions, "first_position": F.when(taken, position(F.lit(0)))})
+    in_words = F.transform(positions, lambda p: F.floor(p * F.col("total")))
+    placed = plan.withColumns({"positions": positions, "word_positions": in_words, "first_position": F.when(taken, position(F.lit(0)))})
     order = [F.col("first_position").asc_nulls_last(), "before", "__keep_0"]  # those left out go to many partitions too
     ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    columns = ["size", "source_size", "target", "taken", "copies", "first_position", "positions"]
+    columns = ["size", "source_size", "target", "taken", "copies", "first_position", "positions", "word_positions"]
     return ordered.select(F.col("__keep_0").alias("doc_id"), *columns)
 
 

@@ -78,7 +78,9 @@ FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN reached r ON
 
 
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "first_position", "positions")
+    """The mix with the positions of all copies, on the scale of all words, as text: lists differ between clients."""
+    mixed = curriculum.mix_sources(table(spark, sf_dir, "documents")).drop("first_position", "positions")
+    return mixed.withColumn("word_positions", F.array_join(F.col("word_positions").cast("array<string>"), ","))
 
 
 OP8_SQL = r"""
@@ -100,11 +102,17 @@ targets AS (
     SELECT l.source, l.source_size, least(l.lim::DOUBLE, c.level * l.weight) AS target FROM levels l, chosen c),
 placed AS (
     SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM docs)
-SELECT p.doc_id, p.size, t.source_size, t.target,
-    CASE WHEN t.source_size > 0
-        THEN greatest(ceil((t.target - p.before - p.size / 2) / t.source_size), 0)::BIGINT * p.size ELSE 0 END::BIGINT AS taken
-FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM docs),
+mixed AS (
+    SELECT p.doc_id, p.size, p.before, t.source_size, t.target, r.rank, (SELECT sum(size) FROM docs)::BIGINT AS total,
+        (CASE r.rank % 3 WHEN 0 THEN -0.5 WHEN 1 THEN 0 ELSE 0.5 END)::DOUBLE AS slope,
+        CASE WHEN t.source_size > 0
+            THEN greatest(ceil((t.target - p.before - p.size / 2) / t.source_size), 0)::INTEGER ELSE 0 END AS copies
+    FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source JOIN ranked r ON p.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size, target, copies::BIGINT * size AS taken, copies,
+    array_to_string(list_transform(list_transform(range(copies), lambda c: (before + c * source_size + size / 2) / target),
+        lambda x: floor(2 * x / ((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * x, 0))) * total)::BIGINT), ',') AS word_positions
+FROM mixed
 """
 
 def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:

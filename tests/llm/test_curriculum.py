@@ -43,6 +43,8 @@ def check(rows, found):
         assert r.taken <= 3 * r.size and r.taken == r.copies * r.size
         assert (r.first_position is None) == (r.copies == 0)
         assert r.first_position is None or 0 <= r.first_position <= 1
+        assert len(r.positions) == len(r.word_positions) == r.copies
+        assert all(w == int(p * sum(sizes.values())) for p, w in zip(r.positions, r.word_positions, strict=True))
     taken, largest = defaultdict(int), defaultdict(int)
     for r in found:
         taken[r.source_size, r.target] += r.taken
