@@ -3,12 +3,13 @@
 The text is scanned as it stands; those spans are the base. Then transducers rewrite it and keep, for each character
 they write, the source characters it came from: look-alike letters and digits to ASCII, invisible characters to
 nothing, spelled digits to digits, written-out ``at``, ``dot`` and ``plus`` to their signs. The rewritten text is
-scanned with the same patterns; what is found there is reported at its source characters. A finding that overlaps a
-base span of its own kind adds nothing and is dropped.
+scanned with the same patterns; what is found there is reported at its source characters. A finding within a base span
+of its own kind adds nothing and is dropped; a longer one stands beside it, and masking covers both.
 
 Bare ``at`` and ``dot`` count only between words that also hold a ``dot`` each way of writing it (``x at y dot org``) and
-end in two letters or a listed ending; spelled digits only in runs of at least four, or of one to three where ``dot``
-joins four of them to an address, so plain prose stays as it is.
+end in two letters or a listed ending; spelled digits only in runs of at least four digits, among them groups of plain
+ones, or of one to three where ``dot`` joins four of them to an address, so plain prose stays as it is. Words of a
+disguise may stand on different lines.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Defined cases: a null or empty text has no spans; every
 row is scanned, repeated ones too; texts of any length are scanned whole and in time linear in their length.
@@ -55,21 +56,26 @@ _SIGN_AT = re.compile(rf"(?<=[A-Za-z0-9_%+-])(?:{_BRACKETED_AT})(?=[A-Za-z0-9])"
 _SIGN_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_BRACKETED_DOT})(?=[A-Za-z0-9])")
 # How a written-out domain may end besides in two letters, so that "at noon dot the" is none.
 _ENDINGS = "com|org|net|edu|gov|info|biz|dev|app|[A-Za-z]{2}"
+_GAP = r"[\x20\t\r\n]"
 _WRITTEN = re.compile(
-    r"(?<=[A-Za-z0-9_%+-])[\x20]+(?:at|AT|At)[\x20]+"
-    rf"(?=[A-Za-z0-9-]+(?:(?:\.|[\x20]+(?:dot|DOT|Dot)[\x20]+)[A-Za-z0-9-]+)*?[\x20]+(?:dot|DOT|Dot)[\x20]+(?:{_ENDINGS})(?![A-Za-z0-9-]))"
+    rf"(?<=[A-Za-z0-9_%+-]){_GAP}+(?:at|AT|At){_GAP}+"
+    rf"(?=[A-Za-z0-9-]+(?:(?:\.|{_GAP}+(?:dot|DOT|Dot){_GAP}+)[A-Za-z0-9-]+)*?{_GAP}+(?:dot|DOT|Dot){_GAP}+(?:{_ENDINGS})(?![A-Za-z0-9-]))"
 )
-_WRITTEN_DOT = re.compile(r"(?<=[A-Za-z0-9])[\x20]+(?:dot|DOT|Dot)[\x20]+(?=[A-Za-z0-9])")
-_NEAR_AT = re.compile(r"@[A-Za-z0-9.\x20-]*")
-_DIGIT_RUN = re.compile(rf"(?:\bplus[\x20-]+)?(?<!\w){_NAME}(?:[\x20,-]{{1,2}}(?:{_NAME}|[0-9])){{3,}}(?!\w)", re.IGNORECASE)
-_SHORT_RUN = rf"(?:{_NAME}|[0-9]{{1,3}})(?:[\x20,-]{{1,2}}(?:{_NAME}|[0-9])){{0,2}}"
-_SPELLED_IP = re.compile(rf"(?<!\w){_SHORT_RUN}(?:[\x20]++dot[\x20]++{_SHORT_RUN}){{3}}(?!\w)", re.IGNORECASE)
-_IP_PART = re.compile(rf"[\x20]*dot[\x20]*|[\x20,-]+|{_NAME}", re.IGNORECASE)
-_IP_DOTS = re.compile(r"(?<=[0-9])[\x20]+(?:dot|DOT|Dot)[\x20]+(?=[0-9])")
-_ONE_NAME = re.compile(rf"plus[\x20-]+|{_NAME}|,", re.IGNORECASE)
+_WRITTEN_DOT = re.compile(rf"(?<=[A-Za-z0-9]){_GAP}+(?:dot|DOT|Dot){_GAP}+(?=[A-Za-z0-9])")
+_NEAR_AT = re.compile(r"@[A-Za-z0-9.\x20\t\r\n-]*")
+_BETWEEN = r"[\x20,\t\r\n-]{1,2}"
+_ITEM = rf"(?:{_NAME}|[0-9]++)"
+_DIGIT_RUN = re.compile(rf"(?:\bplus(?:{_GAP}|-)+)?(?<!\w){_ITEM}(?:{_BETWEEN}{_ITEM})+(?!\w)", re.IGNORECASE)
+_SHORT_RUN = rf"(?:{_NAME}|[0-9]{{1,3}})(?:{_BETWEEN}(?:{_NAME}|[0-9])){{0,2}}"
+_SPELLED_IP = re.compile(rf"(?<!\w){_SHORT_RUN}(?:{_GAP}++dot{_GAP}++{_SHORT_RUN}){{3}}(?!\w)", re.IGNORECASE)
+_IP_PART = re.compile(rf"{_GAP}*dot{_GAP}*|{_BETWEEN}|{_NAME}", re.IGNORECASE)
+_IP_DOTS = re.compile(rf"(?<=[0-9]){_GAP}+(?:dot|DOT|Dot){_GAP}+(?=[0-9])")
+_ONE_NAME = re.compile(rf"plus(?:{_GAP}|-)+|{_NAME}|,|[\t\r\n]+|[0-9]+", re.IGNORECASE)
 # Beyond Latin letters, common quotes and dashes, and the euro sign.
 _FOREIGN = re.compile("[^\\x00-\\xac\\xae-\\u024f\\u2010-\\u2027\\u2030-\\u205e\\u20ac]")
-_DIGIT_WORDS = frozenset([*DIGIT_NAMES, *"0123456789"])
+# By what a word is: the name of a digit, plain digits, anything else. Names next to either are worth a look.
+_NAMED, _PLAIN = 1, 2
+_SPELLED = (b"\1\1", b"\1\2", b"\2\1")
 _DIGIT_MARK = bytes(ord("d") if chr(b) in "0123456789" else b for b in range(256))
 
 Spans = list[tuple[str, int, int]]
@@ -130,15 +136,21 @@ class Rewritten:
         """Put texts in the place of ranges, which come in order; each new character stands for its whole range."""
         if not changes:
             return
-        texts, starts, ends, at = [], [], [], 0
+        texts, at = [], 0
         for begin, until, new in changes:
             texts += [self.text[at:begin], new]
-            starts += [self.start[at:begin], np.full(len(new), self.start[begin:until].min())]
-            ends += [self.end[at:begin], np.full(len(new), self.end[begin:until].max())]
             at = until
+        begins, untils = np.array([c[0] for c in changes]), np.array([c[1] for c in changes])
+        lengths = [len(c[2]) for c in changes]
+        inside = np.zeros(len(self.text) + 1, np.int64)
+        np.add.at(inside, begins, 1)
+        np.add.at(inside, untils, -1)
+        kept = np.flatnonzero(np.cumsum(inside)[:-1] == 0)
+        where = np.repeat(np.searchsorted(kept, begins), lengths)
+        # sources never go backwards, so a range begins with that of its first character and ends with that of its last
+        self.start = np.insert(self.start[kept], where, np.repeat(self.start[begins], lengths))
+        self.end = np.insert(self.end[kept], where, np.repeat(self.end[untils - 1], lengths))
         self.text = "".join([*texts, self.text[at:]])
-        self.start = np.concatenate([*starts, self.start[at:]])
-        self.end = np.concatenate([*ends, self.end[at:]])
         self.changed = True
 
     def source(self, begin: int, until: int) -> tuple[int, int]:
@@ -159,12 +171,24 @@ def plain_character(c: str) -> str:
 
 
 def _digits(run: re.Match) -> list[tuple[int, int, str]]:
-    out = []
+    """The changes in a run of four digits or more, at least two of them spelled: one name may be a word after a number."""
+    out, digits, named = [], 0, 0
     for m in _ONE_NAME.finditer(run[0]):
         name = m[0].lower()
-        new = "" if name == "," else "+" if name.startswith("plus") else DIGIT_NAMES[name]
+        if name[0] in "0123456789":
+            digits += len(name)
+            continue
+        if name in DIGIT_NAMES:
+            digits, named, new = digits + 1, named + 1, DIGIT_NAMES[name]
+        else:
+            new = "+" if name.startswith("plus") else "" if name == "," else " "
         out.append((run.start() + m.start(), run.start() + m.end(), new))
-    return out
+    return out if named >= 2 and digits >= 4 else []
+
+
+def _some_spelled(words: list[str]) -> bool:
+    kinds = bytes(_NAMED if word in DIGIT_NAMES else _PLAIN if word[-1] in "0123456789" else 0 for word in words)
+    return any(pair in kinds for pair in _SPELLED)
 
 
 def _address(run: re.Match) -> list[tuple[int, int, str]]:
@@ -178,22 +202,23 @@ def rewritten(text: str, data: bytes) -> Rewritten | None:
     if not text.isascii():
         out.replace([(m.start(), m.end(), new) for m in _FOREIGN.finditer(text) if (new := plain_character(m[0])) != m[0]])
     lower = out.text.lower()
+    words = lower.replace("-", " ").replace(",", " ").split()
+    dots = words.count("dot")
     bracketed = any(sign in lower for sign in "[({<")
     if bracketed and ("at" in lower or "@" in lower):
         out.replace([(m.start(), m.end(), "@") for m in _SIGN_AT.finditer(out.text)])
-    if " dot " in lower and " at " in lower:
+    if dots and "at" in words:
         out.replace([(m.start(), m.end(), "@") for m in _WRITTEN.finditer(out.text)])
     if bracketed and any(name in lower for name in ("dot", "punkt", "point", "punto", "[.]", "(.)")):
         out.replace([(m.start(), m.end(), ".") for m in _SIGN_DOT.finditer(out.text)])
-    if " dot " in lower and "@" in out.text:
+    if dots and "@" in out.text:
         near = [(m.start(), m.end()) for m in _NEAR_AT.finditer(out.text)]
         out.replace(_held([(m.start(), m.end(), ".") for m in _WRITTEN_DOT.finditer(out.text)], near))
-    if lower.count(" dot ") >= 3:
+    if dots >= 3:
         out.replace([change for run in _SPELLED_IP.finditer(out.text) for change in _address(run)])
-    words = lower.replace("-", " ").replace(",", " ").split()
-    if b"\1\1\1\1" in bytes(map(_DIGIT_WORDS.__contains__, words)):
+    if sum(map(DIGIT_NAMES.__contains__, words)) >= 2 and _some_spelled(words):
         out.replace([change for run in _DIGIT_RUN.finditer(out.text) for change in _digits(run)])
-    if " dot " in lower:
+    if dots:
         out.replace([(m.start(), m.end(), ".") for m in _IP_DOTS.finditer(out.text)])
     return out if out.changed else None
 
@@ -213,7 +238,7 @@ def disguised_spans(text: str, data: bytes, base: Spans) -> Spans:
     found = []
     for kind, begin, until in base_spans(plain.text):
         start, end = plain.source(begin, until)
-        if not any(kind == k and start < e and s < end for k, s, e in base):
+        if not any(kind == k and s <= start and end <= e for k, s, e in base):
             found.append((kind, start, end))
     return found
 
