@@ -9,12 +9,18 @@ on the list again, and never visited twice, so the work ends at a fixpoint even
 Each character of a layer keeps the range of source characters it came from; a secret found in a layer is reported
 at that range of the source.
 
+Base64 is also found behind other signs of its kind, such as the parts of a path, an id, or a word of letters
+(:func:`_behind`). What it holds is text if nearly all of it is printable, as UTF-8 with single faults let through, Latin-1
+among them, or as UTF-16; compressed data is scanned whatever it looks like.
+
 Spans are ``kind:start:end`` in code points, end exclusive, and cover the whole match. Defined cases: a null or empty
 text has no spans; every row is scanned, repeated ones too; texts of any length are scanned whole. A compressed layer of
-more than ``most`` bytes is read to its end in windows that overlap, so memory stays bounded: a window starts with the
-encoded run that the last one ended in. Compressed data in compressed data is followed until it unfolds to itself.
-``layers_cut`` counts what could not be read whole: compressed streams that break off, and those with an encoded run of
-more than ``most`` characters, which is decoded in pieces, so that compressed data in it is not followed.
+any size is read to its end by one rule: in windows of ``most`` bytes that overlap, so memory stays bounded. A window
+starts with the encoded run that the last one ended in; a run longer than a window that is compressed data goes through
+the next decompressor as it comes. Compressed data in compressed data is followed until it unfolds to itself.
+``layers_cut`` counts what could not be read whole: compressed streams that break off, and layers with a run of plain
+base64 or of escapes of more than ``most`` characters, which is decoded in pieces, so that compressed data encoded once
+more inside it is not followed.
 """
 
 from __future__ import annotations
@@ -25,8 +31,9 @@ import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Generator, Iterator
-from itertools import chain
+from bisect import bisect_right
+from collections.abc import Generator, Iterable, Iterator
+from itertools import accumulate, chain
 from urllib.parse import unquote_to_bytes
 
 import numpy as np
@@ -35,6 +42,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
 MOST = 1 << 24
+_NAME_SIGNS = 64  # characters before a run that may name it
 OVERLAP = 1 << 12  # characters; a secret needs fewer, as spaces in a row count as one between windows
 FED, MADE = 1 << 12, 1 << 20  # bytes given to and taken from a decompressor at a time
 
@@ -49,6 +57,7 @@ _HEX_MARK = bytes(ord("h") if chr(b) in "0123456789abcdef" else 32 for b in rang
 _B64_MARK = bytes(ord("b") if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_" else 32 for b in range(256))
 _SHORTEST = 19  # characters of the shortest base64 run that can hold a secret: ``token=`` and eight more
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_PART = re.compile(r"[/_-]")  # signs of base64 that also stand between parts of paths and ids
 _B64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]++(?:(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++|[A-Za-z0-9+/_-]{%d,}+)={0,2}" % _SHORTEST)
 _WRAP = re.compile(rb"(?:\r\n?|\n)[ \t]*+")
 _URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/!*'()-])++")
@@ -89,18 +98,42 @@ class Layer:
         return int(self.start[begin:until].min()), int(self.end[begin:until].max())
 
 
-def _printable(text: str) -> bool:
-    readable = sum(c.isprintable() or c in "\n\r\t" for c in text)
-    return bool(text) and readable >= 0.95 * len(text)
+def _unprintable(text: str) -> int:
+    """Characters that no text shows; bytes that are no UTF-8 count as Latin-1."""
+    odd = [c for c in set(text) if not (c.isprintable() or c in "\n\r\t\ufeff" or "\udca0" <= c <= "\udcff")]
+    return sum(map(text.count, odd)) if len(odd) <= 16 else len(text) - len(text.translate(dict.fromkeys(map(ord, odd))))
 
 
-def _readable(data: bytes) -> str | None:
-    """Bytes as text, if they are UTF-8 and nearly all printable."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
+def _codec(head: bytes) -> str:
+    """UTF-16 by its mark, or where nearly every second byte is zero; else UTF-8."""
+    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16-le" if head[0] == 0xFF else "utf-16-be"
+    half = len(head) // 2
+    if half >= 8 and head[1::2].count(0) >= 0.9 * half and head[::2].count(0) <= 0.1 * half:
+        return "utf-16-le"
+    if half >= 8 and head[::2].count(0) >= 0.9 * half and head[1::2].count(0) <= 0.1 * half:
+        return "utf-16-be"
+    return "utf-8"
+
+
+def _faults(codec: str) -> str:
+    return "surrogateescape" if codec == "utf-8" else "replace"
+
+
+def _readable(data: bytes) -> tuple[str, np.ndarray] | None:
+    """Bytes as text, and the bytes of each character, if nearly all of it is printable; single faults are let through."""
+    codec = _codec(data[:4096])
+    data = data if codec == "utf-8" else data[: len(data) // 2 * 2]
+    text = data.decode(codec, _faults(codec))
+    if not text or _unprintable(text) > 0.05 * len(text):
         return None
-    return text if _printable(text) else None
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    raw = (codes >= 0xDC80) & (codes <= 0xDCFF)  # bytes that stand for themselves
+    if codec != "utf-8":
+        return text, np.where(codes > 0xFFFF, 4, 2)
+    if raw.sum() > 0.2 * len(codes):
+        return None
+    return text, np.where(raw, 1, 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, read) -> Layer | None:
@@ -207,13 +240,15 @@ def _gathered(pieces: Iterator[bytes], least: int) -> bytes:
 class _Inside:
     """What compressed data holds, compressed layers inside it unfolded too: its first bytes, and an iterator of the rest.
 
-    ``head`` is None if the data is not compressed. ``cut`` tells, after the end, whether anything was not read.
+    The data comes in pieces, of which no more are taken than needed. ``head`` is None if it is not compressed. ``cut``
+    tells, after the end, whether anything was not read.
     """
 
-    def __init__(self, data: bytes, most: int):
-        self.head, self.rest, self.streams, self.broken, self.most = None, iter(()), [], False, most
-        self.folded, self.size = False, len(data)
-        head, rest, seen = data, self.rest, set()
+    def __init__(self, pieces: Iterator[bytes], size: int, most: int):
+        self.head, self.streams, self.more, self.broken, self.most = None, [], [], False, most
+        self.folded, self.size = False, size
+        self.rest = pieces = iter(pieces)
+        head, rest, seen = _gathered(pieces, 16), pieces, set()
         while _decompressor(head) is not None:
             mark = hashlib.sha256(head).digest()
             if mark in seen:  # it unfolds to itself
@@ -232,7 +267,7 @@ class _Inside:
 
     @property
     def cut(self) -> bool:
-        return self.broken or any(stream.cut for stream in self.streams)
+        return self.broken or any(stream.cut for stream in (*self.streams, *self.more))
 
     @property
     def used(self) -> int:
@@ -240,87 +275,212 @@ class _Inside:
         return (not self.cut and self.streams and self.streams[0].used) or self.size
 
     def texts(self) -> Iterator[str]:
-        """The readable text: whole if it is not longer than ``most`` bytes, or in windows."""
+        """The text in windows of about ``most`` bytes, as it is: what was compressed need not look like text."""
         if self.head is None:
             return
-        second = _gathered(self.rest, self.most)
-        if not second:
-            if (text := _readable(self.head)) is not None:
-                yield text
-            return
-        decoder, text, data, self.head = codecs.getincrementaldecoder("utf-8")("surrogateescape"), "", self.head, None
+        codec = _codec(self.head[:4096])
+        decoder, text, data, self.head = codecs.getincrementaldecoder(codec)(_faults(codec)), "", self.head, None
         while data:
-            text = re.sub("  +", " ", text + decoder.decode(data, not second))
-            if _printable(text):
+            after = _gathered(self.rest, self.most)
+            text = text + decoder.decode(data, not after)
+            if after:
+                text = re.sub("  +", " ", text)
+            data = after
+            if not data:
                 yield text
-            text = self._carried(text)
-            data, second = second, _gathered(self.rest, self.most)
-
-    def _carried(self, text: str) -> str:
-        """The end of a window that the next one starts with."""
-        at = max(0, len(text) - min(OVERLAP, self.most // 2))
-        start = len(text) - _OPEN.match(text[::-1]).end()
-        if len(text) - start <= self.most:
-            return text[min(at, start) :]
-        self.broken = True
-        signs = sum(c.isalnum() or c in "+/_-" for c in text[start:at])
-        while signs % 4 and at < len(text):  # base64 goes on with a group of four
-            signs += text[at].isalnum() or text[at] in "+/_-"
-            at += 1
-        return text[at:]
-
-
-def _decoded(layer: Layer, lines: list[tuple[int, int]], end: int, most: int) -> Generator[Layer, None, tuple[int, bool]]:
-    """The text of a base64 run that stands in these lines; returns how many signs were read and whether any were cut."""
-    run = "".join(layer.text[a:b] for a, b in lines).replace("-", "+").replace("_", "/")
-    run = run[: len(run) - (len(run) % 4 == 1)]
-    data = base64.b64decode(run + "=" * (-len(run) % 4))
-    inside = _Inside(data, most)
-    if inside.folded:  # any character may come from the whole run
-        for text in inside.texts():
-            signs = -(-4 * inside.used // 3)
-            until = end
-            if signs < len(run):
-                until = int(np.concatenate([np.arange(a, b) for a, b in lines])[signs - 1]) + 1
-            at = layer.source(lines[0][0], until)
+                return
+            start = len(text) - _OPEN.match(text[::-1]).end()
+            if len(text) - start <= self.most:  # what a run holds is read in the window that has all of it
+                yield text[:start]
+                text = text[max(0, min(len(text) - min(OVERLAP, self.most // 2), start - _NAME_SIGNS)) :]
+                continue
+            if _looks_packed(text[start : start + 400]):
+                # a run longer than a window goes through the next decompressor as it comes
+                yield text[:start]
+                run = _Run(text[start:], chain([data], iter(lambda: _gathered(self.rest, self.most), b"")), decoder)
+                inner = _Inside(_base64_pieces(run), 0, self.most)
+                yield from inner.texts()
+                for _ in run:
+                    pass
+                self.more.append(inner)
+                text, data = run.left, b"" if run.ended else _gathered(self.rest, self.most)
+                if run.left and not data:
+                    yield run.left
+                continue
+            yield text
+            self.broken = True  # what is encoded once more inside such a run is read in pieces too
+            at = max(0, len(text) - min(OVERLAP, self.most // 2))
+            signs = sum(c.isalnum() or c in "+/_-" for c in text[start:at])
+            while signs % 4 and at < len(text):  # base64 goes on with a group of four
+                signs += text[at].isalnum() or text[at] in "+/_-"
+                at += 1
+            text = text[at:]
+
+
+_NOT_IN_RUN = re.compile(r"[^A-Za-z0-9+/_=\r\n\t -]")
+_NO_SIGN = re.compile(r"[^A-Za-z0-9+/_-]+")
+_SIGNS = str.maketrans("-_", "+/")
+
+
+class _Run:
+    """The signs of an encoded run that begins in one window and goes on in the next ones; what follows it is ``left``."""
+
+    def __init__(self, text: str, pieces: Iterator[bytes], decoder):
+        self.text, self.pieces, self.decoder, self.left, self.ended = text, pieces, decoder, "", False
+
+    def __iter__(self) -> Iterator[str]:
+        while self.text:
+            text, self.text = self.text, ""
+            if (end := _NOT_IN_RUN.search(text)) is not None:
+                self.left = text[end.start() :]
+                yield _NO_SIGN.sub("", text[: end.start()])
+                return
+            piece = next(self.pieces, b"")
+            self.ended = not piece
+            self.text = self.decoder.decode(piece, self.ended)
+            yield _NO_SIGN.sub("", text)
+
+
+def _base64_pieces(signs: Iterable[str]) -> Iterator[bytes]:
+    """What signs of base64 stand for, a few bytes first and some thousand at a time then."""
+    held, least = "", 64
+    for part in signs:
+        held += part
+        at = 0
+        while len(held) - at >= least:
+            yield base64.b64decode(held[at : at + least].translate(_SIGNS))
+            at, least = at + least, FED
+        held = held[at:]
+    held = held[: len(held) - (len(held) % 4 == 1)]
+    if held:
+        yield base64.b64decode(held.translate(_SIGNS) + "=" * (-len(held) % 4))
+
+
+def _looks_packed(start: str) -> bool:
+    """Whether a run of base64 that starts like this is compressed data."""
+    signs = _NO_SIGN.sub("", start)[:16]
+    return len(signs) >= 4 and _decompressor(base64.b64decode(signs[: len(signs) // 4 * 4].translate(_SIGNS))) is not None
+
+
+class _Lines:
+    """Lines of base64 that may be one run."""
+
+    def __init__(self, text: str, spans: list[tuple[int, int]]):
+        self.text, self.spans = text, spans
+        self.before = [0, *accumulate(b - a for a, b in spans)]
+
+    def signs(self, first: int, last: int) -> int:
+        return self.before[last + 1] - self.before[first]
+
+    def pieces(self, first: int, last: int) -> Iterator[str]:
+        for i in range(first, last + 1):
+            for at in range(self.spans[i][0], self.spans[i][1], FED):
+                yield self.text[at : min(at + FED, self.spans[i][1])]
+
+    def place(self, sign: int) -> int:
+        """Where a sign stands in the text."""
+        i = bisect_right(self.before, sign) - 1
+        return self.spans[i][0] + sign - self.before[i]
+
+
+def _decoded(layer: Layer, lines: _Lines, i: int, last: int, end: int, most: int, packed: bool) -> Generator[Layer, None, tuple[int, bool]]:
+    """The text of a base64 run in lines ``i`` to ``last``; returns how many signs were read and whether any were cut.
+
+    ``packed`` asks for compressed data only.
+    """
+    signs = lines.signs(i, last)
+    signs -= signs % 4 == 1
+    begin, cut = lines.spans[i][0], False
+    if _looks_packed(layer.text[begin : begin + 400]):
+        inside = _Inside(_base64_pieces(lines.pieces(i, last)), signs * 3 // 4, most)
+        for text in inside.texts():  # any character may come from the whole run
+            read = -(-4 * inside.used // 3)
+            until = end if read >= signs else lines.place(lines.before[i] + read - 1) + 1
+            at = layer.source(begin, until)
             yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in at))
-        return (0 if inside.cut else min(len(run), -(-4 * inside.used // 3))), inside.cut
-    if (text := _readable(data)) is None:
-        return 0, inside.cut
-    where = np.concatenate([np.arange(a, b) for a, b in lines])
-    first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-    last = np.r_[first[1:], len(data)] - 1
+        if inside.folded or inside.cut:
+            return (0 if inside.cut else min(signs, -(-4 * inside.used // 3))), inside.cut
+    if packed:
+        return 0, cut
+    read = _readable(b"".join(_base64_pieces(lines.pieces(i, last))))
+    if read is None:
+        return 0, cut
+    text, sizes = read
+    where = np.concatenate([np.arange(*span) for span in lines.spans[i : last + 1]])
+    after = np.cumsum(sizes)
     sign = lambda byte: byte // 3 * 4 + byte % 3  # noqa: E731  the first of two signs that hold a byte
-    yield Layer(text, layer.start[where[sign(first)]], layer.end[where[np.minimum(sign(last) + 1, len(where) - 1)]])
-    return len(run), inside.cut
+    yield Layer(text, layer.start[where[sign(after - sizes)]], layer.end[where[np.minimum(sign(after - 1) + 1, len(where) - 1)]])
+    return signs, cut
+
+
+def _some_text(signs: str) -> bool:
+    data = base64.b64decode(signs[: len(signs) // 4 * 4].translate(_SIGNS))
+    return len(data) >= 12 and (_readable(data) is not None or _decompressor(data) is not None)
+
+
+def _behind(layer: Layer, begin: int, end: int, most: int) -> Generator[Layer, None, bool]:
+    """Base64 behind other signs of the same kind, such as the parts of a path or an id: where a sign that may stand
+    between parts has passed, or at another of the four alignments. Returns whether anything was cut."""
+    text, cut, at = layer.text, False, begin
+    shifted = begin + 4 * ((end - begin) // 8)  # in the middle, for alignments that begin with signs of something else
+    starts = [begin + k for k in (1, 2, 3) if _some_text(text[shifted + k : min(shifted + k + 24, end)])]
+    starts = sorted({*starts, *(m.end() for m in _PART.finditer(text, begin, end))})
+    for start in starts:
+        head = text[start : min(start + 24, end)]
+        if start < at or end - start < _SHORTEST or not (start - begin <= 3 or _some_text(head)):
+            continue
+        until = end
+        if not _looks_packed(head):  # as far as it can be read
+            for piece in range(start, end, 256):
+                chunk = text[piece : min(piece + 256, end)]
+                shown = base64.b64decode(chunk[: len(chunk) // 4 * 4].translate(_SIGNS)).decode("utf-8", "surrogateescape")
+                if _unprintable(shown) > 0.3 * len(shown):
+                    until = piece
+                    break
+            if until < end:
+                parts = [m.start() for m in _PART.finditer(text, max(start, until - 1), min(until + 256, end))]
+                until = parts[0] if parts else until
+        for stop in dict.fromkeys((until, next((m.start() for m in _PART.finditer(text, start, end)), until))):
+            if stop - start < _SHORTEST:
+                continue
+            read, was_cut = yield from _decoded(layer, _Lines(text, [(start, stop)]), 0, 0, stop, most, False)
+            cut |= was_cut
+            if read:
+                at = stop
+                break
+    return cut
 
 
 def _unpacked(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
     """The texts inside base64 runs, unfolded where they are compressed."""
     for m in _B64.finditer(layer.text):
-        lines = [x.span() for x in _LINE.finditer(layer.text, *m.span())]
-        sizes = [b - a for a, b in lines]
-        top = len(lines) - 1
-        alike = list(range(len(lines)))  # the last of the lines of equal length that follow each other
+        lines = _Lines(layer.text, [x.span() for x in _LINE.finditer(layer.text, *m.span())])
+        sizes = [b - a for a, b in lines.spans]
+        top = len(sizes) - 1
+        alike = list(range(len(sizes)))  # the last of the lines of equal length that follow each other
         for i in range(top - 1, -1, -1):
             alike[i] = alike[i + 1] if sizes[i] == sizes[i + 1] else i
         i, fresh = 0, True
         while i <= top:
             ends = {top} if fresh else set()
-            start = layer.text[slice(*lines[i])][:4]
-            if fresh or sizes[i] != sizes[i - 1] or (len(start) == 4 and _decompressor(base64.b64decode(start, b"-_" if set(start) & set("-_") else None))):
+            begins = fresh or sizes[i] != sizes[i - 1]
+            if begins or _looks_packed(layer.text[slice(*lines.spans[i])][:16]):
                 after = min(alike[i] + 1, top)
                 ends |= {alike[i], after, alike[after], min(alike[after] + 1, top)}
             read, was_cut, last = 0, False, i
             for last in sorted(ends - {i}, reverse=True):
-                if sum(sizes[i : last + 1]) >= _SHORTEST:
-                    read, was_cut = yield from _decoded(layer, lines[i : last + 1], m.end() if last == top else lines[last][1], most)
+                if lines.signs(i, last) >= _SHORTEST:
+                    until = m.end() if last == top else lines.spans[last][1]
+                    read, was_cut = yield from _decoded(layer, lines, i, last, until, most, not begins)
                 if read or was_cut:
                     break
             if not read and not was_cut:
                 last = i
                 if sizes[i] >= _SHORTEST:
-                    read, was_cut = yield from _decoded(layer, lines[i : i + 1], m.end() if i == top else lines[i][1], most)
+                    until = m.end() if i == top else lines.spans[i][1]
+                    read, was_cut = yield from _decoded(layer, lines, i, i, until, most, False)
+                    if not read and not was_cut:
+                        was_cut = yield from _behind(layer, *lines.spans[i], most)
             cuts.append(was_cut)
             fresh = read > 0 and last > i
             i += 1  # past the lines that were read to their end
@@ -338,7 +498,8 @@ def _url_packed(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
         places = np.array([x.end() for x in _URL_BYTE.finditer(run)]) + m.start()
         at, was_cut = m.end(), False
         for form in dict.fromkeys((run, run.replace("+", "%20"))):  # a plus may stand for a space
-            inside = _Inside(unquote_to_bytes(form), most)
+            unquoted = unquote_to_bytes(form)
+            inside = _Inside(_sliced(unquoted), len(unquoted), most)
             for text in inside.texts():
                 source = layer.source(m.start(), int(places[inside.used - 1]))
                 yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in source))

@@ -2,12 +2,16 @@ import base64
 import bz2
 import gzip
 import hashlib
+import random
 import re
+import time
 import urllib.parse
 import zlib
 
 import pytest
 from helpers import documents, odd_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from silverline.llm import secret_scan as scan
 
@@ -164,3 +168,90 @@ def test_odd_rows(spark):
     assert [r.spans for r in found if r.doc_id == 9] == [f"assign:200000:{200000 + len(SECRET) - 1}"]
     assert all(r.n_assign == 0 and r.spans == "" for r in found if r.doc_id != 9)
     assert scan.digest(scan.scan_secrets(documents(spark, []))).collect() == []
+
+
+def test_one_rule_for_layers_of_all_sizes():
+    noisy = "ordinary words of a log\n" * 3000 + SECRET + " caf\xe9 \x00\x01" + " and more of it" * 200
+    data = base64.b64encode(gzip.compress(noisy.encode("latin-1"), mtime=0)).decode()
+    found = {most: scan.hidden_spans(data, data.encode(), most) for most in (1 << 24, len(noisy) + 1, len(noisy) - 1, 20_000, 5000)}
+    assert len({tuple(sorted(set(spans))) for spans, _ in found.values()}) == 1 and all(cut == 0 and spans for spans, cut in found.values())
+
+
+def test_compressed_runs_longer_than_a_window():
+    draw = random.Random(7)
+    noise = "".join(draw.choices("abcdefghijklmnop \n", k=60_000))
+    inner = base64.b64encode(gzip.compress((noise + SECRET + noise).encode(), mtime=0)).decode()
+    wrapped = "\n".join(inner[i : i + 76] for i in range(0, len(inner), 76))
+    for run in (inner, wrapped):
+        outer = base64.b64encode(gzip.compress(f"before {noise} {run} after {SECRET} end".encode(), mtime=0)).decode()
+        for most in (1 << 24, 8192):
+            spans, cut = scan.hidden_spans(outer, outer.encode(), most)
+            assert cut == 0 and [s[0] for s in set(spans)] == ["assign"]
+            both, _ = scan.hidden_spans(outer, outer.encode(), most)
+            assert both
+        lone = base64.b64encode(gzip.compress(f"before {noise} {run} after".encode(), mtime=0)).decode()
+        assert scan.hidden_spans(lone, lone.encode(), 8192)[0], "the secret is in the run only"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "https://host/cb/{}", "id-{}", "see a/b_c/{} there", "x{}", "ab{}", "abc{}", "prefix{}", "https://host/{}/tail", "key_{}-end", "/usr/lib/{}",
+    ],
+)
+@pytest.mark.parametrize("packed", [False, True])
+def test_behind_other_signs(text, packed):
+    inner = ("some readable words before the " + SECRET + " and as many readable words after it").encode()
+    if packed and not text.startswith(("x", "ab", "prefix")):
+        inner = gzip.compress(inner, mtime=0)
+    run = base64.b64encode(inner).decode().rstrip("=")
+    whole = text.format(run)
+    spans = spans_of(whole)[1]
+    assert {s[0] for s in spans} == {"assign"}
+    assert all(whole.index(run) <= a < b <= whole.index(run) + len(run) + 4 for _, a, b in spans) or packed
+
+
+@pytest.mark.parametrize("codec", ["utf-16-le", "utf-16-be", "utf-16", "latin-1"])
+@pytest.mark.parametrize("packed", [False, True])
+def test_other_codecs(codec, packed):
+    data = ("Wörter und " + SECRET + " größer als").encode(codec)
+    run = base64.b64encode(gzip.compress(data, mtime=0) if packed else data).decode()
+    spans = spans_of("x " + run)[1]
+    assert [s[0] for s in spans] == ["assign"]
+    if not packed:
+        at = 2 + len("Wörter und ") * (1 if codec == "latin-1" else 2) * 4 // 3
+        assert abs(spans[0][1] - at) <= 6
+
+
+@pytest.mark.parametrize(
+    "line", ["eJw" + "A" * 61, "eJwrSS0uAQ" + "B" * 54, "H4sI" + "A" * 60, "/QUFBQUFBQUFBQUFB", "a-b_c/" * 10, "QUFB" * 16, "word/" * 12],
+)
+@pytest.mark.parametrize("by", ["\n", ""])
+def test_wrapped_lines_take_linear_time(line, by):
+    times = []
+    for n in (2000, 8000):
+        text = by.join([line] * n)
+        began = time.process_time()
+        scan.hidden_spans(text, text.encode())
+        times.append(time.process_time() - began)
+    assert times[1] < max(10 * times[0], 2.0), times
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["b64", "url", "gzip", "zlib", "hex4", "percent"]), min_size=1, max_size=5), st.text(alphabet="abc é\n", max_size=20))
+def test_nested_layers_as_an_independent_decoder_undoes_them(layers, before):
+    text = f"{before} words before {SECRET} words after"
+    for layer in layers:
+        data = text.encode()
+        if layer == "b64":
+            text = base64.b64encode(data).decode()
+        elif layer == "url":
+            text = base64.urlsafe_b64encode(data).decode()
+        elif layer in ("gzip", "zlib"):
+            text = base64.b64encode(gzip.compress(data, mtime=0) if layer == "gzip" else zlib.compress(data)).decode()
+        elif layer == "hex4":
+            text = "".join(f"\\u{ord(c):04x}" for c in text)
+        else:
+            text = "".join(f"%{b:02x}" for b in data)
+    base, found = spans_of(text)
+    assert base == [] and [s[0] for s in found] == ["assign"]
