@@ -383,15 +383,15 @@ class _Lines:
         return self.spans[i][0] + sign - self.before[i]
 
 
-def _decoded(layer: Layer, lines: _Lines, i: int, last: int, end: int, most: int, packed: bool) -> Generator[Layer, None, tuple[int, bool]]:
+def _decoded(layer: Layer, lines: _Lines, i: int, last: int, end: int, most: int, packed: bool | None = None) -> Generator[Layer, None, tuple[int, bool]]:
     """The text of a base64 run in lines ``i`` to ``last``; returns how many signs were read and whether any were cut.
 
-    ``packed`` asks for compressed data only.
+    ``packed`` asks for compressed data only, or, if False, for anything else.
     """
     signs = lines.signs(i, last)
     signs -= signs % 4 == 1
     begin, cut = lines.spans[i][0], False
-    if _looks_packed(layer.text[begin : begin + 400]):
+    if packed is not False and _looks_packed(layer.text[begin : begin + 400]):
         inside = _Inside(_base64_pieces(lines.pieces(i, last)), signs * 3 // 4, most)
         for text in inside.texts():  # any character may come from the whole run
             read = -(-4 * inside.used // 3)
@@ -443,7 +443,7 @@ def _behind(layer: Layer, begin: int, end: int, most: int) -> Generator[Layer, N
         for stop in dict.fromkeys((until, next((m.start() for m in _PART.finditer(text, start, end)), until))):
             if stop - start < _SHORTEST:
                 continue
-            read, was_cut = yield from _decoded(layer, _Lines(text, [(start, stop)]), 0, 0, stop, most, False)
+            read, was_cut = yield from _decoded(layer, _Lines(text, [(start, stop)]), 0, 0, stop, most)
             cut |= was_cut
             if read:
                 at = stop
@@ -467,18 +467,19 @@ def _unpacked(layer: Layer, most: int, cuts: list[int]) -> Iterator[Layer]:
             if begins or _looks_packed(layer.text[slice(*lines.spans[i])][:16]):
                 after = min(alike[i] + 1, top)
                 ends |= {alike[i], after, alike[after], min(alike[after] + 1, top)}
+            ends = ends - {i} if begins else {max(ends, default=i)}  # a stream that fails in more lines fails in fewer
             read, was_cut, last = 0, False, i
-            for last in sorted(ends - {i}, reverse=True):
+            for last in sorted(ends, reverse=True):
                 if lines.signs(i, last) >= _SHORTEST:
                     until = m.end() if last == top else lines.spans[last][1]
-                    read, was_cut = yield from _decoded(layer, lines, i, last, until, most, not begins)
+                    read, was_cut = yield from _decoded(layer, lines, i, last, until, most, None if begins else True)
                 if read or was_cut:
                     break
             if not read and not was_cut:
                 last = i
                 if sizes[i] >= _SHORTEST:
                     until = m.end() if i == top else lines.spans[i][1]
-                    read, was_cut = yield from _decoded(layer, lines, i, i, until, most, False)
+                    read, was_cut = yield from _decoded(layer, lines, i, i, until, most, None if begins else False)
                     if not read and not was_cut:
                         was_cut = yield from _behind(layer, *lines.spans[i], most)
             cuts.append(was_cut)
