@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -79,7 +80,8 @@ def suggest_for_unmatched(
     value = match_key(F.col(column_name), "upper")
     sought = misses.select(value.alias("value_")).distinct()
     names = catalogue.select("name", F.upper("name").alias("key_")).distinct()
-    pairs = _near_pairs(sought, names, max_distance)
+    short = F.length("key_") <= max_distance
+    pairs = _near_pairs(sought, names.where(~short), max_distance).unionByName(_nearest_short(sought, names.where(short), max_distance))
     best = pairs.groupBy("value_").agg(F.min(F.struct("distance", "name")).alias("best"))
     found = misses.join(best, value == F.col("value_"), "left")
     return found.select(
@@ -92,7 +94,8 @@ def _near_pairs(sought: DataFrame, names: DataFrame, most: int) -> DataFrame:
 
     A name cut into ``most + 1`` pieces keeps at least one of them whole under ``most``
     edits, moved by at most ``most`` places. So only pairs that share a piece, at a name
-    length that fits, are compared: an equi-join, whatever the size of the catalogue.
+    length that fits, are compared: an equi-join, whatever the size of the catalogue. Names
+    must be longer than ``most``, so that no piece is empty.
     """
     pieces = F.sequence(F.lit(0), F.lit(most))
 
@@ -114,7 +117,56 @@ def _near_pairs(sought: DataFrame, names: DataFrame, most: int) -> DataFrame:
     keys = ["length_", "piece_", "text_"]
     shared = of_values.select("value_", *keys).distinct().join(of_names.select("name", "key_", *keys), keys)
     distance = F.levenshtein("value_", "key_", most)
-    return shared.select("value_", "name", "key_").distinct().withColumn("distance", distance).where("distance >= 0")
+    compared = shared.select("value_", "name", "key_").distinct().select("value_", "name", distance.alias("distance"))
+    return compared.where("distance >= 0")
+
+
+def alignments(length: int, of_name: int, most: int) -> Iterator[tuple[tuple[int, ...], tuple[int, ...], int]]:
+    """The ways to keep letters of a value in a name: their places, how many letters the name has around them, and the edits.
+
+    Between two letters that are kept, a letters of the value become b of the name by max(a, b) edits.
+    """
+    for kept in range(min(length, of_name) + 1):
+        for bars in combinations(range(of_name), kept):
+            gaps = tuple(b - a - 1 for a, b in zip((-1, *bars), (*bars, of_name), strict=True))
+            for places in combinations(range(length), kept):
+                own = (b - a - 1 for a, b in zip((-1, *places), (*places, length), strict=True))
+                if (edits := sum(map(max, gaps, own))) <= most:
+                    yield tuple(p + 1 for p in places), gaps, edits
+
+
+def _subsets(length: int) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """The places of every choice of letters of a name, and how many letters stand around them."""
+    for kept in range(length + 1):
+        for bars in combinations(range(length), kept):
+            yield tuple(b + 1 for b in bars), tuple(b - a - 1 for a, b in zip((-1, *bars), (*bars, length), strict=True))
+
+
+def _alignment_keys(df: DataFrame, column: str, ways: list[tuple[int, tuple[int, ...], tuple[int, ...], int]]) -> DataFrame:
+    """Add ``way_``, the letters kept with the gaps of the name around them, and ``edits_``, for every way of a text's length."""
+    schema = "length_ int, places_ array<int>, gaps_ array<int>, edits_ int"
+    table = df.sparkSession.createDataFrame([(n, list(places), list(gaps), edits) for n, places, gaps, edits in ways], schema)
+    joined = df.withColumn("length_", F.length(column)).join(table, "length_")
+    gap = lambda n: F.lpad(F.col("gaps_")[n].cast("string"), 2, "0")
+    letters = F.transform("places_", lambda place, n: F.concat(gap(n), F.substring(F.col(column), place, F.lit(1))))
+    return joined.withColumn("way_", F.concat(F.array_join(letters, ""), gap(F.size("places_"))))
+
+
+def _nearest_short(sought: DataFrame, names: DataFrame, most: int) -> DataFrame:
+    """Rows (value_, name, distance) that hold the nearest, then first name of each value among names of up to ``most`` letters.
+
+    Any two such names are within ``most`` edits, so pairs would be all pairs. Of the names that keep the same letters
+    with the same gaps only the first can be an answer: for any value it takes no more edits than the others. So the
+    names become one row for each such way, and a value meets as many as there are ways for its length, however many
+    names there are.
+    """
+    own = [(n, places, gaps, 0) for n in range(most + 1) for places, gaps in _subsets(n)]
+    first = _alignment_keys(names, "key_", own).groupBy("way_").agg(F.min("name").alias("name"))
+    ways = [(n, *way) for n in range(2 * most + 1) for m in range(most + 1) for way in alignments(n, m, most)]
+    asked = _alignment_keys(sought, "value_", ways).groupBy("value_", "way_").agg(F.min("edits_").alias("edits_"))
+    found = asked.join(first, "way_")
+    best = found.groupBy("value_").agg(F.min(F.struct(F.col("edits_").alias("distance"), "name")).alias("best_"))
+    return best.select("value_", "best_.name", "best_.distance")
 
 
 def geo_mismatch(

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from silverline.operators import lookup
 from silverline.plans.transformation import normalize_country
 from silverline.sources import countries
@@ -126,3 +128,32 @@ def test_geo_mismatch(spark):
     cities = spark.createDataFrame([("paris", "France"), ("Paris", "United States"), ("Unknown", "Peru")], "city string, country string")
     got = lookup.geo_mismatch(df, cities).collect()
     assert [(r.id, r.expected_countries) for r in got] == [(1, ["France", "United States"])]
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3, 4])
+def test_short_names_equal_all_pairs(spark, most):
+    draw = random.Random(most)
+    word = lambda n: "".join(draw.choices("abcé1", k=draw.randint(0, n)))
+    names, values = sorted({word(most + 1) for _ in range(40)}), sorted({word(2 * most + 1) for _ in range(120)})
+    df = spark.createDataFrame([(v, "REVISAR_MANUAL") for v in values], "c string, c_clean string")
+    got = {r.c: (r.suggestion, r.distance) for r in lookup.suggest_for_unmatched(df, "c", names, max_distance=most).collect()}
+    for value in values:
+        best = min((distance(value.upper(), n.upper()), n) for n in names)
+        assert got[value] == ((best[1], best[0]) if best[0] <= most else (None, None)), value
+
+
+def test_short_names_are_not_compared_in_pairs(spark):
+    """All names of two or three letters against as many values: a value meets no more rows than there are ways for its length."""
+    letters = "abcdefghijklmnopqrstuvwxyz"[:11]
+    words = [a + b for a in letters for b in letters] + [a + b + c for a in letters for b in letters for c in letters]
+    names = spark.createDataFrame([(w, w.upper()) for w in words], "name string, key_ string")
+    values = spark.createDataFrame([(w.upper()[::-1] + "Z",) for w in words], "value_ string")
+    best = lookup._nearest_short(values, names, 3)
+    rows = sorted((r.value_, r.name, r.distance) for r in best.collect())
+    assert len(rows) == len(words)
+    ways = max(sum(1 for m in range(4) for _ in lookup.alignments(n, m, 3)) for n in range(7))
+    assert ways < 150 and len(words) > 10 * ways
+    met = lookup._alignment_keys(values, "value_", [(n, *w) for n in range(7) for m in range(4) for w in lookup.alignments(n, m, 3)])
+    assert met.count() <= ways * len(words)
+    for value, name, edits in rows[:: len(rows) // 20]:
+        assert (edits, name) == min((distance(value, w.upper()), w) for w in words)
