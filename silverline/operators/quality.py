@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -80,7 +80,30 @@ def quality_report(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None
     failed_dates. The last is zero for columns that are not dates, the two before it
     are zero for columns that are not text.
     """
-    pairs = list(pairs or clean_pairs(df))
+    return _report_lines(df.groupBy(), df, pairs or clean_pairs(df))
+
+
+def quality_rollup(
+    df: DataFrame, by: Sequence[str], sets: Sequence[Sequence[str]] | None = None, pairs: Sequence[tuple[str, str]] | None = None
+) -> DataFrame:
+    """The lines of :func:`quality_report` for several groupings at once, in one pass.
+
+    ``sets`` lists the groupings, each some of the columns ``by``; without it they are those of
+    a rollup: all columns, all but the last, and so on to none. Spark expands each row to one
+    per grouping and aggregates it before the shuffle, so few rows move however large a group
+    is. ``grouped_by`` names the columns of a line's grouping; the others are NULL in it.
+    """
+    by = list(by)
+    sets = [by[:n] for n in range(len(by), -1, -1)] if sets is None else [list(s) for s in sets]
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by])
+    # of the bits of the grouping's number, a set one is a column that is not part of it
+    left_out = lambda i: F.shiftright(F.grouping_id(), len(by) - 1 - i).bitwiseAND(F.lit(1)) == 1
+    named = F.concat_ws(",", *[F.when(~left_out(i), F.lit(c)) for i, c in enumerate(by)])
+    return _report_lines(grouped, df, pairs or clean_pairs(df), by, named.alias("grouped_by"))
+
+
+def _report_lines(grouped: GroupedData, df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = (), *more: Column) -> DataFrame:
+    pairs = list(pairs)
     types = dict(df.dtypes)
 
     def metrics(raw: str, clean: str) -> dict[str, Column]:
@@ -96,15 +119,17 @@ def quality_report(df: DataFrame, pairs: Sequence[tuple[str, str]] | None = None
         }
 
     per_pair = {raw: metrics(raw, clean) for raw, clean in pairs}
-    counted = df.agg(
+    counted = grouped.agg(
         F.count(F.lit(1)).alias("total"),
+        *more,
         *[
             F.struct(*[F.count_if(condition).alias(name) for name, condition in per_pair[raw].items()]).alias(f"m_{i}")
             for i, (raw, _) in enumerate(pairs)
         ],
     )
     lines = F.array(*[F.struct(F.lit(raw).alias("column"), F.col(f"m_{i}").alias("m")) for i, (raw, _) in enumerate(pairs)])
-    return counted.select(F.explode(lines).alias("line"), "total").select("line.column", "total", "line.m.*")
+    kept = [*by, *(c for c in counted.columns if c == "grouped_by")]
+    return counted.select(*kept, F.explode(lines).alias("line"), "total").select(*kept, "line.column", "total", "line.m.*")
 
 
 def frequency(df: DataFrame, column: str, ordered: bool = True) -> DataFrame:

@@ -184,3 +184,16 @@ def test_columns_and_rules_may_be_called_total(spark):
     assert (row.column, row.total, row.changed) == ("total", 1, 1)
     (row,) = integrity.rule_violations(df, [integrity.Rule("total", "line", "min", (0,))]).collect()
     assert (row.rule, row.violations, row.total) == ("total", 1, 1)
+
+
+def test_rollup_tells_null_groups_from_totals(spark):
+    df = spark.createDataFrame([("x", None, "a", "A"), ("x", "k", "b", "b"), (None, "k", None, "UNKNOWN")], "run string, kind string, v string, v_clean string")
+    lines = {(r.grouped_by, r.run, r.kind): (r.total, r.changed, r.unknown) for r in quality.quality_rollup(df, ["run", "kind"]).collect()}
+    assert lines == {
+        ("run,kind", "x", None): (1, 1, 0), ("run,kind", "x", "k"): (1, 0, 0), ("run,kind", None, "k"): (1, 1, 1),
+        ("run", "x", None): (2, 1, 0), ("run", None, None): (1, 1, 1), ("", None, None): (3, 2, 1),
+    }
+    only = quality.quality_rollup(df, ["run", "kind"], [["kind"]]).collect()
+    assert {(r.grouped_by, r.run, r.kind, r.total) for r in only} == {("kind", None, None, 1), ("kind", None, "k", 2)}
+    plan = quality.quality_rollup(df, ["run", "kind"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and "Union" not in plan

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverline.operators import columns, integrity, lookup, quality
+from silverline.operators.hierarchy import hierarchy
 from silverline.plans.transformation import normalize_country, run_cleaning, with_paid_time
 from silverline.sources.countries import COUNTRY_ALIASES, country_names, iso_variants
 from workload import oracle as o
@@ -275,6 +276,58 @@ for _entity in ("customers", "payments", "shipping"):
     query(f"quality_report_{_entity}", _report_sql(_entity))(_report)
 
 
+# What the lines of a rollup are grouped by: a batch of the payments and two cleaned categories.
+_BATCH = "CONCAT('batch ', CAST(id % 4 AS STRING))"
+
+
+def _rollup_sql(entity: str, by: list[str]) -> str:
+    """Every grouping and every column counted by itself."""
+    spec, out = spec_of(entity), []
+    for n in range(len(by), -1, -1):
+        dims = ", ".join(f"{c} AS {c}" if i < n else f"CAST(NULL AS VARCHAR) AS {c}" for i, c in enumerate(by))
+        sets = f"GROUP BY GROUPING SETS (({', '.join(by[:n])}))"
+        for column in spec.rules:
+            is_date = column in spec.date_columns
+            failed = f"trim({column}) <> '' AND {column}_clean IS NULL" if is_date else "false"
+            unknown, review = ("false" if is_date else f"{column}_clean = '{mark}'" for mark in ("UNKNOWN", "REVISAR_MANUAL"))
+            conditions = {
+                "raw_nulls": f"{column} IS NULL", "clean_nulls": f"{column}_clean IS NULL",
+                "changed": f"{column} IS DISTINCT FROM {column}_clean", "unknown": unknown, "review": review, "failed_dates": failed,
+            }
+            counts = ", ".join(f"count(*) FILTER (WHERE {c}) AS {name}" for name, c in conditions.items())
+            out.append(f"""SELECT {dims}, '{",".join(by[:n])}' AS grouped_by, {text_literal(column)} AS "column", count(*) AS total, {counts} FROM s {sets}""")
+    return f"WITH s AS (SELECT *, {_BATCH} AS batch FROM ({o.entity_sql(spec)}) e) " + " UNION ALL ".join(out)
+
+
+@query("quality_rollup", _rollup_sql("payments", ["batch", "method_clean", "status_clean"]))
+def _(spark, sf_dir):
+    cleaned = silver(spark, sf_dir, "payments").withColumn("batch", F.expr(_BATCH))
+    return quality.quality_rollup(cleaned, ["batch", "method_clean", "status_clean"])
+
+
+# A tree over the parts: a chain through all even keys with twigs, roots, missing parents, cycles and what leads into them.
+_PARENT = """CASE WHEN k = 2 OR k % 10 = 1 THEN NULL WHEN k % 2 = 0 THEN k - 2 WHEN k % 30 = 3 THEN k + 2 WHEN k % 30 = 5 THEN k - 2
+    WHEN k % 30 = 7 THEN k - 4 WHEN k % 30 = 9 THEN k WHEN k % 30 = 13 THEN k + 900000000 ELSE k - 1 END"""
+
+
+@query(
+    "category_paths",
+    f"""WITH RECURSIVE keys AS (SELECT CAST(p_partkey AS BIGINT) AS k FROM part),
+    edges AS (SELECT k, CAST({_PARENT} AS BIGINT) AS parent FROM keys),
+    tops AS (SELECT k, CASE WHEN parent IS NULL THEN 'root' ELSE 'orphan' END AS status FROM edges WHERE parent IS NULL OR parent NOT IN (SELECT k FROM keys)),
+    placed AS (SELECT k, k AS root, CAST(0 AS BIGINT) AS depth, status FROM tops
+        UNION ALL SELECT e.k, p.root, p.depth + 1, 'below' FROM placed p JOIN edges e ON e.parent = p.k),
+    steps AS (SELECT e.k, e.parent AS seen, 1 AS n FROM edges e WHERE e.k NOT IN (SELECT k FROM placed)
+        UNION ALL SELECT s.k, e.parent, s.n + 1 FROM steps s JOIN edges e ON e.k = s.seen WHERE s.n < 8)
+    SELECT CAST(k AS VARCHAR) AS key, CAST(root AS VARCHAR) AS root, CAST(depth AS VARCHAR) AS depth, status FROM placed
+    UNION ALL SELECT CAST(k AS VARCHAR), NULL, NULL, CASE WHEN bool_or(seen = k) THEN 'cycle' ELSE 'into cycle' END FROM steps GROUP BY k""",
+)
+def _(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("k"))
+    edges = parts.select(F.col("k").alias("id"), F.expr(_PARENT).cast("long").alias("parent_id"))
+    return portable(hierarchy(edges), "key", "root", "depth")
+
+
 @query(
     "frequency",
     f"SELECT country_clean, count(*) AS n_rows FROM {silver_sql('customers')} GROUP BY country_clean",
