@@ -8,9 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.operators import columns, integrity, lookup, quality
+from silverline.operators import columns, integrity, lookup, quality, sketches
 from silverline.operators.hierarchy import hierarchy
 from silverline.plans.transformation import normalize_country, run_cleaning, with_paid_time
+from silverline.session import scratch_path
 from silverline.sources.countries import COUNTRY_ALIASES, country_names, iso_variants
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of, text_literal
@@ -305,6 +306,44 @@ def _(spark, sf_dir):
     return quality.quality_rollup(cleaned, ["batch", "method_clean", "status_clean"])
 
 
+_PROFILED = ["method_clean", "status_clean", "order_id", "amount"]
+
+
+@query(
+    "sketch_profile",
+    f"WITH s AS (SELECT * FROM {silver_sql('payments')}) "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, true AS distinct_within, true AS median_within,
+        (SELECT max(n) FROM (SELECT count(*) AS n FROM s GROUP BY {c})) AS most_frequent FROM s"""
+        for c in _PROFILED
+    ),
+)
+def _(spark, sf_dir):
+    """The profile of four runs from their stored sketches; estimates are held against the exact values of all rows."""
+    cleaned, root = silver(spark, sf_dir, "payments"), scratch_path(spark, "profiles")
+    for n in range(4):
+        sketches.keep_profile(cleaned.where(F.col("id") % 4 == n), root, "payments", f"r{n}", _PROFILED, tracked=1_000_000)
+    merged = sketches.merged_profile(sketches.kept_profiles(spark, root, "payments"), tracked=1_000_000)
+    median = F.when(F.col("quantiles").isNotNull(), F.col("quantiles")[2])
+    found = merged.select("column", "n_rows", "n_nulls", "n_distinct", median.alias("median"), F.col("top")[0]["count"].alias("most_frequent"))
+    lines = []
+    for r in found.collect():  # a line for each of four columns
+        value = F.col(r["column"]).cast("double") if r["median"] is not None else F.lit(None).cast("double")
+        share = lambda part, value=value: F.coalesce(F.try_divide(F.count_if(part), F.count(value)), F.lit(0.5))
+        middle = F.lit(r["median"]).cast("double")
+        lines.append(
+            cleaned.agg(
+                F.lit(r["column"]).alias("column"),
+                F.lit(r["n_rows"]).cast("long").alias("n_rows"),
+                F.lit(r["n_nulls"]).cast("long").alias("n_nulls"),
+                (F.abs(F.lit(r["n_distinct"]) - F.countDistinct(r["column"])) <= 0.05 * F.countDistinct(r["column"])).alias("distinct_within"),
+                ((share(value < middle) <= 0.515) & (share(value <= middle) >= 0.485)).alias("median_within"),
+                F.lit(r["most_frequent"]).cast("long").alias("most_frequent"),
+            )
+        )
+    return reduce(DataFrame.unionByName, lines)
+
+
 # A tree over the parts: a chain through all even keys with twigs, roots, missing parents, cycles and what leads into them.
 _PARENT = """CASE WHEN k = 2 OR k % 10 = 1 THEN NULL WHEN k % 2 = 0 THEN k - 2 WHEN k % 30 = 3 THEN k + 2 WHEN k % 30 = 5 THEN k - 2
     WHEN k % 30 = 7 THEN k - 4 WHEN k % 30 = 9 THEN k WHEN k % 30 = 13 THEN k + 900000000 ELSE k - 1 END"""
