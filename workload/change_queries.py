@@ -10,11 +10,13 @@ from silverline.plans.transformation import run_cleaning
 from silverline.session import scratch_path
 from silverline.sources import bronze as landing
 from silverline.sources.current import CurrentView, delete_current, merge_current, read_current
+from silverline.sources.ledger import LedgerTarget, load_once, loaded, stage
 from silverline.sources.sinks import read_silver
 from silverline.sources.snapshot import deletions, digests, run_snapshot, snapshot_difference
 from silverline.streaming.bronze_stream import stream_to_silver
 from workload import oracle as o
 from workload.bronze import bronze, bronze_sql, spec_of
+from workload.entity_queries import silver
 from workload.registry import portable, query
 
 # What happens at the source without its change times telling: keys that come, go, and change.
@@ -111,3 +113,33 @@ def _(spark, sf_dir):
         stream_to_silver(spark, spec_of("customers"), bronze_root, silver_root, state, max_files=2, remember="7 days").awaitTermination()
     stored = read_silver(spark, silver_root, "customers")
     return portable(stored.drop("ingestion_timestamp", "ingestion_date", "bronze_ingestion_date", "run_id"))
+
+
+_LOADED = {"payments": "transaction_id_clean", "coupons": "code_clean"}
+
+
+@query(
+    "warehouse_reload",
+    " UNION ALL ".join(
+        f"""SELECT '{e}' AS entity, id, {value} AS value, 1 AS stored, (SELECT count(*) FROM ({bronze_sql(e)}) b) AS loaded
+        FROM ({o.entity_sql(spec_of(e))}) s"""
+        for e, value in _LOADED.items()
+    ),
+)
+def _(spark, sf_dir):
+    """A load that replaced an older one, was staged once before it failed, and was repeated when done: every row is there once."""
+    path = scratch_path(spark, "reload")
+    suffix = path.rsplit("-", 1)[1]
+    target = LedgerTarget(location=path, ledger=f"ledger_{suffix}")
+    tables = {f"{e}_{suffix}": silver(spark, sf_dir, e).select("id", F.col(value).alias("value")) for e, value in _LOADED.items()}
+    older = {name: df.where("id % 2 = 0") for name, df in tables.items()}
+    load_once(older, target, "monday")
+    for name, df in tables.items():
+        stage(df.where("id % 3 = 0"), target, name, "tuesday")  # and then the job died
+    load_once(tables, target, "tuesday", "replace")
+    counts = load_once(tables, target, "tuesday", "replace")
+    stored = []
+    for name, n in counts.items():
+        rows = loaded(spark, target, name).groupBy("id", "value").agg(F.count(F.lit(1)).cast("int").alias("stored"))
+        stored.append(rows.select(F.lit(name.removesuffix(f"_{suffix}")).alias("entity"), "id", "value", "stored", F.lit(n).cast("bigint").alias("loaded")))
+    return stored[0].unionByName(stored[1])
