@@ -8,6 +8,7 @@ from itertools import combinations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from silverline.functions.text import UNKNOWN, is_blank, match_key
 
@@ -169,6 +170,27 @@ def _nearest_short(sought: DataFrame, names: DataFrame, most: int) -> DataFrame:
     return best.select("value_", "best_.name", "best_.distance")
 
 
+def known_places(
+    df: DataFrame,
+    city: str = "city_clean",
+    country: str = "country_clean",
+    least_rows: int = 3,
+    least_share: float = 0.1,
+    unknown: Sequence[str] = (UNKNOWN, REVIEW),
+) -> DataFrame:
+    """The countries each city lies in by the table itself: a ``city`` and ``country`` table for :func:`geo_mismatch`.
+
+    A country counts with at least ``least_rows`` rows and ``least_share`` of the city's. Pairs
+    are counted before they are compared, so a city that holds a third of all rows sends one
+    row per country and map task.
+    """
+    judged = df.filter(~F.col(country).isin(*unknown) & ~F.col(city).isin(*unknown))
+    counts = judged.groupBy(match_key(F.col(city), "upper").alias("city"), F.col(country).alias("country")).agg(F.count(F.lit(1)).alias("n_rows"))
+    of_city = F.sum("n_rows").over(Window.partitionBy("city"))
+    kept = counts.withColumn("of_city", of_city).where((F.col("n_rows") >= least_rows) & (F.col("n_rows") >= F.lit(least_share) * F.col("of_city")))
+    return kept.select("city", "country")
+
+
 def geo_mismatch(
     df: DataFrame,
     cities: DataFrame,

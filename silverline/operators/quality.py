@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -267,7 +268,17 @@ def _with_value_counts(df: DataFrame, columns: Sequence[str], rows: Sequence[Map
 def keep_for_reports(df: DataFrame) -> DataFrame:
     """Persist a cleaned table that several reports will read, spilling to disk.
 
-    Not needed for one :func:`quality_report`, which reads the table once.
+    Not needed for one :func:`quality_report`, which reads the table once. The table stays
+    until it is released with ``unpersist()``; :func:`kept_for_reports` does that by itself.
     """
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
+
+@contextmanager
+def kept_for_reports(df: DataFrame) -> Iterator[DataFrame]:
+    """The same for reports that are written within a block; the table is released at its end, also after a failure."""
+    kept = keep_for_reports(df)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

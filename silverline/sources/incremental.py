@@ -87,10 +87,12 @@ def run_entity(
     if since is not None:  # few rows of many: kept, so that finding the first does not cost a scan of its own
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     undated = parse_timestamp(column).isNull() if dict(rows.dtypes)[column] == "string" else F.col(column).isNull()
-    counts = write_bronze_counted(
-        rows, bronze_root, entity, now.date().isoformat(), now.strftime("%H%M%S%f"), {"undated": F.count_if(undated)}
-    )
-    rows.unpersist()
+    try:
+        counts = write_bronze_counted(
+            rows, bronze_root, entity, now.date().isoformat(), now.strftime("%H%M%S%f"), {"undated": F.count_if(undated)}
+        )
+    finally:
+        rows.unpersist()
     save_watermark(spark, control_root, entity, run_start)
     return RunResult(entity, since, run_start, counts["rows"], counts["undated"])
 

@@ -86,6 +86,17 @@ def test_watermark_is_the_one_saved_last(spark, tmp_path):
     assert watermark.read_watermarks(spark, control).count() == 2
 
 
+def test_marks_of_many_runs_stay_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(watermark, "MOST", 4)
+    control = str(tmp_path / "control")
+    watermark.save_watermark(spark, control, "t#snapshot", "2024-01-01 00:00:00")
+    for n in range(30):
+        watermark.save_watermark(spark, control, "coupons", f"2024-01-01 00:00:{n:02d}")
+        assert watermark.get_watermark(spark, control, "coupons") == f"2024-01-01 00:00:{n:02d}"
+    assert len([p for p in (tmp_path / "control").rglob("*.parquet") if "entity=coupons" in str(p)]) <= 8
+    assert watermark.get_watermark(spark, control, "t#snapshot") == "2024-01-01 00:00:00"
+
+
 def test_changed_since(spark):
     df = coupons(spark, (1, "a", "2024-01-01"), (2, "b", "2024-01-01 10:00:00"), (3, "c", "bad-date"), (4, "d", "02/01/2024"))
 

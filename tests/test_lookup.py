@@ -157,3 +157,11 @@ def test_short_names_are_not_compared_in_pairs(spark):
     assert met.count() <= ways * len(words)
     for value, name, edits in rows[:: len(rows) // 20]:
         assert (edits, name) == min((distance(value, w.upper()), w) for w in words)
+
+
+def test_places_known_from_the_table(spark):
+    rows = [("Lima", "Peru")] * 8 + [("lima ", "United States")] * 3 + [("Lima", "Chile")] + [("Rome", "Italy")] * 2 + [("Lima", "UNKNOWN")] * 5
+    df = spark.createDataFrame(rows, "city_clean string, country_clean string")
+    assert sorted(map(tuple, lookup.known_places(df).collect())) == [("LIMA", "Peru"), ("LIMA", "United States")]
+    found = lookup.geo_mismatch(df, lookup.known_places(df)).collect()
+    assert [(r.city_clean, r.country_clean, r.expected_countries) for r in found] == [("Lima", "Chile", ["Peru", "United States"])]

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql.functions import lit
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from silverline.operators import integrity, quality
@@ -197,3 +198,11 @@ def test_rollup_tells_null_groups_from_totals(spark):
     assert {(r.grouped_by, r.run, r.kind, r.total) for r in only} == {("kind", None, None, 1), ("kind", None, "k", 2)}
     plan = quality.quality_rollup(df, ["run", "kind"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Expand") == 1 and "Union" not in plan
+
+
+def test_kept_table_is_released(spark):
+    df = spark.range(10).withColumn("v", lit("x"))
+    with pytest.raises(RuntimeError, match="report failed"), quality.kept_for_reports(df) as kept:
+        assert kept.count() == 10 and kept.storageLevel.useMemory
+        raise RuntimeError("report failed")
+    assert not df.storageLevel.useMemory

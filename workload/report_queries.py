@@ -137,6 +137,27 @@ def _(spark, sf_dir):
     )
 
 
+# Where customers live: a city of their nation, but for every twenty-third of them, who name their nation's neighbour's.
+_CITY = "'Port ' || CAST((c_nationkey + CASE WHEN c_custkey % 23 = 0 THEN 1 ELSE 0 END) % 25 AS STRING) || ' ' || CAST(c_custkey % 2 AS STRING)"
+
+
+@query(
+    "geo_mismatch_known_places",
+    f"""WITH living AS (SELECT c_custkey AS id, {_CITY} AS city_clean, n_name AS country_clean FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    counts AS (SELECT upper(city_clean) AS k, country_clean, count(*) AS n FROM living GROUP BY 1, 2),
+    shares AS (SELECT *, sum(n) OVER (PARTITION BY k) AS of_city FROM counts),
+    known AS (SELECT k, list_sort(list(country_clean)) AS expected FROM shares WHERE n >= 3 AND n >= 0.25 * of_city GROUP BY k)
+    SELECT id, city_clean, country_clean, array_to_string(expected, '|') AS expected_countries
+    FROM living JOIN known ON upper(city_clean) = k WHERE NOT list_contains(expected, country_clean)""",
+)
+def _(spark, sf_dir):
+    """Cities in a country that hardly any customer of the city lives in, by the customers themselves."""
+    joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    living = joined.select(F.col("c_custkey").alias("id"), F.expr(_CITY).alias("city_clean"), F.col("n_name").alias("country_clean"))
+    found = lookup.geo_mismatch(living, lookup.known_places(living, least_share=0.25))
+    return found.select("id", "city_clean", "country_clean", F.array_join("expected_countries", "|").alias("expected_countries"))
+
+
 # References and keys
 
 
