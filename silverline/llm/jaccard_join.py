@@ -258,14 +258,16 @@ def large_group_pairs(nodes: DataFrame) -> DataFrame:
     """Nodes of large groups with a node in the middle of their group.
 
     The members that a group shares have long lists, the changed ones of its documents have not. So of the documents
-    with one mark, the one with the largest share of long lists stands in the middle.
+    with one mark, the one with the largest share of long lists stands in the middle. Marks are long lists known by
+    name, so there are at most ``LONG_LISTS`` such documents, some megabytes: they are sent to the marked ones, whose most
+    common marks would else land in one task.
     """
     marked = nodes.withColumn("token", F.explode("marks"))
     middle = F.max(F.struct((F.col("held") / F.col("n")).alias("share"), "n", "held", "node")).alias("middle")
     leaders = marked.groupBy("token").agg(middle).select(
         "token", F.col("middle.node").alias("leader"), F.col("middle.n").alias("n_leader"), F.col("middle.held").alias("held_leader")
     )
-    met = marked.join(leaders, "token").where("node <> leader")
+    met = marked.join(F.broadcast(leaders), "token").where("node <> leader")
     fits = F.least("n", "n_leader") * 100 >= F.greatest("n", "n_leader") * PERCENT
     found = met.where(fits).groupBy("node").agg(F.collect_set("leader").alias("others"))  # MARKS at most
     pairs = found.select("node", "others", F.array_min("others").alias("label"))
