@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles a method of more than 8000 bytes. Rules for dates make longer ones; above
+    # this limit Spark evaluates the columns of a step by many short methods instead of one long.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
