@@ -28,11 +28,12 @@ def hierarchy(df: DataFrame, key: str = "id", parent: str = "parent_id") -> Data
     By pointer doubling: every key points at an ancestor and knows how far up it is. In each
     round it takes over what its ancestor points at, so a chain of n keys takes log n rounds,
     and keys that have reached a root take no part any more. A parent of very many children
-    is a hot key on one side of a join only, which adaptive execution splits.
+    is a hot key on one side of a join only, which adaptive execution splits. No side is
+    broadcast: stored, these columns are so small that Spark would send all keys to the driver.
     """
     edges = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(parent).alias("parent"))
     edges = _stored(edges)
-    found = edges.select(F.col("key").alias("known"))
+    found = edges.select(F.col("key").alias("known")).hint("merge")
     linked = edges.join(found, F.col("parent") == F.col("known"), "left")
     at_root = F.col("known").isNull()
     state = linked.select(
@@ -46,12 +47,13 @@ def hierarchy(df: DataFrame, key: str = "id", parent: str = "parent_id") -> Data
     n_keys, jump = state.count(), 1
     while jump <= n_keys and not state.where(~F.col("done")).isEmpty():
         above = state.select(F.col("key").alias("of"), F.col("at").alias("next"), F.col("up").alias("more"), F.col("done").alias("reached"))
+        above = above.hint("merge")
         open_ = state.where(~F.col("done")).join(above, F.col("at") == F.col("of"))
         moved = open_.select("key", F.col("next").alias("at"), (F.col("up") + F.col("more")).alias("up"), F.col("reached").alias("done"), "status")
         state = _stored(state.where("done").unionByName(moved))
         jump *= 2
     # after as many steps as there are keys only cycles are pointed at, and all of their keys are
-    circling = state.where(~F.col("done")).select(F.col("at").alias("circling")).distinct()
+    circling = state.where(~F.col("done")).select(F.col("at").alias("circling")).distinct().hint("merge")
     marked = state.join(circling, ~F.col("done") & (F.col("key") == F.col("circling")), "left")
     only: Column = F.col("done")
     return marked.select(

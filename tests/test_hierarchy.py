@@ -1,5 +1,6 @@
 import random
 
+from silverline.operators import hierarchy as module
 from silverline.operators.hierarchy import hierarchy
 
 
@@ -54,3 +55,18 @@ def test_long_chain_and_long_cycle(spark):
 def test_many_children_of_one_parent(spark):
     star = spark.range(20_000).selectExpr("id", "CASE WHEN id > 0 THEN 0 END AS parent_id")
     assert hierarchy(star).where("root = 0 AND depth = CAST(key > 0 AS INT)").count() == 20_000
+
+
+def test_keys_are_not_broadcast(spark, monkeypatch):
+    chain = spark.range(300).selectExpr("id", "CASE WHEN id < 200 THEN nullif(id - 1, -1) ELSE 200 + (id + 1) % 100 END AS parent_id")
+    read, plans = module._stored, []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return read(df)
+
+    monkeypatch.setattr(module, "_stored", noted)
+    found = hierarchy(chain)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert found.where("root = 0 AND depth = key AND key < 200").count() == 200
+    assert sum("SortMergeJoin" in p for p in plans) >= 8 and not any("Broadcast" in p for p in plans)
