@@ -59,22 +59,28 @@ def running_total(df: DataFrame, groups: list[str], bucket: Column, order: list[
     """Add ``name``: the sum of ``value`` over the rows of the same groups that come before a row.
 
     Rows stand in order of ``bucket``, then ``order``. A group may hold any share of all rows: only a bucket of it
-    is sorted in one task, and the buckets are joined by one aggregated row each. Null groups are groups.
+    is sorted in one task, and the buckets are joined by one aggregated row each. Null groups are groups; as keys
+    they stand as a sign and a text, neither of them null, so that the join finds the rows where the window left
+    them: a null-safe one would send all of them over the network again.
     """
-    keys = [*groups, "__bucket"]
-    split = df.withColumn("__bucket", bucket).withColumn("__value", value)
+    null, text = [f"__null_{i}" for i in range(len(groups))], [f"__text_{i}" for i in range(len(groups))]
+    group = [*null, *text]
+    signs = {n: F.col(c).isNull() for n, c in zip(null, groups, strict=True)}
+    texts = {t: F.coalesce(F.col(c).cast("string"), F.lit("")) for t, c in zip(text, groups, strict=True)}
+    keys = [*group, "__bucket"]
+    split = df.withColumns({**signs, **texts, "__bucket": bucket, "__value": value})
     sums = split.groupBy(*keys).agg(F.sum("__value").alias("__sum"))
-    earlier = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         *[F.col(k).alias(f"__of_{k}") for k in keys], F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset")
     )
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = split.withColumn("__within", F.coalesce(F.sum("__value").over(within), F.lit(0)))
-    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]
+    same = [F.col(k) == F.col(f"__of_{k}") for k in keys]
     return (
         ranked.join(offsets, same)
         .withColumn(name, F.col("__offset") + F.col("__within"))
-        .drop("__bucket", "__value", "__within", "__offset", *[f"__of_{k}" for k in keys])
+        .drop(*keys, "__value", "__within", "__offset", *[f"__of_{k}" for k in keys])
     )
 
 

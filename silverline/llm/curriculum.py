@@ -78,7 +78,7 @@ def mix_plan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     bucket = F.floor(spread * buckets / F.lit(2**32)).cast("int")
     order = [F.col("__key"), F.col("__id"), F.col("size")]
     placed = running_total(sized, ["__source"], bucket, order, F.col("size"), "before")
-    joined = placed.join(targets, F.col("__source").eqNullSafe(F.col("source")))
+    joined = placed.join(F.broadcast(targets), F.col("__source").eqNullSafe(F.col("source")))  # one row per source
     rounds = F.ceil((F.col("target") - F.col("before") - F.col("size") / 2) / F.col("source_size"))
     copies = F.when(F.col("source_size") > 0, F.greatest(rounds, F.lit(0))).otherwise(F.lit(0)).cast("int")
     return joined.select(

@@ -4,8 +4,10 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import documents, odd_rows
+from pyspark.sql import functions as F
 
 from silverline.llm import curriculum, queries
+from silverline.llm.common import running_total
 
 
 def targets(sizes):
@@ -120,3 +122,23 @@ def test_every_copy_has_its_position_and_the_query_their_order(spark, sf_dir):
     assert slopes == set(curriculum.SLOPES)
     places = [position_of[r.doc_id, r.size] for r in queries.QUERIES["op8_curriculum_mix"](spark, sf_dir).collect()]
     assert places == sorted(places, key=lambda t: (t is None, t or 0)) and len(places) == len(found)
+
+
+def test_running_total_moves_the_rows_once(spark):
+    rows = [(None if i % 3 == 0 else "" if i % 3 == 1 else "a", i, i % 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, i long, b int").repartition(4)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        totals = running_total(df, ["g"], F.col("b"), [F.col("i")], F.col("i"), "t")
+        plan = totals._jdf.queryExecution().executedPlan().toString()
+        got = {r.i: r.t for r in totals.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert totals.columns == ["g", "i", "b", "t"]
+    assert got == {i: sum(j for h, j, c in rows if h == g and (c, j) < (b, i)) for g, i, b in rows}
+    # the rows for the window; of their sums per bucket, those of a bucket, of a group, and once more for the join
+    assert plan.count("Exchange hashpartitioning") == 4
