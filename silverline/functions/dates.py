@@ -44,12 +44,15 @@ KNOWN_DATE_FORMATS = [
 # Fixed value: how dates are written.
 ISO_DATE_FORMAT = "yyyy-MM-dd"
 
+# Names of the locale in which Spark's formatters read dates.
+_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
 # What each pattern letter run can match at most. Years may be longer than four
 # digits when signed; one-letter fields may carry leading zeros.
 _FIELD_SHAPES = {
     "yyyy": r"[+-]?\d{4,}",
-    "MMMM": r"[^\d\s]+",
-    "MMM": r"[^\d\s]+",
+    "MMMM": f"(?iu:{'|'.join(_MONTHS)})",
+    "MMM": f"(?iu:{'|'.join(name[:3] for name in _MONTHS)})",
     "MM": r"(?:0[1-9]|1[0-2])",
     "M": r"0*(?:[1-9]|1[0-2])",
     "dd": r"(?:0[1-9]|[12]\d|3[01])",
@@ -60,6 +63,10 @@ _FIELD_SHAPES = {
     "SSS": r"\d+",
 }
 
+# Digits or letters each run has at least. Where fields of these widths are all there is, a cast reads the value.
+_LEAST_WIDTH = {"MMMM": 3, "MMM": 3, "M": 1, "d": 1, "SSS": 1}
+_FIXED_FIELDS = ("yyyy", "MM", "dd", "HH", "mm", "ss", "SSS")
+
 _TOKEN = re.compile(r"'([^']*)'|([A-Za-z])\2*|[^A-Za-z']")
 
 _SEPARATORS = ("/", "-", ".", ",", " ")
@@ -124,6 +131,40 @@ def _cascade(col: Column, formats: Sequence[str], parse: Callable[[Column, str],
     return F.when(col.contains(":"), tried(groups[True])).otherwise(tried(groups[False]))
 
 
+def _least_width(fmt: str) -> int:
+    """Characters that a value of the format's shape has at least."""
+    texts = [(t.group(0), t.group(1)) for t in _TOKEN.finditer(fmt)]
+    return sum(_LEAST_WIDTH.get(text, len(text)) if quoted is None else len(quoted) for text, quoted in texts)
+
+
+def _cast_sql(column: str, fmt: str, function: str) -> tuple[int, str] | None:
+    """Width of a format whose fields have as many digits as letters, and a cast that reads a value of its shape and that width.
+
+    A cast costs a fraction of a formatter. None for other formats.
+    """
+    width, places, literals = 0, {}, ""
+    for token in _TOKEN.finditer(fmt):
+        text, quoted, letter = token.group(0), token.group(1), token.group(2)
+        if letter and (text not in _FIXED_FIELDS or text in places):
+            return None
+        if letter:
+            places[text] = width + 1
+        else:
+            literals += text
+        width += len(text if quoted is None else quoted)
+    clock = next((c for c in ("HH:mm:ss.SSS", "HH:mm:ss") if c in fmt), "")
+    if not literals.isascii() or places.keys() != {"yyyy", "MM", "dd", *(f for f in _FIXED_FIELDS if f in clock)}:
+        return None
+
+    def piece(field: str, length: int = 0) -> str:
+        return f"substr({column}, {places[field]}, {length or len(field)})"
+
+    day = piece("yyyy", 10) if "yyyy-MM-dd" in fmt else f"concat({piece('yyyy')}, '-', {piece('MM')}, '-', {piece('dd')})"
+    if function == "try_to_date":
+        return width, f"try_cast({day} AS DATE)"
+    return width, f"try_cast({f"concat({day}, ' ', {piece('HH', len(clock))})" if clock else day} AS TIMESTAMP)"
+
+
 def _cascade_sql(name: str, formats: Sequence[str], function: str) -> str:
     """The same expression as SQL text over a named column.
 
@@ -137,10 +178,16 @@ def _cascade_sql(name: str, formats: Sequence[str], function: str) -> str:
         quoted = fmt.replace("\\", "\\\\").replace("'", "\\'")
         return f"{function}({column}, '{quoted}')"
 
+    def fitting(shape: str, fmt: str) -> str:
+        cast, value = _cast_sql(column, fmt, function), parsed(fmt)
+        if cast:
+            value = f"CASE WHEN octet_length({column}) = {cast[0]} THEN {cast[1]} ELSE {value} END"
+        return f"CASE WHEN octet_length({column}) >= {_least_width(fmt)} AND {column} RLIKE r'{shape}' THEN {value} END"
+
     def tried(families: dict[str, list[tuple[str, str]]]) -> str:
         alternatives = []
         for separator, members in families.items():
-            cases = [f"CASE WHEN {column} RLIKE r'{shape}' THEN {parsed(fmt)} END" for shape, fmt in members]
+            cases = [fitting(shape, fmt) for shape, fmt in members]
             steps = f"coalesce({', '.join(cases)})"
             alternatives.append(
                 f"CASE WHEN contains({column}, '{separator}') THEN {steps} END" if separator else steps
