@@ -8,6 +8,7 @@ their own spelling per engine. Row counts are those of the given tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from silverline.functions.dates import KNOWN_DATE_FORMATS
 from silverline.plans.entities import ENTITY_SPECS
@@ -359,6 +360,16 @@ def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return spark.read.parquet(_landed[key])
 
 
+def computed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The raw table of an entity as :func:`bronze` gives it, without writing it first.
+
+    For queries that read it once. The generator is a border for the optimizer: no filter or
+    column above it gets a copy of the expressions that make a column dirty.
+    """
+    raw = derive(spark, sf_dir, entity)
+    return raw.select(F.inline(F.array(F.struct(*raw.columns))))
+
+
 def bronze_sql(entity: str) -> str:
     """The same raw table as a SELECT for the checking engine."""
     source, columns = bronze_columns(entity, DUCK)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from silverline.operators import quality
 from silverline.plans.transformation import run_cleaning, run_transformation
 from workload import oracle as o
-from workload.bronze import bronze, spec_of
+from workload.bronze import computed, derive, spec_of
 from workload.registry import portable, query
 
 ENTITIES = [
@@ -26,9 +26,12 @@ ENTITIES = [
 ]
 
 
-def silver(spark, sf_dir, entity, **options):
-    """The cleaned table of an entity, derived from the given tables."""
-    return run_cleaning(bronze(spark, sf_dir, entity), spark, spec=spec_of(entity), **options)
+def silver(spark, sf_dir, entity, raw=computed, **options):
+    """The cleaned table of an entity, derived from the given tables.
+
+    Reports that need few columns pass ``raw=derive``: of such a table the other columns are not computed.
+    """
+    return run_cleaning(raw(spark, sf_dir, entity), spark, spec=spec_of(entity), **options)
 
 
 def _entity_query(entity):
@@ -55,8 +58,10 @@ def _column_sums(entity: str) -> str:
     'ingestion_timestamp, ingestion_date' AS audit_columns FROM ({' UNION ALL '.join(map(_column_sums, ENTITIES))}) a""")
 def _(spark, sf_dir):
     """All nine tables cleaned in one run, with the contents of every cleaned column summed up."""
-    raw = {entity: bronze(spark, sf_dir, entity) for entity in ENTITIES}
+    raw = {entity: computed(spark, sf_dir, entity) for entity in ENTITIES}
     tables = run_transformation(raw, spark)
-    audit = quality.entity_summary(tables).select("entity", "audit_columns")
+    # rows are counted without the columns: none has to be derived for that
+    counted = run_transformation({entity: derive(spark, sf_dir, entity) for entity in ENTITIES}, spark)
+    audit = quality.entity_summary(counted).select("entity", "audit_columns")
     sums = [quality.column_sums(df).select(F.lit(name).alias("entity"), "n_rows", "column", "n_values", "chars") for name, df in tables.items()]
     return reduce(DataFrame.unionByName, sums).join(audit, "entity")

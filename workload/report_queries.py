@@ -14,7 +14,7 @@ from silverline.plans.transformation import normalize_country, run_cleaning, wit
 from silverline.session import scratch_path
 from silverline.sources.countries import COUNTRY_ALIASES, country_names, iso_variants
 from workload import oracle as o
-from workload.bronze import bronze, bronze_sql, spec_of, text_literal
+from workload.bronze import bronze, bronze_sql, derive, spec_of, text_literal
 from workload.entity_queries import silver
 from workload.registry import portable, query, table
 
@@ -190,7 +190,7 @@ _REFERENCES = [
 )
 def _(spark, sf_dir):
     found = [
-        integrity.orphan_keys(silver(spark, sf_dir, child), fk, table(spark, sf_dir, parent), pk).select(
+        integrity.orphan_keys(silver(spark, sf_dir, child, raw=derive), fk, table(spark, sf_dir, parent), pk).select(
             F.lit(f"{child}.{fk}").alias("reference"), F.col(fk).alias("parent_key"), "n_rows"
         )
         for child, fk, parent, pk in _REFERENCES
@@ -603,7 +603,7 @@ for _entity in ("inventory", "payments", "products", "reviews", "shipping", "sup
     _flags = ", ".join(f"coalesce({v}, false) AS {n}_violated" for n, _, v in _rule_sql(_entity))
 
     def _rules(spark, sf_dir, entity=_entity, column=_column):
-        checked = silver(spark, sf_dir, entity, rules=True)
+        checked = silver(spark, sf_dir, entity, raw=derive, rules=True)
         flags = [f"{r.name}_violated" for r in spec_of(entity).constraints]
         return portable(checked.select("id", column, *flags), *o.integers_of(spec_of(entity)))
 
@@ -626,7 +626,7 @@ _RULED = ["customers", "inventory", "payments", "products", "reviews", "shipping
 )
 def _(spark, sf_dir):
     found = [
-        integrity.rule_violations(silver(spark, sf_dir, e), spec_of(e).constraints).withColumn("entity", F.lit(e))
+        integrity.rule_violations(silver(spark, sf_dir, e, raw=derive), spec_of(e).constraints).withColumn("entity", F.lit(e))
         for e in _RULED
     ]
     return reduce(DataFrame.unionByName, found)
