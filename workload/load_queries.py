@@ -18,7 +18,7 @@ from silverline.sources.sinks import CatalogTarget, current_silver, load_all, re
 from silverline.sources.watermark import get_watermark, read_watermarks, save_watermark
 from silverline.streaming.bronze_stream import stream_to_silver
 from workload import oracle as o
-from workload.bronze import bronze, bronze_sql, spec_of
+from workload.bronze import bronze, bronze_sql, derive, spec_of
 from workload.entity_queries import ENTITIES, silver
 from workload.registry import portable, query
 
@@ -51,9 +51,10 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
+    """Nine tables landed at once: each computed where it is landed, and compressed, as all of them stay on disk together."""
     root = scratch_path(spark, "landing")
     for entity in ENTITIES:
-        landing.write_bronze(bronze(spark, sf_dir, entity), root, entity, _DAY, _RUN)
+        landing.write_bronze(derive(spark, sf_dir, entity), root, entity, _DAY, _RUN, compression="gzip")
     scans = landing.read_all_bronze(spark, root, {e: spec_of(e).schema for e in ENTITIES})
     counts = [
         df.agg(
